@@ -6,15 +6,19 @@ makes only ``\\n`` end a line and ``(?U)`` makes ``\\s``/``\\w`` Unicode-aware.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The patterns that define what is removed.
+# The patterns that define what is removed. Two are written so that they stay
+# linear on very long tokens, with the same matches: an email is sought only at the start of a
+# token (it always takes the whole token), and path parts never give characters back.
 PGP_BLOCK = r"(?s)-----BEGIN PGP.*?-----END PGP.*?-----"
 QUOTE_LINE = r"(?md)^[>|]+.*$"
-EMAIL = r"(?U)\S+@\S+\.\S+"
+EMAIL = r"(?U)(?<!\S)\S+@\S+\.\S+"
 URL = r"(?U)https?://\S+|www\.\S+"
-FILE_PATH = r"(?U)(?:[A-Za-z]:\\|/)(?:[\w.\-]+[/\\])+[\w.\-]*"
+FILE_PATH = r"(?U)(?:[A-Za-z]:\\|/)(?:[\w.\-]++[/\\])++[\w.\-]*"
 HEADER_LINE = r"(?U)^\s*[A-Za-z\-]+:\s+\S.*$"
 NON_ALPHA_LINE = r"(?md)^[^a-zA-Z]*$"
 NEWLINE_RUN = r"\n{3,}"
@@ -31,38 +35,63 @@ def blank_to_empty(text: Column) -> Column:
     return F.when(text.isNull() | ~text.rlike(ANY_INK), F.lit("")).otherwise(text)
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated a single time, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _remove(text: Column, pattern: str, *marks: str) -> Column:
+    """Delete ``pattern`` from texts that contain one of ``marks``, which every match contains.
+
+    The containment test is a byte search; texts without a mark skip the regular expression.
+    """
+
+    def strip(t: Column) -> Column:
+        present = F.lit(False)
+        for mark in marks:
+            present = present | t.contains(mark)
+        return F.when(present, F.regexp_replace(t, pattern, "")).otherwise(t)
+
+    return _once(text, strip)
+
+
 def strip_pgp(text: Column) -> Column:
-    return F.regexp_replace(text, PGP_BLOCK, "")
+    return _remove(text, PGP_BLOCK, "-----BEGIN PGP")
 
 
 def strip_quote_lines(text: Column) -> Column:
-    return F.regexp_replace(text, QUOTE_LINE, "")
+    return _remove(text, QUOTE_LINE, ">", "|")
 
 
 def strip_emails(text: Column) -> Column:
-    return F.regexp_replace(text, EMAIL, "")
+    return _remove(text, EMAIL, "@")
 
 
 def strip_urls(text: Column) -> Column:
-    return F.regexp_replace(text, URL, "")
+    return _remove(text, URL, "http", "www.")
 
 
 def strip_paths(text: Column) -> Column:
-    return F.regexp_replace(text, FILE_PATH, "")
+    return _remove(text, FILE_PATH, "/", "\\")
 
 
 def drop_header_zone(text: Column, max_lines: int = MAX_HEADER_LINES) -> Column:
     """Drop the leading run of ``Name: value`` lines, at most ``max_lines`` of them."""
-    lines = F.split(text, "\n", -1)
-    head = F.slice(lines, 1, max_lines)
-    # One flag per line of the head; the first 0 ends the zone.
-    flags = F.transform(head, lambda line: line.rlike(HEADER_LINE).cast("int"))
-    first_miss = F.array_position(flags, 0)
-    dropped = F.when(first_miss > 0, first_miss - 1).otherwise(F.size(flags)).cast("int")
-    kept = F.slice(lines, dropped + 1, F.greatest(F.size(lines) - dropped, F.lit(0)))
-    # Most texts start with an ordinary line: leave them untouched.
-    starts_with_header = F.substring_index(text, "\n", 1).rlike(HEADER_LINE)
-    return F.when(starts_with_header, F.array_join(kept, "\n")).otherwise(text)
+
+    def after_headers(lines: Column) -> Column:
+        # One flag per line of the head; the first 0 ends the zone.
+        flags = F.transform(F.slice(lines, 1, max_lines), lambda line: line.rlike(HEADER_LINE).cast("int"))
+        dropped = _once(flags, lambda f: F.coalesce(F.nullif(F.array_position(f, 0), F.lit(0)) - 1, F.size(f)))
+        kept = _once(dropped.cast("int"), lambda n: F.slice(lines, n + 1, F.size(lines) - n))
+        return F.array_join(kept, "\n")
+
+    # Most texts start with an ordinary line: those are left untouched.
+    return _once(
+        text,
+        lambda t: F.when(
+            F.substring_index(t, "\n", 1).rlike(HEADER_LINE), _once(F.split(t, "\n", -1), after_headers)
+        ).otherwise(t),
+    )
 
 
 def blank_nonalpha_lines(text: Column) -> Column:
@@ -79,7 +108,12 @@ def collapse_spaces(text: Column) -> Column:
 
 def strip_ends(text: Column) -> Column:
     """Unicode-aware strip (the built-in ``trim`` removes U+0020 only)."""
-    return F.regexp_replace(text, EDGE_SPACE, "")
+
+    def strip(t: Column) -> Column:
+        padded = F.substring(t, 1, 1).rlike(EDGE_SPACE) | F.substring(t, -1, 1).rlike(EDGE_SPACE)
+        return F.when(padded, F.regexp_replace(t, EDGE_SPACE, "")).otherwise(t)
+
+    return _once(text, strip)
 
 
 CLEANING_STEPS = (
@@ -113,16 +147,27 @@ def strip_sections(
     that quote or introduce a quotation.
     """
     if headers:
-        at = F.instr(text, "\n\n")
-        text = F.when(at > 0, F.substring(text, at + 2, F.length(text))).otherwise(F.lit(""))
-    if footers:
-        lines = F.split(strip_ends(text), "\n", -1)
-        flags = F.transform(lines, lambda line: line.rlike(RULE_LINE).cast("int"))
-        from_end = F.array_position(F.reverse(flags), 1)
-        keep = F.when(from_end > 0, F.size(lines) - from_end).otherwise(F.lit(0)).cast("int")
-        text = F.when(keep > 0, F.array_join(F.slice(lines, 1, F.greatest(keep, F.lit(0))), "\n")).otherwise(
-            text
+        text = _once(
+            text,
+            lambda t: _once(
+                F.instr(t, "\n\n"),
+                lambda at: F.when(at > 0, F.substring(t, at + 2, F.length(t))).otherwise(F.lit("")),
+            ),
         )
+    if footers:
+
+        def before_footer(t: Column) -> Column:
+            def keep(lines: Column) -> Column:
+                flags = F.transform(lines, lambda line: line.rlike(RULE_LINE).cast("int"))
+                from_end = F.nullif(F.array_position(F.reverse(flags), 1), F.lit(0))
+                return _once(
+                    (F.size(lines) - from_end).cast("int"),
+                    lambda n: F.when(n > 0, F.array_join(F.slice(lines, 1, n), "\n")).otherwise(t),
+                )
+
+            return _once(F.split(strip_ends(t), "\n", -1), keep)
+
+        text = _once(text, before_footer)
     if quotes:
         kept = F.filter(F.split(text, "\n", -1), lambda line: ~line.rlike(ATTRIBUTION))
         text = F.array_join(kept, "\n")

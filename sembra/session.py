@@ -63,6 +63,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores when the scan has fewer splits than cores.
+
+    For work that costs far more than moving the rows (regular expressions, encoders) on few
+    or unsplittable files; with enough splits ``df`` is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def small_table(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
     """``df`` as a local table when it has at most ``max_rows`` rows, else ``None``."""
     rows = df.limit(max_rows + 1).collect()
