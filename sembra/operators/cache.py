@@ -220,10 +220,9 @@ def exact_cache_replay(log: DataFrame, max_size: int, block_rows: int = SEQUENCE
     longest = index.agg(F.max("block")).first()[0] or 0
     own = _recent(blocks.withColumnRenamed("seq", "at"), max_size)
     following = own.withColumn("block", F.col("block") + 1)
-    state = following.join(index, ["tenant", "block"], "left_semi")
+    state = materialize(following.join(index, ["tenant", "block"], "left_semi"), "content")
     span = 1
     while span <= longest:
-        state = materialize(state, "content")
         known = state.groupBy("tenant", "block").agg(F.count(F.lit(1)).alias("n"))
         open_blocks = known.where((F.col("n") < max_size) & (F.col("block") > span)).drop("n")
         if open_blocks.isEmpty():
@@ -231,7 +230,7 @@ def exact_cache_replay(log: DataFrame, max_size: int, block_rows: int = SEQUENCE
         older = state.withColumn("block", F.col("block") + span).join(
             open_blocks, ["tenant", "block"], "left_semi"
         )
-        state = _recent(state.unionByName(older), max_size)
+        state = materialize(_recent(state.unionByName(older), max_size), "content")
         span *= 2
 
     schema = T.StructType([*log.select("tenant", "seq", "key").schema.fields, T.StructField("hit", T.BooleanType())])

@@ -10,6 +10,8 @@ from sembra.session import lookup_join
 # Accuracy of the sketch that brackets a quantile; the exact value is searched inside.
 SKETCH_ACCURACY = 10_000
 BRACKET = 5.0 / SKETCH_ACCURACY
+# Below this many rows a bracket is only a few ranks wide; the whole group is taken instead.
+WHOLE_GROUP_ROWS = 20_000
 
 
 def with_positions(df: DataFrame, group: list[str], id_col: str, output_col: str = "position") -> DataFrame:
@@ -44,20 +46,21 @@ def exact_percentiles(df: DataFrame, group: list[str], value: str, probs: list[f
     bracket and sorts only what lies inside it (about a thousandth of a group).
     """
     values = df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("v"))
-    edges = sorted({min(max(p + side * BRACKET, 0.0), 1.0) for p in probs for side in (-1, 1)})
+    clip = lambda p: min(max(p, 0.0), 1.0)
+    edges = sorted({0.0, 1.0} | {clip(p + side * BRACKET) for p in probs for side in (-1, 1)})
+    whole = F.col("n") < WHOLE_GROUP_ROWS
     sketch = values.groupBy(*group).agg(
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx("v", edges, SKETCH_ACCURACY).alias("edge"),
     )
 
     def bracket(p: float) -> Column:
-        low = edges.index(min(max(p - BRACKET, 0.0), 1.0))
-        high = edges.index(min(max(p + BRACKET, 0.0), 1.0))
+        low, high = edges.index(clip(p - BRACKET)), edges.index(clip(p + BRACKET))
         at = F.lit(p) * (F.col("n") - 1)
         return F.struct(
             F.lit(p).alias("prob"),
-            F.col("edge")[low].alias("low"),
-            F.col("edge")[high].alias("high"),
+            F.when(whole, F.col("edge")[0]).otherwise(F.col("edge")[low]).alias("low"),
+            F.when(whole, F.col("edge")[len(edges) - 1]).otherwise(F.col("edge")[high]).alias("high"),
             F.floor(at).alias("lower_rank"),
             F.ceil(at).alias("upper_rank"),
             (at - F.floor(at)).alias("fraction"),

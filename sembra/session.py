@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 # Largest lookup table (rows) that is broadcast; larger ones take a salted shuffle join.
 MAX_BROADCAST_ROWS = 10_000
@@ -30,7 +33,26 @@ def build_session(app_name: str = "sembra", master: str | None = None, **conf) -
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the session's Python workers (once per application).
+
+    Not needed where the package is installed on the cluster or sent with ``--py-files``.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="sembra-ship-")) / "sembra.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
 
 
 def scratch_root(spark: SparkSession) -> str:

@@ -13,9 +13,11 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+import sembra
 from sembra.operators.cache import MAX_SIZE, SEARCH_DEPTH, THRESHOLD
 from sembra.streaming.entries import Entry, TenantEntries
 from sembra.streaming.replay import LOG_FIELDS, LOG_NAMES, prepare_log, run_rows
@@ -69,9 +71,15 @@ def semantic_cache_stream(
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     prepared = prepare_log(log)
     tenant = prepared.schema["tenant"].dataType.simpleString()
-    return prepared.groupBy("tenant").transformWithStateInPandas(
-        statefulProcessor=CacheProcessor(threshold, max_size, depth),
-        outputStructType=f"tenant {tenant}, {LOG_FIELDS}",
-        outputMode="Append",
-        timeMode="None",
-    )
+    # Spark starts this processor once on the driver, without the session's Python files: its
+    # code travels with it.
+    cloudpickle.register_pickle_by_value(sembra)
+    try:
+        return prepared.groupBy("tenant").transformWithStateInPandas(
+            statefulProcessor=CacheProcessor(threshold, max_size, depth),
+            outputStructType=f"tenant {tenant}, {LOG_FIELDS}",
+            outputMode="Append",
+            timeMode="None",
+        )
+    finally:
+        cloudpickle.unregister_pickle_by_value(sembra)
