@@ -11,6 +11,7 @@ from sembra.catalog.inputs import (
     TEXT_STORE,
     benchmark_queries,
     conversation_queries,
+    documents,
     embedding_sql,
     posteriors_sql,
     probes_sql,
@@ -74,7 +75,7 @@ def _vector_queries(spark, sf_dir):
 @query("probe_clusters", with_(QUERY_POSTERIORS, select="SELECT id AS qid, probe::INT AS probe, cluster FROM probes"))
 def probe_clusters_query(spark, sf_dir):
     probes = probe_clusters(F.col("cluster_distribution"), F.col("dominant_cluster"), 2)
-    return _vector_queries(spark, sf_dir).select("qid", F.posexplode(probes).alias("probe", "cluster"))
+    return _vector_queries(spark, sf_dir).select("qid", F.posexplode_outer(probes).alias("probe", "cluster"))
 
 
 # --- lookups on vectors --------------------------------------------------------------------
@@ -352,7 +353,7 @@ def hit_rate_windows_query(spark, sf_dir):
 def tenant_log(spark, sf_dir):
     """Every document as a query of the tenant that is its language, with hashed vectors."""
     store = text_store(spark, sf_dir)
-    queries = table(spark, sf_dir, "documents").select(
+    queries = documents(spark, sf_dir).select(
         F.col("lang").alias("tenant"), F.col("doc_id").alias("qid"), F.col("text").alias("query")
     )
     known = understand_queries(queries, text_mixture(store), encoder=text_encoder)
@@ -361,7 +362,7 @@ def tenant_log(spark, sf_dir):
 
 @query("semantic_cache_replay")
 def semantic_cache_replay_query(spark, sf_dir):
-    replayed = semantic_cache_replay(tenant_log(spark, sf_dir), threshold=0.9, max_size=200, block_rows=2_000)
+    replayed = semantic_cache_replay(tenant_log(spark, sf_dir), threshold=0.9, max_size=200, block_rows=5_000)
     return replayed.withColumn("score", F.round("score", 4))
 
 
@@ -371,10 +372,9 @@ def semantic_cache_replay_query(spark, sf_dir):
 WITH access AS (
   SELECT lang AS tenant, doc_id AS seq, {KEY.format('text')} AS key FROM documents),
 marked AS (SELECT *, lag(seq) OVER (PARTITION BY tenant, key ORDER BY seq) AS prev FROM access)
-SELECT a.tenant, a.seq,
-       a.prev IS NOT NULL AND (SELECT count(DISTINCT b.key) FROM marked b
-         WHERE b.tenant = a.tenant AND b.seq > a.prev AND b.seq < a.seq) < 100 AS hit
-FROM marked a
+SELECT a.tenant, a.seq, a.prev IS NOT NULL AND count(DISTINCT b.key) < 100 AS hit
+FROM marked a LEFT JOIN marked b ON a.prev IS NOT NULL AND b.tenant = a.tenant AND b.seq > a.prev AND b.seq < a.seq
+GROUP BY a.tenant, a.seq, a.prev
 """,
 )
 def semantic_cache_replay_exact(spark, sf_dir):

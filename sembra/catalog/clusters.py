@@ -39,7 +39,7 @@ def _assigned(spark, sf_dir):
 
 
 def _entries(df, column):
-    return df.select("doc_id", F.explode(column).alias("c", "p")).withColumn("p", F.round("p", 4))
+    return df.select("doc_id", F.explode_outer(column).alias("c", "p")).withColumn("p", F.round("p", 4))
 
 
 @query("fit_pca")
@@ -131,7 +131,7 @@ def fit_gmm_restarts(spark, sf_dir):
 def gmm_posteriors(spark, sf_dir):
     return (
         _assigned(spark, sf_dir)
-        .select("doc_id", F.posexplode("probs").alias("c", "p"), F.round("log_density", 4).alias("log_density"))
+        .select("doc_id", F.posexplode_outer("probs").alias("c", "p"), F.round("log_density", 4).alias("log_density"))
         .withColumn("p", F.round("p", 4))
     )
 

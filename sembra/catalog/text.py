@@ -273,7 +273,7 @@ def read_embeddings_query(spark, sf_dir):
     append_documents(_rows(spark, sf_dir), path)
     return (
         read_embeddings(read_store(spark, path))
-        .select("id", "category", "category_id", F.posexplode("embedding").alias("d", "x"))
+        .select("id", "category", "category_id", F.posexplode_outer("embedding").alias("d", "x"))
         .withColumn("x", F.round(F.col("x").cast("double"), 4) + F.lit(0.0))
     )
 
@@ -315,7 +315,7 @@ FROM (SELECT id, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM doc_vec)"""
 )
 def embed_documents_query(spark, sf_dir):
     embedded = embed_documents(documents(spark, sf_dir), encoder=text_encoder)
-    return embedded.select("doc_id", F.posexplode("embedding").alias("d", "x")).withColumn(
+    return embedded.select("doc_id", F.posexplode_outer("embedding").alias("d", "x")).withColumn(
         "x", F.round(F.col("x").cast("double"), 4) + F.lit(0.0)
     )
 
@@ -330,6 +330,6 @@ def embed_queries_query(spark, sf_dir):
     queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("query"))
     return (
         embed_queries(queries, encoder=text_encoder)
-        .select("qid", F.posexplode("embedding").alias("d", "x"))
+        .select("qid", F.posexplode_outer("embedding").alias("d", "x"))
         .withColumn("x", F.round(F.col("x").cast("double"), 4) + F.lit(0.0))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sembra.functions.text import short_category
 from sembra.functions.vectors import dot
 from sembra.operators.ranking import exact_percentiles, with_positions
-from sembra.session import lookup_join
+from sembra.session import lookup_join, materialize
 
 # Fixed values of the published system.
 SWEEP_LOW, SWEEP_HIGH = 50, 98
@@ -57,6 +57,7 @@ def cluster_summary(df: DataFrame, top: int = 3) -> DataFrame:
 def _binned(df: DataFrame, value: str, group: list[str], bins: int) -> DataFrame:
     """Counts per equal-width bin between minimum and maximum, the last bin closed."""
     values = df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("v"))
+    values = materialize(values, "values")  # limits first, then bins; the source runs once
     limits = values.groupBy(*group).agg(
         F.min("v").alias("low"), F.max("v").alias("high"), F.count(F.lit(1)).alias("total")
     )
@@ -132,32 +133,44 @@ def sample_pairs(df: DataFrame, n: int = PAIR_COUNT, seed: int = 42) -> DataFram
         .withColumn("pb", F.pmod(F.col("pa") + 1 + choose("second", F.col("size") - 1), F.col("size")))
     )
     inside = with_positions(docs, ["category"], "doc_id")
-    at = lambda side: inside.select(
-        "category", F.col("position").alias(f"p{side}"), F.col("doc_id").alias(side)
-    )
-    same_pairs = (
-        same.join(at("a"), ["category", "pa"])
-        .join(at("b"), ["category", "pb"])
-        .select("draw", "a", "b", F.lit(True).alias("same"))
-    )
+    same_pairs = _drawn(same, inside, ["category"]).select("draw", "a", "b", F.lit(True).alias("same"))
 
     total = docs.agg(F.count(F.lit(1))).scalar()
     cross = draws.withColumn("pa", choose("left", total)).withColumn(
         "pb", F.pmod(F.col("pa") + 1 + choose("right", total - 1), total)
     )
     overall = with_positions(docs, [], "doc_id")
-    member = lambda side: overall.select(
-        F.col("position").alias(f"p{side}"), F.col("doc_id").alias(side), F.col("category").alias(f"c{side}")
-    )
     cross_pairs = (
-        cross.join(member("a"), "pa")
-        .join(member("b"), "pb")
+        _drawn(cross, overall, [])
         .where(F.col("ca") != F.col("cb"))
         .select("draw", "a", "b", F.lit(False).alias("same"))
     )
     return same_pairs.unionByName(cross_pairs)
 
 
+def _drawn(draws: DataFrame, numbered: DataFrame, group: list[str]) -> DataFrame:
+    """Resolve positions ``pa, pb`` to documents ``a, b`` (categories ``ca, cb``) in one join."""
+    sides = F.explode(
+        F.array(
+            F.struct(F.lit("a").alias("side"), F.col("pa").alias("position")),
+            F.struct(F.lit("b").alias("side"), F.col("pb").alias("position")),
+        )
+    )
+    wanted = draws.select("draw", *group, sides.alias("s")).select("draw", *group, "s.side", "s.position")
+    found = wanted.join(numbered, [*group, "position"])
+    pick = lambda side, column: F.max(F.when(F.col("side") == side, F.col(column)))
+    return (
+        found.groupBy("draw")
+        .agg(
+            pick("a", "doc_id").alias("a"),
+            pick("b", "doc_id").alias("b"),
+            pick("a", "category").alias("ca"),
+            pick("b", "category").alias("cb"),
+        )
+        .where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    )
+
+
 def pair_similarity(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     """Add the similarity of every pair; ``vectors(doc_id, embedding)``."""
     side = lambda s: vectors.select(F.col("doc_id").alias(s), F.col("embedding").alias(f"v{s}"))

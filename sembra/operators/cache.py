@@ -46,7 +46,7 @@ def semantic_lookup(
     probed = queries.select(
         "qid",
         F.col("embedding").alias("qvec"),
-        F.posexplode(
+        F.posexplode_outer(
             probe_clusters(F.col("cluster_distribution"), F.col("dominant_cluster"), depth)
         ).alias("probe", "cluster"),
     ).select(F.struct("qid", "probe").alias("qid"), "qvec", "cluster")
@@ -76,11 +76,13 @@ def cache_lookup(
     """One log row per query: ``qid, key, hit, matched_key, matched_query, score``.
 
     An equal key hits with score 1 whatever the vector or cluster; only the rest is compared.
+    The rest is written once, so that an encoder or model above it runs once.
     """
     looked_up = exact_lookup(queries, cache)
     exact = F.col("matched_query").isNotNull()
+    rest = looked_up.where(~exact).select("qid", "embedding", "dominant_cluster", "cluster_distribution")
     similar = lookup_join(
-        semantic_lookup(looked_up.where(~exact), cache, threshold, depth),
+        semantic_lookup(materialize(rest, "rest"), cache, threshold, depth),
         cache.select(F.col("key").alias("matched_key"), F.col("query_text").alias("similar_query")),
         ["matched_key"],
         spread_by="qid",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sembra.session import lookup_join
+from sembra.session import lookup_join, materialize
 
 # Accuracy of the sketch that brackets a quantile; the exact value is searched inside.
 SKETCH_ACCURACY = 10_000
@@ -46,6 +46,7 @@ def exact_percentiles(df: DataFrame, group: list[str], value: str, probs: list[f
     bracket and sorts only what lies inside it (about a thousandth of a group).
     """
     values = df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("v"))
+    values = materialize(values, "values")  # two passes over two columns; the source runs once
     clip = lambda p: min(max(p, 0.0), 1.0)
     edges = sorted({0.0, 1.0} | {clip(p + side * BRACKET) for p in probs for side in (-1, 1)})
     whole = F.col("n") < WHOLE_GROUP_ROWS

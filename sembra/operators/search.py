@@ -22,6 +22,7 @@ from sembra.operators.blocks import (
     broadcast_topk,
     rank_order,
 )
+from sembra.session import materialize
 
 TOP_K = 5
 
@@ -83,15 +84,17 @@ def search_probed(queries: DataFrame, docs: DataFrame, k: int = TOP_K, depth: in
     ``queries`` also carries ``cluster_distribution`` and ``dominant_cluster``; ``docs``
     carries ``dominant_cluster``. Large clusters are cut into blocks, see ``blocked_topk``.
     """
+    # explode_outer: the plain form adds a filter on the array that runs its encoder twice.
     probes = queries.select(
         "qid",
         "qvec",
-        F.explode(
+        F.explode_outer(
             probe_clusters(F.col("cluster_distribution"), F.col("dominant_cluster"), depth)
         ).alias("cluster"),
     )
     members = _tied(docs, F.col("dominant_cluster").alias("cluster"))
-    return _ranked(blocked_topk(probes, members, k, group=["cluster"]), k)
+    # Counted per cluster and then joined: written once, so that models above run once.
+    return _ranked(blocked_topk(materialize(probes, "probes"), members, k, group=["cluster"]), k)
 
 
 def search_lsh(
@@ -124,7 +127,7 @@ def search_lsh(
             *[F.xxhash64(F.slice(values, table * hashes + 1, hashes)) for table in range(tables)]
         )
         hashed = model.transform(df.select(*cols, "v"))
-        return hashed.select(*cols, F.posexplode(buckets).alias("table", "bucket"))
+        return hashed.select(*cols, F.posexplode_outer(buckets).alias("table", "bucket"))
 
     hits = blocked_topk(
         bucketed(query_vectors, "qid", "qvec"),

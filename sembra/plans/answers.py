@@ -24,7 +24,7 @@ from sembra.operators.mixture import Mixture, predict_queries
 from sembra.operators.reduction import pca_transform
 from sembra.operators.search import TOP_K, format_hits, search_topk
 from sembra.plans.responses import format_response, pack_results, validate_queries
-from sembra.session import materialize
+from sembra.session import materialize, spread
 
 
 @dataclass(frozen=True)
@@ -42,7 +42,7 @@ def understand_queries(
     encoder: Callable[[], Encoder] = HashingEncoder,
 ) -> DataFrame:
     """Add vector and cluster fields to ``queries(qid, query)``."""
-    embedded = embed_queries(queries, encoder=encoder)
+    embedded = embed_queries(spread(queries), encoder=encoder)
     embedded = embedded.withColumn("embedding", as_double(F.col("embedding")))
     if pca is None:
         return predict_queries(embedded, mixture, "embedding")

@@ -91,6 +91,8 @@ def spread(df: DataFrame) -> DataFrame:
     For work that costs far more than moving the rows (regular expressions, encoders) on few
     or unsplittable files; with enough splits ``df`` is returned as it is.
     """
+    if df.isStreaming:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 

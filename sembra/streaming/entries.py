@@ -25,35 +25,38 @@ class Shelf:
 
     def __init__(self, dim: int):
         self.rows = np.empty((8, dim))
-        self.keys: list[str | None] = []
+        self.live = np.zeros(8, dtype=bool)
+        self.keys: list[str] = []
         self.at: dict[str, int] = {}
 
     def add(self, key: str, vector: np.ndarray) -> None:
+        if len(self.keys) == len(self.rows):
+            self._make_room()
         used = len(self.keys)
-        if used == len(self.rows):
-            self._repack() if len(self.at) < used // 2 else self._grow()
-            used = len(self.keys)
         self.rows[used] = vector
+        self.live[used] = True
         self.at[key] = used
         self.keys.append(key)
 
     def remove(self, key: str) -> None:
-        self.keys[self.at.pop(key)] = None
+        self.live[self.at.pop(key)] = False
 
-    def _grow(self) -> None:
-        self.rows = np.vstack([self.rows, np.empty_like(self.rows)])
-
-    def _repack(self) -> None:
-        live = [(k, i) for i, k in enumerate(self.keys) if k is not None]
-        self.rows[: len(live)] = self.rows[[i for _, i in live]]
-        self.keys = [k for k, _ in live]
+    def _make_room(self) -> None:
+        """Close the gaps; double the matrix if it is still more than half full."""
+        kept = np.flatnonzero(self.live)
+        self.rows[: len(kept)] = self.rows[kept]
+        self.keys = [self.keys[i] for i in kept]
         self.at = {k: i for i, k in enumerate(self.keys)}
+        if len(kept) > len(self.rows) // 2:
+            self.rows = np.vstack([self.rows, np.empty_like(self.rows)])
+        self.live = np.arange(len(self.rows)) < len(kept)
 
     def nearest(self, vector: np.ndarray) -> tuple[str, float] | None:
         if not self.at:
             return None
-        sims = self.rows[: len(self.keys)] @ vector
-        ranked = np.where([k is not None for k in self.keys], np.round(sims, RANK_DIGITS), -np.inf)
+        used = len(self.keys)
+        sims = self.rows[:used] @ vector
+        ranked = np.where(self.live[:used], np.round(sims, RANK_DIGITS), -np.inf)
         best = int(ranked.argmax())
         return self.keys[best], float(sims[best])
 

@@ -89,6 +89,9 @@ def semantic_cache_replay(
     blocks, index = sequence_blocks(prepare_log(log), block_rows)
     rounds = (index.agg(F.max("block")).first()[0] or 0) + 1
     path = scratch_path(spark, "replay")
+    # One folder per block, so that a round reads its own rows only.
+    blocks.repartition("block", "tenant").write.partitionBy("block").parquet(f"{path}-blocks")
+    blocks = spark.read.schema(blocks.schema).parquet(f"{path}-blocks")
     tenant = blocks.schema["tenant"].dataType.simpleString()
     schema = f"kind string, tenant {tenant}, {LOG_FIELDS}, {ENTRY_FIELDS}"
 
