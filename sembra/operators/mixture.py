@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -101,10 +102,18 @@ class Mixture:
         return cls(
             np.array(model.weights),
             np.array([g.mean.toArray() for g in model.gaussians]),
-            np.array([g.cov.toArray() for g in model.gaussians]),
+            np.array([_floored(g.cov.toArray()) for g in model.gaussians]),
         )
 
 
+def _floored(covariance: np.ndarray) -> np.ndarray:
+    """Raise variances below the floor: copies of one text make a component flat in some direction."""
+    variances, axes = np.linalg.eigh(covariance)
+    if variances[0] >= VARIANCE_FLOOR:
+        return covariance
+    return (axes * np.maximum(variances, VARIANCE_FLOOR)) @ axes.T
+
+
 def diagonal_mixture(df: DataFrame, label_col: str, vector_col: str = "embedding") -> Mixture:
     """The mixture a labelled table implies: share, mean and variance of every label.
 
@@ -142,31 +151,37 @@ def fit_gmm(
     covariance: str = "full",
     vector_col: str = "reduced",
     seed: int = SEED,
-    n_rows: int | None = None,
 ) -> tuple[GaussianMixtureModel, float]:
-    """Best of ``n_init`` EM fits by log likelihood, with that likelihood.
-
-    The likelihood is recomputed from the final parameters: the one in Spark's summary
-    belongs to the parameters before the last update.
-    """
+    """Best of ``n_init`` EM fits by log likelihood, with that likelihood."""
     if covariance != "full":
         raise ValueError("only full covariance is available")
-    features = df.select(
-        F.col(vector_col), array_to_vector(as_double(F.col(vector_col))).alias("features")
-    ).persist()
+    features = fit_features(df, vector_col).persist()
     try:
-        n = n_rows if n_rows is not None else features.count()
-        best: tuple[GaussianMixtureModel, float] | None = None
-        for restart in range(n_init):
-            model = GaussianMixture(
-                k=k, maxIter=max_iter, seed=seed + restart, tol=ROW_TOLERANCE * n
-            ).fit(features)
-            score = log_likelihood(features, Mixture.from_model(model), vector_col)
-            if best is None or score > best[1]:
-                best = model, score
+        return fit_restarts(features, features.count(), k, n_init, max_iter, seed, parallel=n_init)
     finally:
         features.unpersist()
-    return best
+
+
+def fit_features(df: DataFrame, vector_col: str = "reduced") -> DataFrame:
+    vector = as_double(F.col(vector_col))
+    return df.select(vector.alias("reduced"), array_to_vector(vector).alias("features"))
+
+
+def fit_restarts(
+    features: DataFrame, n: int, k: int, n_init: int, max_iter: int, seed: int = SEED, parallel: int = 1
+) -> tuple[GaussianMixtureModel, float]:
+    """Fits from ``n_init`` seeds on a cached table of ``n`` rows; ``parallel`` jobs in flight.
+
+    The likelihood is recomputed from the final parameters: the one in Spark's summary
+    belongs to the parameters before the last update.
+    """
+
+    def one(restart: int) -> tuple[GaussianMixtureModel, float]:
+        model = GaussianMixture(k=k, maxIter=max_iter, seed=seed + restart, tol=ROW_TOLERANCE * n).fit(features)
+        return model, log_likelihood(features, Mixture.from_model(model))
+
+    with ThreadPoolExecutor(parallel) as pool:
+        return max(pool.map(one, range(n_init)), key=lambda fitted: fitted[1])
 
 
 def gmm_posteriors(

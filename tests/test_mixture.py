@@ -75,6 +75,16 @@ def test_only_full_covariance(fitted):
         mx.fit_gmm(fitted[1], covariance="diag")
 
 
+def test_copies_do_not_break_a_fit(spark):
+    """Many equal rows give a component without any spread."""
+    rng = np.random.RandomState(2)
+    points = np.vstack([np.tile([5.0, 5.0, 5.0], (60, 1)), rng.randn(60, 3)])
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "doc_id long, reduced array<double>")
+    model, score = mx.fit_gmm(df, k=2, n_init=2, max_iter=40)
+    probs = [r["probs"] for r in mx.gmm_posteriors(df, mx.Mixture.from_model(model)).collect()]
+    assert np.isfinite(score) and np.allclose(np.sum(probs, axis=1), 1.0)
+
+
 def test_mixture_travels_as_json(fitted):
     mixture = mx.Mixture.from_model(fitted[2])
     again = mx.Mixture.from_json(mixture.to_json())
