@@ -1,0 +1,153 @@
+"""Many Gaussian mixtures fitted together: one scan of the data per EM iteration for all of them.
+
+A sweep over K with restarts is dozens of fits. Run one after the other they read the data
+thousands of times; here every iteration is one pass in which each task adds up the sufficient
+statistics of all mixtures still moving, and Spark sums them by (mixture, component). What
+reaches the driver is one row per component, whatever the number of data rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from sembra.functions.vectors import list_array, matrix
+from sembra.operators.mixture import ROW_TOLERANCE, VARIANCE_FLOOR, Mixture
+
+SEED_ROWS = 5_000
+SEED_ROUNDS = 10
+
+
+@dataclass(frozen=True)
+class Fit:
+    mixture: Mixture
+    log_likelihood: float  # per row, before the last update
+    n_iterations: int
+    converged: bool
+
+
+def _starting_point(sample: np.ndarray, k: int, rng: np.random.RandomState) -> Mixture:
+    """Spread-out centres in a bounded sample, improved by a few rounds of nearest-centre means."""
+    centres = sample[[rng.randint(len(sample))]]
+    while len(centres) < k:
+        gaps = ((sample[:, None, :] - centres[None, -1:, :]) ** 2).sum(axis=2)[:, 0]
+        nearest = gaps if len(centres) == 1 else np.minimum(nearest, gaps)
+        total = nearest.sum()
+        weights = nearest / total if total > 0 else None
+        centres = np.vstack([centres, sample[rng.choice(len(sample), p=weights)]])
+    for _ in range(SEED_ROUNDS):
+        distances = (sample**2).sum(axis=1)[:, None] - 2 * sample @ centres.T + (centres**2).sum(axis=1)
+        labels = distances.argmin(axis=1)
+        centres = np.array([sample[labels == c].mean(axis=0) if (labels == c).any() else centres[c] for c in range(k)])
+    overall = np.cov(sample.T).reshape(sample.shape[1], -1)
+    spreads, sizes = [], []
+    for c in range(k):
+        own = sample[labels == c]
+        sizes.append(max(len(own), 1))
+        # A handful of rows says little about a full matrix: lean on the overall one.
+        trust = len(own) / (len(own) + sample.shape[1])
+        local = np.cov(own.T, bias=True).reshape(overall.shape) if len(own) > 1 else overall
+        spreads.append(trust * local + (1 - trust) * overall + VARIANCE_FLOOR * np.eye(sample.shape[1]))
+    return Mixture(np.array(sizes) / np.sum(sizes), centres, np.array(spreads))
+
+
+def _statistics(mixture: Mixture, x: np.ndarray) -> np.ndarray:
+    """Per component: weight, sum of rows, upper triangle of the sum of squares, log density."""
+    upper = np.triu_indices(mixture.dim)
+    probs, density = mixture.assign(x)
+    out = np.zeros((mixture.k, 2 + mixture.dim + len(upper[0])))
+    out[:, 0] = probs.sum(axis=0)
+    out[:, 1 : 1 + mixture.dim] = probs.T @ x
+    for c in range(mixture.k):
+        out[c, 1 + mixture.dim : -1] = ((x * probs[:, [c]]).T @ x)[upper]
+    out[0, -1] = density.sum()
+    return out
+
+
+def _updated(stats: np.ndarray, dim: int, n: int) -> Mixture:
+    upper = np.triu_indices(dim)
+    weight = stats[:, 0] + 10 * np.finfo(float).eps
+    means = stats[:, 1 : 1 + dim] / weight[:, None]
+    spreads = np.empty((len(stats), dim, dim))
+    for c in range(len(stats)):
+        square = np.zeros((dim, dim))
+        square[upper] = stats[c, 1 + dim : -1] / weight[c]
+        square = square + square.T - np.diag(np.diag(square))
+        spreads[c] = square - np.outer(means[c], means[c]) + VARIANCE_FLOOR * np.eye(dim)
+    return Mixture(weight / weight.sum(), means, spreads)
+
+
+def _one_pass(features: DataFrame, mixtures: dict[int, Mixture]) -> dict[int, np.ndarray]:
+    """Summed statistics of every mixture, keyed as given."""
+    context = features.sparkSession.sparkContext
+    shared = context.broadcast(mixtures)
+
+    def accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            x = matrix(batch["reduced"])
+            for name, mixture in shared.value.items():
+                found = _statistics(mixture, x)
+                sums[name] = sums[name] + found if name in sums else found
+        for name, total in sums.items():
+            components = np.arange(len(total), dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(total), name, dtype=np.int32)), pa.array(components), list_array(total)],
+                names=["fit", "component", "stats"],
+            )
+
+    partial = features.select("reduced").mapInArrow(accumulate, "fit int, component int, stats array<double>")
+    summed = partial.groupBy("fit", "component").agg(
+        vector_to_array(Summarizer.sum(array_to_vector("stats"))).alias("stats")
+    )
+    table = summed.toArrow()
+    shared.destroy()
+    fits, components = table["fit"].to_numpy(), table["component"].to_numpy()
+    stats = matrix(table["stats"])
+    return {name: stats[fits == name][np.argsort(components[fits == name])] for name in mixtures}
+
+
+def fit_jointly(
+    features: DataFrame,
+    sample: np.ndarray,
+    n: int,
+    sizes: list[int],
+    n_init: int,
+    max_iter: int,
+    seed: int,
+    tolerance: float = ROW_TOLERANCE,
+) -> dict[int, Fit]:
+    """The best of ``n_init`` fits for every number of clusters in ``sizes``.
+
+    ``features(reduced)`` should be cached; ``sample`` holds at most ``SEED_ROWS`` of its rows,
+    from which all starting points are drawn. A fit stops when its mean log likelihood changes
+    by less than ``tolerance``.
+    """
+    starts = [(k, r) for k in sizes for r in range(n_init)]
+    moving = {i: _starting_point(sample, k, np.random.RandomState(seed + r)) for i, (k, r) in enumerate(starts)}
+    last = dict.fromkeys(moving, -np.inf)
+    done: dict[int, Fit] = {}
+    for iteration in range(1, max_iter + 1):
+        stats = _one_pass(features, moving)
+        for i in list(moving):
+            score = float(stats[i][0, -1]) / n
+            moving[i] = _updated(stats[i], moving[i].dim, n)
+            settled = abs(score - last[i]) < tolerance
+            last[i] = score
+            if settled or iteration == max_iter:
+                done[i] = Fit(moving.pop(i), score, iteration, settled)
+        if not moving:
+            break
+    return {
+        k: max((done[i] for i, (size, _) in enumerate(starts) if size == k), key=lambda f: f.log_likelihood)
+        for k in sizes
+    }

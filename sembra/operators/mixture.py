@@ -75,7 +75,9 @@ class Mixture:
             if self.is_full:
                 root = np.linalg.cholesky(self.spreads[c])
                 log_det = 2.0 * np.log(np.diag(root)).sum()
-                distance = (np.linalg.solve(root, diff.T) ** 2).sum(axis=0)
+                # Whitening by the small inverse keeps the work per row one matrix product.
+                white = diff @ np.linalg.inv(root).T
+                distance = np.einsum("ij,ij->i", white, white)
             else:
                 log_det = np.log(self.spreads[c]).sum()
                 distance = (diff**2 / self.spreads[c]).sum(axis=1)
