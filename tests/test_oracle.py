@@ -3,6 +3,7 @@
 import math
 
 import duckdb
+import pandas as pd
 import pytest
 from conftest import DATA
 
@@ -23,7 +24,7 @@ def duck():
 
 
 def plain(value):
-    if value is None or value != value:
+    if pd.isna(value):
         return ""
     if isinstance(value, float):
         return repr(round(value, 6) + 0.0)
