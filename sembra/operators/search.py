@@ -60,7 +60,8 @@ def search_topk(
     if table.num_rows > max_broadcast_queries:
         return search_topk_blocked(valid, docs, k)
     if table.num_rows == 0:
-        return _ranked(valid.join(docs, F.lit(False)).withColumn("similarity", F.lit(0.0)), k)
+        none = [valid.schema["qid"], docs.schema["doc_id"], T.StructField("similarity", T.DoubleType())]
+        return _ranked(docs.sparkSession.createDataFrame([], T.StructType(none)), k)
     return _ranked(broadcast_topk(table, _tied(docs), k), k)
 
 
