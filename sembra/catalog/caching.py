@@ -338,7 +338,7 @@ def exact_cache_replay(spark, sf_dir):
     with_(
         REPLAY,
         select="""
-SELECT time_bucket(INTERVAL '1 day', ts)::TIMESTAMP AS window_start, count(*) FILTER (hit) AS hit_count,
+SELECT strftime(time_bucket(INTERVAL '1 day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) FILTER (hit) AS hit_count,
        count(*) FILTER (NOT hit) AS miss_count, round(count(*) FILTER (hit) / count(*), 4) AS hit_rate
 FROM replayed GROUP BY 1""",
     ),
@@ -347,7 +347,8 @@ def hit_rate_windows_query(spark, sf_dir):
     log = _access_log(spark, sf_dir)
     replayed = ch.exact_cache_replay(log, CAPACITY, block_rows=5_000)
     timed = replayed.join(log.select("tenant", "seq", "ts"), ["tenant", "seq"])
-    return hit_rate_windows(timed, "1 day")
+    windows = hit_rate_windows(timed, "1 day")
+    return windows.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
 def tenant_log(spark, sf_dir):
