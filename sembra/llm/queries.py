@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from sembra.catalog.registry import query
+from sembra.llm.combination_join import Jaccard, jaccard_join, jaccard_sql
 from sembra.llm.common import fold, table
 from sembra.llm.html_regions import extract_pages
 from sembra.llm.language_id import fit_language_model, predict_languages
@@ -62,3 +63,9 @@ def op5_rank_array_bpe(spark, sf_dir):
 @query("op10_html_regions")
 def op10_html_regions(spark, sf_dir):
     return extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query("op4_combination_join", jaccard_sql(4, 85))
+def op4_combination_join(spark, sf_dir):
+    found = jaccard_join(table(spark, sf_dir, "documents"), Jaccard(words=4, percent=85))
+    return found.select("doc_id", "n_shingles", "component_id")

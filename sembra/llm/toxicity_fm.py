@@ -134,7 +134,7 @@ def platt(z: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 50) ->
 
 def fit_toxicity(
     labelled: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id",
-    per_label: int = 2_500, most_cells: int = 3_000, rank: int = 4, epochs: int = 30, rate: float = 0.1, l2: float = 2e-3,
+    per_label: int = 2_500, most_cells: int = 3_000, rank: int = 4, epochs: int = 30, rate: float = 0.2, l2: float = 2e-3,
 ) -> ToxicityModel:
     """Train on rows with a text and a label (0 or 1)."""
     usable = labelled.where(F.col(label).isin(0, 1)).select(key, text, F.col(label).cast("int").alias(label))
