@@ -11,6 +11,7 @@ from sembra.llm.common import fold, table
 from sembra.llm.html_regions import extract_pages
 from sembra.llm.language_id import fit_language_model, predict_languages
 from sembra.llm.line_quality import line_quality, quality_sql
+from sembra.llm.partition_search import search
 from sembra.llm.rank_array_bpe import encode_digests, load_vocabulary
 from sembra.llm.toxicity_fm import fit_toxicity, score_toxicity
 from sembra.llm.url_filter import filter_urls
@@ -48,6 +49,12 @@ def op9_toxicity(spark, sf_dir):
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
+@query("op2_partition_search")
+def op2_partition_search(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return search(vectors.where(F.col("vec_id") % 20 == 0), vectors, k=20)
+
+
 @query("op3_window_packing")
 def op3_window_packing(spark, sf_dir):
     vocabulary = load_byte_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
