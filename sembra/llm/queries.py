@@ -14,6 +14,7 @@ from sembra.llm.line_quality import line_quality, quality_sql
 from sembra.llm.partition_search import search
 from sembra.llm.rank_array_bpe import encode_digests, load_vocabulary
 from sembra.llm.toxicity_fm import fit_toxicity, score_toxicity
+from sembra.llm.trie_lm import score_texts
 from sembra.llm.url_filter import filter_urls
 from sembra.llm.window_packing import load_byte_vocabulary, pack_documents
 
@@ -76,3 +77,8 @@ def op10_html_regions(spark, sf_dir):
 def op4_combination_join(spark, sf_dir):
     found = jaccard_join(table(spark, sf_dir, "documents"), Jaccard(words=4, percent=85))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op8_trie_lm")
+def op8_trie_lm(spark, sf_dir):
+    return score_texts(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
