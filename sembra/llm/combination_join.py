@@ -191,25 +191,29 @@ def pair_signatures(tokens: np.ndarray, need: int, bracket: int) -> list[int]:
     ]
 
 
-def signatures_of(found: np.ndarray, bits: np.ndarray, rule: Jaccard) -> tuple[np.ndarray, bool]:
-    """(signatures of a set, whether all are single rare shingles)."""
+def signatures_of(found: np.ndarray, bits: np.ndarray, rule: Jaccard) -> tuple[np.ndarray, int, int]:
+    """(signatures of a set, how many of them are single rare shingles, frequent shingles of the set).
+
+    The last is -1 where the prefix needs no frequent ones.
+    """
     n = len(found)
     if 100 * n < rule.percent * (n + 1):
-        return found[:0], True  # nothing but an equal set can be linked
+        return found[:0], 0, -1  # nothing but an equal set can be linked
     cells = (found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
     frequent = (bits[cells >> 3] >> (7 - (cells & 7)).astype(np.uint8)) & 1 == 1
     rare, need = found[~frequent], rule.prefix(n)
     if len(rare) >= need:
-        return rare[:need], True
+        return rare[:need], need, -1
     bracket, largest = n.bit_length() - 1, 100 * n // rule.percent
     pairs: list[int] = []
     for b in range(bracket, largest.bit_length()):
         pairs += pair_signatures(found[frequent], need - len(rare), b)
-    return np.concatenate([rare, np.array(pairs, np.uint64)]), False
+    return np.concatenate([rare, np.array(pairs, np.uint64)]), len(rare), int(frequent.sum())
 
 
 def index_entries(docs: DataFrame, bits: np.ndarray, rule: Jaccard, text: str, key: str) -> DataFrame:
-    """(sig, doc, n): n is negative where pairs of frequent shingles are among the signatures.
+    """(sig, doc, n, f): n is negative where pairs of frequent shingles are among the signatures, f is
+    the number of the set's frequent shingles in the entries of such pairs, -1 in all others.
 
     Copies within a task are indexed once; exact classes hold all of them together anyway.
     """
@@ -218,24 +222,25 @@ def index_entries(docs: DataFrame, bits: np.ndarray, rule: Jaccard, text: str, k
     def run(batches):
         shingler, seen, table = Shingler(rule.words), set(), shared.value
         for batch in batches:
-            sigs, names, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+            sigs, names, sizes, commons = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = shingler(value)
                 digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
                 if digest in seen:
                     continue
                 seen.add(digest)
-                own, single = signatures_of(found, table, rule)
+                own, singles, frequent = signatures_of(found, table, rule)
                 sigs.append(own)
                 names.append(np.full(len(own), doc, np.int64))
-                sizes.append(np.full(len(own), len(found) if single else -len(found), np.int32))
+                sizes.append(np.full(len(own), len(found) if frequent < 0 else -len(found), np.int32))
+                commons.append(np.where(np.arange(len(own)) < singles, -1, frequent).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(names)), pa.array(np.concatenate(sizes))],
-                names=["sig", "doc", "n"],
+                [pa.array(np.concatenate(sigs).view(np.int64)), *(pa.array(np.concatenate(c)) for c in (names, sizes, commons))],
+                names=["sig", "doc", "n", "f"],
             )
 
     selected = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long"), text)
-    return selected.mapInArrow(run, "sig long, doc long, n int")
+    return selected.mapInArrow(run, "sig long, doc long, n int, f int")
 
 
 # --- candidates ---
@@ -243,7 +248,7 @@ def index_entries(docs: DataFrame, bits: np.ndarray, rule: Jaccard, text: str, k
 
 def run_candidates(entries: DataFrame, rule: Jaccard) -> DataFrame:
     """From entries sorted by signature: pairs (a, b, na, nb) of short runs, and the entries of long
-    runs as (sig, a, na) with a null b. Runs of one document give nothing."""
+    runs as (sig, a, na, f) with a null b. Runs of one document give nothing."""
 
     def pairs_of(docs, sizes):
         i, j = np.triu_indices(len(docs), 1)
@@ -262,7 +267,7 @@ def run_candidates(entries: DataFrame, rule: Jaccard) -> DataFrame:
             yield from emit(tail, True)
 
     def emit(columns, last):
-        sig, doc, n = columns
+        sig, doc, n, f = columns
         starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]]) if len(sig) else np.zeros(0, np.int64)
         ends = np.r_[starts[1:], len(sig)]
         keep = len(sig)
@@ -296,8 +301,9 @@ def run_candidates(entries: DataFrame, rule: Jaccard) -> DataFrame:
                 pa.concat_arrays([pa.array(b), nulls]),
                 pa.array(np.concatenate([na, n[rows]]).astype(np.int32)),
                 pa.concat_arrays([pa.array(nb.astype(np.int32)), pa.nulls(len(rows), pa.int32())]),
+                pa.concat_arrays([pa.nulls(len(a), pa.int32()), pa.array(f[rows].astype(np.int32))]),
             ],
-            names=["sig", "a", "b", "na", "nb"],
+            names=["sig", "a", "b", "na", "nb", "f"],
         )
 
     def fresh(batches):
@@ -305,7 +311,7 @@ def run_candidates(entries: DataFrame, rule: Jaccard) -> DataFrame:
         yield from run(batches)
 
     dealt = entries.repartition("sig").sortWithinPartitions("sig", "doc")
-    return dealt.mapInArrow(fresh, "sig long, a long, b long, na int, nb int")
+    return dealt.mapInArrow(fresh, "sig long, a long, b long, na int, nb int, f int")
 
 
 def enough_shared(pairs: DataFrame, rule: Jaccard) -> DataFrame:
@@ -424,37 +430,53 @@ def components(links: DataFrame) -> DataFrame:
 def link_long_runs(docs, entries, links, rule, text, key, rounds=2):
     """Links that join the components of documents which meet in long runs.
 
-    ``entries`` is (sig, doc, n). After ``rounds`` rounds of pivots, all pairs left between different
-    components of one signature are verified, less those of sizes that cannot be linked.
+    ``entries`` is (sig, doc, n, f). After ``rounds`` rounds of pivots (first the document with the
+    fewest rare shingles, which lies in the middle of its near copies) all pairs left between
+    different components of one signature are verified, less those that cannot be linked by their
+    sizes. Documents whose prefixes hold frequent shingles index all their rare ones singly, so if
+    they share a rare one they are candidates by it; if not, they share frequent ones at most, and
+    both must have as many as the link needs.
     """
     for turn in range(rounds + 1):
         roots = components(links)
         named = entries.join(roots.withColumnRenamed("node", "doc"), "doc", "left")
-        named = named.withColumn("root", F.coalesce("root", "doc"))
+        named = named.select("sig", "doc", F.abs("n").cast("long").alias("n"), "f", F.coalesce("root", "doc").alias("root"))
+        rare = F.when(F.col("f") < 0, F.col("n")).otherwise(F.col("n") - F.col("f"))
+        order = (rare, F.col("n"), F.col("doc")) if turn == 0 else (F.xxhash64("doc", F.lit(turn)), F.col("n"), F.col("doc"))
         spread = named.groupBy("sig").agg(
             F.min("root").alias("low"), F.max("root").alias("high"),
-            F.min(F.struct(F.xxhash64("doc", F.lit(turn)), "doc", "root", "n")).alias("pivot"),
+            F.min(F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)), "root", "f")).alias("pivot"),
         ).where("low < high")
         left = named.join(spread, "sig")
         if turn < rounds:
             pairs = left.where(F.col("root") != F.col("pivot.root")).select(
-                "doc", "n", F.col("pivot.doc").alias("other"), F.col("pivot.n").alias("m")
+                "doc", "n", "f", F.col("pivot.o2").alias("other"), F.col("pivot.o1").alias("m"), F.col("pivot.f").alias("g")
             )
+            pairs = pairs.where(can_link(rule))
         else:
-            kept = left.select("sig", "doc", "n", "root")
-            other = kept.select("sig", F.col("doc").alias("other"), F.col("n").alias("m"), F.col("root").alias("other_root"))
-            pairs = kept.join(other, "sig").where(F.col("root") < F.col("other_root"))
-        fits = 100 * F.least(F.abs("n"), F.abs("m")) >= rule.percent * F.greatest(F.abs("n"), F.abs("m"))
-        pairs = pairs.where(fits).select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct()
+            kept = left.select("sig", "doc", "n", "f", "root")
+            other = kept.select(
+                "sig", F.col("doc").alias("other"), F.col("n").alias("m"), F.col("f").alias("g"), F.col("root").alias("other_root")
+            )
+            pairs = kept.join(other, (kept.sig == other.sig) & (F.col("root") < F.col("other_root")) & can_link(rule))
+        pairs = pairs.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct()
         pairs = materialize(pairs, "long-pairs")
-        if pairs.isEmpty():
-            continue
-        links = materialize(links.union(verified(docs, pairs, rule, text, key)).distinct(), "long-links")
+        if not pairs.isEmpty():
+            links = materialize(links.union(verified(docs, pairs, rule, text, key)).distinct(), "long-links")
     return links
 
 
+def can_link(rule: Jaccard):
+    """Whether sets of n and m shingles, f and g of them frequent (-1: not known), can be linked by
+    what their entries of one signature say."""
+    n, m, f, g = (F.col(c) for c in "nmfg")
+    least = F.ceil(rule.percent * (n + m) / F.lit(100 + rule.percent))
+    shared = F.when((f < 0) | (g < 0), F.least(n, m)).otherwise(F.least(f, g))
+    return shared >= least
+
+
 def jaccard_join(docs: DataFrame, rule: Jaccard = Jaccard(), text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``key``, n_shingles, component_id and n_links (verified links of the document's class)."""
+    """``key``, n_shingles and component_id, one row per row of ``docs``."""
     scan = scan_sets(docs, rule, text, key)
     rows = scan.where(F.col("block").isNull()).select("doc", "n", "digest")
     total = rows.agg(F.sum("n")).head()[0] or 0
@@ -468,18 +490,16 @@ def jaccard_join(docs: DataFrame, rule: Jaccard = Jaccard(), text: str = "text",
     # Classes are joined by their first documents; a doc_id with several sets joins their classes.
     copies = firsts.where("doc <> first").select(F.col("doc").alias("a"), F.col("first").alias("b")).distinct()
     links = links.union(copies)
-    entries = found.where("b is null").select("sig", F.col("a").alias("doc"), F.col("na").alias("n"))
+    entries = found.where("b is null").select("sig", F.col("a").alias("doc"), F.col("na").alias("n"), "f")
     if not entries.isEmpty():
         links = link_long_runs(docs, entries, links, rule, text, key)
     roots = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("doc")).groupBy("doc").agg(F.count(F.lit(1)).alias("n_links"))
     kind = docs.schema[key].dataType
     return (
         rows.join(roots.withColumnRenamed("node", "doc"), "doc", "left")
-        .join(degree, "doc", "left")
         .select(
             F.col("doc").cast(kind).alias(key), F.col("n").alias("n_shingles"),
-            F.coalesce("root", "doc").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+            F.coalesce("root", "doc").alias("component_id"),
         )
     )
 

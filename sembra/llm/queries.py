@@ -75,8 +75,7 @@ def op10_html_regions(spark, sf_dir):
 
 @query("op4_combination_join", jaccard_sql(4, 85))
 def op4_combination_join(spark, sf_dir):
-    found = jaccard_join(table(spark, sf_dir, "documents"), Jaccard(words=4, percent=85))
-    return found.select("doc_id", "n_shingles", "component_id")
+    return jaccard_join(table(spark, sf_dir, "documents"), Jaccard(words=4, percent=85))
 
 
 @query("op8_trie_lm")
