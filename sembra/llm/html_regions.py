@@ -157,8 +157,11 @@ def smoothed(ratios: np.ndarray, sigma: float = 1.0) -> np.ndarray:
 
 
 def cluster_threshold(values: np.ndarray) -> float:
-    """Midpoint of the two means in one dimension, started at the extremes."""
-    low, high = float(values.min()), float(values.max())
+    """Midpoint of the two means in one dimension, started at zero (markup alone) and the largest.
+
+    If no value is below half of the largest, all are content.
+    """
+    low, high = 0.0, float(values.max())
     for _ in range(50):
         cut = (low + high) / 2
         above = values >= cut

@@ -7,7 +7,7 @@ stem with the length of the text) add their inner product, which additive weight
 
 Training reads a sample of labelled rows: about ``per_label`` of either label, all if there are
 fewer, chosen by a hash of the key. Cells are selected by how far their document frequencies
-differ between the labels; the machine is then fitted by AdaGrad in numpy. A fifth of the sample
+differ between the labels, with the most frequent ones; the machine is then fitted by AdaGrad in numpy. A fifth of the sample
 is set aside; scale and offset of the final logit are fitted on it, each label weighted to its
 share among all labelled rows. Null and empty texts have no terms and
 get the score of the intercept. Without two labels every text gets the share of label 1 (0 if
@@ -92,8 +92,9 @@ def training_features(sample: DataFrame, text: str, label: str) -> list:
     return sorted((r.toxic, r.total, bytes(r.cells), bytes(r.counts)) for r in rows)
 
 
-def select_cells(features: list, labels: np.ndarray, least: int, most: int) -> np.ndarray:
-    """Cells whose share of toxic documents is farthest from their share of the others."""
+def select_cells(features: list, labels: np.ndarray, least: int, most: int, common: int) -> np.ndarray:
+    """Cells whose share of toxic documents is farthest from their share of the others, and the
+    ``common`` most frequent ones, which may matter in pairs only."""
     found = []
     for label in (0, 1):
         of = [c for (c, _), y in zip(features, labels) if y == label]
@@ -104,7 +105,9 @@ def select_cells(features: list, labels: np.ndarray, least: int, most: int) -> n
     far = np.abs(toxic / n1 - clean / n0) / np.sqrt(share * (1 - share) * (1 / n0 + 1 / n1))
     far[(clean + toxic) < least] = 0
     chosen = np.argsort(-far, kind="stable")[:most]
-    return np.sort(chosen[far[chosen] > 2.0])
+    often = np.argsort(-(clean + toxic), kind="stable")[:common]
+    often = often[((clean + toxic)[often] >= least) & (share[often] < 0.9)]
+    return np.union1d(chosen[far[chosen] > 2.0], often)
 
 
 def logit(at: np.ndarray, x: np.ndarray, w: np.ndarray, v: np.ndarray, b: float) -> float:
@@ -134,7 +137,7 @@ def platt(z: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 50) ->
 
 def fit_toxicity(
     labelled: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id",
-    per_label: int = 2_500, most_cells: int = 3_000, rank: int = 4, epochs: int = 30, rate: float = 0.2, l2: float = 2e-3,
+    per_label: int = 2_500, most_cells: int = 3_000, common_cells: int = 200, rank: int = 4, epochs: int = 30, rate: float = 0.2, l2: float = 2e-3,
 ) -> ToxicityModel:
     """Train on rows with a text and a label (0 or 1)."""
     usable = labelled.where(F.col(label).isin(0, 1)).select(key, text, F.col(label).cast("int").alias(label))
@@ -146,7 +149,7 @@ def fit_toxicity(
         return ToxicityModel(prior)
     labels = np.array([r[0] for r in rows])
     features = [(np.frombuffer(r[2], "<i4"), np.frombuffer(r[3], "<i4")) for r in rows]
-    cells = select_cells(features, labels, 3, most_cells)
+    cells = select_cells(features, labels, 3, most_cells, common_cells)
     inputs = []
     for found, counts in features:
         at = np.searchsorted(cells, found)
@@ -155,7 +158,7 @@ def fit_toxicity(
     draw = np.random.default_rng(5)
     order = draw.permutation(len(rows))
     aside, fitted = (order[::5], np.delete(order, np.s_[::5])) if len(rows) >= 50 else (order, order)
-    w, v, b = np.zeros(len(cells)), draw.normal(scale=0.01, size=(len(cells), rank)), 0.0
+    w, v, b = np.zeros(len(cells)), draw.normal(scale=0.05, size=(len(cells), rank)), 0.0
     gw, gv = np.full(len(cells), 1e-2), np.full((len(cells), rank), 1e-2)
     drawn = np.bincount(labels, minlength=2)
     balance = len(labels) / (2 * np.maximum(1, drawn))
