@@ -5,7 +5,7 @@ Every frame has a twin in SQL; ``with_`` joins common table expressions into one
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sembra.operators.encode import TOKEN_BREAK, HashingEncoder, embed_documents
@@ -198,9 +198,9 @@ def embedding_sql(source: str, name: str) -> str:
 
 def languages(df: DataFrame) -> DataFrame:
     """``cluster`` = position of the language in alphabetical order."""
-    names = sorted(r[0] for r in df.select("lang").distinct().limit(1_000).collect())
-    number = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("lang")) - 1
-    return df.withColumn("cluster", number.cast("int"))
+    place = F.dense_rank().over(Window.orderBy("lang")) - 1
+    names = df.select("lang").where("lang is not null").distinct().withColumn("cluster", place.cast("int"))
+    return df.join(names, "lang", "left").select(*df.columns, "cluster")
 
 
 def text_store(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,12 +41,14 @@ class Mixture:
     """Parameters small enough to travel with a task: ``K`` weights, means and spreads.
 
     ``spreads`` holds variances (``K x d``) of a diagonal mixture or covariance matrices
-    (``K x d x d``) of a full one.
+    (``K x d x d``) of a full one. ``labels`` are the cluster ids to report where these are not
+    0, 1, ... (posteriors stay in the order of the components).
     """
 
     weights: np.ndarray
     means: np.ndarray
     spreads: np.ndarray
+    labels: np.ndarray | None = None
 
     @property
     def k(self) -> int:
@@ -93,7 +95,8 @@ class Mixture:
         return shifted / total, (top + np.log(total))[:, 0]
 
     def to_json(self) -> str:
-        return json.dumps({n: getattr(self, n).tolist() for n in ("weights", "means", "spreads")})
+        names = ("weights", "means", "spreads", "labels")
+        return json.dumps({n: getattr(self, n).tolist() for n in names if getattr(self, n) is not None})
 
     @classmethod
     def from_json(cls, text: str) -> Mixture:
@@ -119,10 +122,11 @@ def _floored(covariance: np.ndarray) -> np.ndarray:
 def diagonal_mixture(df: DataFrame, label_col: str, vector_col: str = "embedding") -> Mixture:
     """The mixture a labelled table implies: share, mean and variance of every label.
 
-    Clusters are numbered 0, 1, ... in label order. One map-side combined aggregation; what
-    reaches the driver is the parameter table, refused above ``MAX_PARAMETERS`` numbers.
+    Components are in label order and carry their labels (whole numbers), which need not be without
+    gaps. One map-side combined aggregation; what reaches the driver is the parameter table, refused
+    above ``MAX_PARAMETERS`` numbers.
     """
-    features = df.select(label_col, array_to_vector(as_double(F.col(vector_col))).alias("v"))
+    features = df.where(F.col(label_col).isNotNull()).select(label_col, array_to_vector(as_double(F.col(vector_col))).alias("v"))
     rows = (
         features.groupBy(label_col)
         .agg(
@@ -131,7 +135,7 @@ def diagonal_mixture(df: DataFrame, label_col: str, vector_col: str = "embedding
             Summarizer.variance(F.col("v")).alias("var"),
         )
         .orderBy(label_col)
-        .select("n", vector_to_array("mean").alias("mean"), vector_to_array("var").alias("var"))
+        .select(F.col(label_col).alias("label"), "n", vector_to_array("mean").alias("mean"), vector_to_array("var").alias("var"))
     )
     limit = 100_000
     table = rows.limit(limit + 1).collect()
@@ -142,9 +146,23 @@ def diagonal_mixture(df: DataFrame, label_col: str, vector_col: str = "embedding
         counts / counts.sum(),
         np.array([r["mean"] for r in table]),
         np.array([r["var"] for r in table]) + VARIANCE_FLOOR,
+        np.array([r["label"] for r in table], dtype=np.int64),
     )
 
 
+def _labelled(mixture: Mixture, cluster: Column) -> Column:
+    """The label of a component number."""
+    if mixture.labels is None:
+        return cluster
+    return F.get(F.lit(mixture.labels.tolist()).cast("array<int>"), cluster)
+
+
+def _labelled_map(mixture: Mixture, distribution: Column) -> Column:
+    if mixture.labels is None:
+        return distribution
+    return F.transform_keys(distribution, lambda cluster, p: _labelled(mixture, cluster))
+
+
 def fit_gmm(
     df: DataFrame,
     k: int = N_CLUSTERS,
@@ -210,8 +228,8 @@ def assign_clusters(df: DataFrame, mixture: Mixture, vector_col: str = "reduced"
     """Hard label, top-5 distribution and entropy of every document."""
     return gmm_posteriors(df, mixture, vector_col).withColumns(
         {
-            "dominant_cluster": dominant_cluster(F.col("probs")),
-            "cluster_distribution": doc_distribution(F.col("probs")),
+            "dominant_cluster": _labelled(mixture, dominant_cluster(F.col("probs"))),
+            "cluster_distribution": _labelled_map(mixture, doc_distribution(F.col("probs"))),
             "entropy": membership_entropy(F.col("probs")),
         }
     )
@@ -223,8 +241,8 @@ def predict_queries(df: DataFrame, mixture: Mixture, vector_col: str = "reduced"
         gmm_posteriors(df, mixture, vector_col)
         .withColumns(
             {
-                "dominant_cluster": dominant_cluster(F.col("probs")),
-                "cluster_distribution": query_distribution(F.col("probs")),
+                "dominant_cluster": _labelled(mixture, dominant_cluster(F.col("probs"))),
+                "cluster_distribution": _labelled_map(mixture, query_distribution(F.col("probs"))),
                 "entropy": membership_entropy(F.col("probs")),
             }
         )

@@ -146,7 +146,12 @@ def format_hits(hits: DataFrame, store: DataFrame) -> DataFrame:
 
     ``store(doc_id, document, category, dominant_cluster, cluster_distribution)``. The
     distribution is a map or its JSON text; it is null when absent or not valid JSON.
+
+    The hits are written first: their size in bytes then lets the planner send their ids to the
+    store (below its broadcast threshold), so that only the rows of hits are moved.
     """
+    hits = materialize(hits, "hits")
+    store = store.join(hits.select("doc_id").distinct(), "doc_id", "left_semi")
     by_cluster = F.col("cluster_distribution")
     if isinstance(store.schema["cluster_distribution"].dataType, T.StringType):
         parsed = F.from_json(by_cluster, "map<string,double>", {"mode": "PERMISSIVE"})

@@ -44,9 +44,11 @@ def format_response(queries: DataFrame, log: DataFrame, cached: DataFrame, fresh
     """One response per query.
 
     ``cached(matched_key, cached_result)`` answers hits and ``fresh(qid, result)`` misses. The
-    cluster fields are those of the query itself, also on a hit.
+    cluster fields are those of the query itself, also on a hit. A query that was searched and
+    found nothing has an empty list.
     """
     hit = F.col("hit")
+    nothing = F.array().cast(fresh.schema["result"].dataType)
     return (
         queries.select("qid", "query", "dominant_cluster", "cluster_distribution")
         .join(log.select("qid", "hit", "matched_key", "matched_query", "score"), "qid")
@@ -58,7 +60,7 @@ def format_response(queries: DataFrame, log: DataFrame, cached: DataFrame, fresh
             hit.alias("cache_hit"),
             F.when(hit, F.col("matched_query")).alias("matched_query"),
             F.when(hit, F.round("score", 4)).alias("similarity_score"),
-            F.when(hit, F.col("cached_result")).otherwise(F.col("result")).alias("result"),
+            F.when(hit, F.col("cached_result")).otherwise(F.coalesce("result", nothing)).alias("result"),
             "dominant_cluster",
             "cluster_distribution",
         )

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hit_rate_windows(log: DataFrame, width: str = "1 hour", lateness: str = "1 hour") -> DataFrame:
+def hit_rate_windows(log: DataFrame, width: str = "1 hour", lateness: str | None = None) -> DataFrame:
     """Hits, misses and hit rate per tumbling window of ``ts``, for tables and streams.
 
-    On a stream, rows later than ``lateness`` behind the newest one are dropped.
+    A stream must say its ``lateness``: rows later than that behind the newest one are dropped.
     """
     if log.isStreaming:
+        if lateness is None:
+            raise ValueError("a stream needs a lateness")
         log = log.withWatermark("ts", lateness)
     hits, total = F.count_if(F.col("hit")), F.count(F.lit(1))
     return (

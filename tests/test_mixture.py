@@ -200,3 +200,12 @@ def test_project_2d_fixes_signs(blobs):
     _, _, df = blobs
     coordinates, share = rd.project_2d(df)
     assert 0.8 < share <= 1.0 and {"x", "y"} <= set(coordinates.columns) and coordinates.count() == 240
+
+
+def test_labels_with_gaps_are_reported(spark):
+    rows = [(i, [float(label) * 10 + (i % 3) * 0.1, 1.0], label) for i, label in enumerate([2, 5, 7] * 20)]
+    labelled = spark.createDataFrame(rows, "doc_id long, reduced array<double>, label int")
+    mixture = mx.diagonal_mixture(labelled, "label", "reduced")
+    assert mx.Mixture.from_json(mixture.to_json()).labels.tolist() == [2, 5, 7]
+    found = mx.assign_clusters(labelled, mixture).where("dominant_cluster = label and map_contains_key(cluster_distribution, label)")
+    assert found.count() == 60
