@@ -29,6 +29,7 @@ Repeated rows give repeated results.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import zlib
 from dataclasses import dataclass
@@ -59,8 +60,17 @@ class Jaccard:
     percent: int = 80
 
     def __post_init__(self):
-        if not 50 <= self.percent <= 100:
-            raise ValueError("percent must be from 50 to 100")
+        if not 51 <= self.percent <= 100:
+            raise ValueError("percent must be from 51 to 100")
+
+    def groups(self, bracket: int) -> int:
+        """Groups of frequent shingles for sets of this size bracket.
+
+        More groups need fewer pairs. But every group may hold one shingle that counts for nothing,
+        so they are the most (a half, quarter ... of the least size) with which any set of the
+        bracket, or of the one below with a partner in it, can still fill its prefix.
+        """
+        return max(1, (1 << bracket) // _group_share(self.percent))
 
     def prefix(self, n):
         """How much of a set of n must be indexed for one shared shingle to be certain."""
@@ -75,6 +85,21 @@ class Jaccard:
         return 100 * np.minimum(n, m) >= self.percent * np.maximum(n, m)
 
 
+@functools.cache
+def _group_share(percent: int) -> int:
+    rule = Jaccard(1, percent)
+
+    def enough(share: int) -> bool:
+        return all(
+            n - max(1, (1 << b) // share) >= rule.prefix(n)
+            for n in range(1, 2_000)
+            if 100 * n >= percent * (n + 1)
+            for b in range(n.bit_length() - 1, (100 * n // percent).bit_length())
+        )
+
+    return next(share for share in (2, 4, 8, 16, 32, 64) if enough(share))
+
+
 class Shingler:
     """Sorted distinct 64-bit hashes of a text's shingles; words are hashed once while cached."""
 
@@ -172,10 +197,9 @@ def frequent_bits(scan: DataFrame, total: int) -> np.ndarray:
 # --- signatures ---
 
 
-def pair_signatures(tokens: np.ndarray, need: int, bracket: int) -> list[int]:
+def pair_signatures(tokens: np.ndarray, need: int, bracket: int, n_groups: int) -> list[int]:
     """Hashes of the indexed pairs of frequent shingles, taken in order until they count ``need``."""
     groups: dict[int, list[int]] = {}
-    n_groups = max(1, (1 << bracket) // 8)
     counted = 0
     for token in tokens.tolist():
         members = groups.setdefault((token >> 7) % n_groups, [])
@@ -207,7 +231,7 @@ def signatures_of(found: np.ndarray, bits: np.ndarray, rule: Jaccard) -> tuple[n
     bracket, largest = n.bit_length() - 1, 100 * n // rule.percent
     pairs: list[int] = []
     for b in range(bracket, largest.bit_length()):
-        pairs += pair_signatures(found[frequent], need - len(rare), b)
+        pairs += pair_signatures(found[frequent], need - len(rare), b, rule.groups(b))
     return np.concatenate([rare, np.array(pairs, np.uint64)]), len(rare), int(frequent.sum())
 
 
