@@ -8,7 +8,8 @@ indexed in its most probable part. A query is routed to its most probable parts;
 calibrated on held-out vectors of the sample, so that ``target_recall`` of their true neighbours
 lie in the parts visited (all parts, if need be). Inside the parts scores are exact.
 
-Parts are cut into blocks by a hash of the id, queries of a part into blocks too, and each pair of
+The number of parts is fixed (fewer for samples too small to fill them), so that what a query
+gathers from its parts does not grow with the table. Parts are cut into blocks by a hash of the id, queries of a part into blocks too, and each pair of
 blocks meets in one task that returns the k best per query; so a part or a vector that holds a
 third of all rows becomes more tasks, not a larger one.
 
@@ -46,8 +47,7 @@ class Partitioner:
 @dataclass(frozen=True)
 class SearchSettings:
     sample_rows: int = 8_192
-    rows_per_part: int = 500
-    most_parts: int = 128
+    parts: int = 32
     neighbours: int = 20
     target_recall: float = 0.95
     block_rows: int = 16_384
@@ -60,8 +60,8 @@ class SearchSettings:
 def neighbour_graph(vectors: np.ndarray, queries: np.ndarray, k: int, own: bool) -> np.ndarray:
     """Rows of the k largest inner products for each query; ``own``: query i is vector i."""
     out = []
-    for start in range(0, len(queries), 1024):
-        scores = queries[start : start + 1024] @ vectors.T
+    for start in range(0, len(queries), 256):
+        scores = queries[start : start + 256] @ vectors.T
         if own:
             at = np.arange(len(scores))
             scores[at, start + at] = -np.inf
@@ -130,12 +130,12 @@ def fit_classifier(vectors: np.ndarray, targets: np.ndarray, epochs: int = 40, b
     return params[0] * scale, params[1]
 
 
-def fit_partitioner(sample: np.ndarray, total: int, settings: SearchSettings = SearchSettings()) -> Partitioner:
+def fit_partitioner(sample: np.ndarray, settings: SearchSettings = SearchSettings()) -> Partitioner:
     """Graph, parts, classifier and number of probes from the sampled vectors (rows in a fixed order)."""
     held = np.zeros(len(sample), bool)
     held[::10] = len(sample) >= 200
     vectors, queries = sample[~held], sample[held]
-    parts = int(min(settings.most_parts, total // settings.rows_per_part, len(vectors) // (2 * settings.neighbours)))
+    parts = min(settings.parts, len(vectors) // (2 * settings.neighbours))
     if parts < 2:
         return Partitioner(np.zeros((sample.shape[1], 1)), np.zeros(1), 1)
     k = settings.neighbours
@@ -243,7 +243,7 @@ def search(
         model = Partitioner(np.zeros((1, 1)), np.zeros(1), 1)
         usable = usable.where(F.lit(False))
     else:
-        model = fit_partitioner(sample, total, settings)
+        model = fit_partitioner(sample, settings)
     dimensions = model.weights.shape[0]
     indexed = materialize(assign(usable, model, 1), "partition-index")
     asked = usable_vectors(queries, key, embedding).where(F.size("v") == dimensions)
@@ -251,7 +251,7 @@ def search(
     routed = materialize(assign(asked, model, model.probes), "partition-routes")
     sizes = indexed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / settings.block_rows).alias("blocks"))
     asks = routed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / settings.block_queries).alias("query_blocks"))
-    plan = F.broadcast(sizes.join(asks, "part"))  # at most ``most_parts`` rows
+    plan = F.broadcast(sizes.join(asks, "part"))  # at most ``parts`` rows
     left = routed.join(plan, "part").select(
         "part", numbers("blocks").alias("block"), block_of("id", "query_blocks").alias("query_block"), "id", "v"
     )

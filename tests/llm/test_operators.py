@@ -98,7 +98,7 @@ def test_search_recall_and_exact_scores(spark):
     vectors = draw.normal(size=(3000, 16))
     vectors[::3] = vectors[0]  # a third of all rows is one vector
     frame = spark.createDataFrame([(i, v.tolist(), 9) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, id int")
-    settings = ps.SearchSettings(rows_per_part=200, block_rows=500, block_queries=16)
+    settings = ps.SearchSettings(parts=12, block_rows=100, block_queries=16)
     found = ps.search(frame.where("vec_id % 50 = 0"), frame, 10, settings=settings).collect()
     hit = total = 0
     for q in range(0, 3000, 50):
