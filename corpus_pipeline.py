@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from sembra.llm.combination_join import Jaccard, jaccard_join
 from sembra.llm.common import table
 from sembra.llm.line_quality import keep_good
-from sembra.llm.queries import labelled_texts
 from sembra.llm.toxicity_fm import fit_toxicity, keep_clean
 from sembra.llm.window_packing import load_byte_vocabulary, pack_documents
 from sembra.session import materialize, ship_package
@@ -28,7 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that score below the threshold, by a machine fitted on the labelled rows of ``docs``."""
     ship_package(spark)
-    return keep_clean(docs, fit_toxicity(labelled_texts(docs, table(spark, sf_dir, "labels"))))
+    return keep_clean(docs, fit_toxicity(table(spark, sf_dir, "labels"), docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

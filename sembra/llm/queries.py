@@ -19,11 +19,6 @@ from sembra.llm.url_filter import filter_urls
 from sembra.llm.window_packing import load_byte_vocabulary, pack_documents
 
 
-def labelled_texts(docs, labels):
-    """Texts with their toxicity label; unlabelled documents are left out."""
-    return docs.select("doc_id", "text").join(labels.select("doc_id", "toxic").where(F.col("toxic").isNotNull()), "doc_id")
-
-
 @query("op1_line_quality", quality_sql())
 def op1_line_quality(spark, sf_dir):
     return line_quality(table(spark, sf_dir, "documents"))
@@ -45,8 +40,8 @@ def op7_language_id(spark, sf_dir):
 @query("op9_toxicity")
 def op9_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    labelled = labelled_texts(docs.where(fold("doc_id", 4) != 2), table(spark, sf_dir, "labels"))
-    found = score_toxicity(docs, fit_toxicity(labelled))
+    labels = table(spark, sf_dir, "labels").where(fold("doc_id", 4) != 2)
+    found = score_toxicity(docs, fit_toxicity(labels, docs))
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 

@@ -136,12 +136,19 @@ def platt(z: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 50) ->
 
 
 def fit_toxicity(
-    labelled: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id",
+    labelled: DataFrame, docs: DataFrame | None = None, text: str = "text", label: str = "toxic", key: str = "doc_id",
     per_label: int = 2_500, most_cells: int = 3_000, common_cells: int = 200, rank: int = 4, epochs: int = 30, rate: float = 0.2, l2: float = 2e-3,
 ) -> ToxicityModel:
-    """Train on rows with a text and a label (0 or 1)."""
-    usable = labelled.where(F.col(label).isin(0, 1)).select(key, text, F.col(label).cast("int").alias(label))
-    rows = training_features(bounded_sample(usable, label, key, per_label), text, label)
+    """Train on rows of ``labelled`` with a label (0 or 1).
+
+    Their texts are in ``labelled``, or in ``docs`` under the same key: then the labels are sampled
+    first, and the sample, of about ``2 * per_label`` rows, goes to the documents; no text is moved.
+    """
+    known = [key, F.col(label).cast("int").alias(label), *([] if docs is not None else [text])]
+    sample = bounded_sample(labelled.where(F.col(label).isin(0, 1)).select(*known), label, key, per_label)
+    if docs is not None:
+        sample = docs.select(key, text).join(F.broadcast(sample), key)
+    rows = training_features(sample, text, label)
     totals = {toxic: total for toxic, total, _, _ in rows}
     share = totals.get(1, 0) / max(1, sum(totals.values()))
     prior = float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)))
