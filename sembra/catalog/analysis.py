@@ -118,13 +118,15 @@ def entropy_percentile(spark, sf_dir):
         select="""
 SELECT category, round(min(entropy), 4) AS minimum, round(quantile_cont(entropy, 0.25), 4) AS q1,
        round(quantile_cont(entropy, 0.5), 4) AS median, round(quantile_cont(entropy, 0.75), 4) AS q3,
-       round(max(entropy), 4) AS maximum FROM ent GROUP BY category""",
+       round(max(entropy), 4) AS maximum,
+       row_number() OVER (ORDER BY round(quantile_cont(entropy, 0.5), 9), category) AS median_order
+FROM ent GROUP BY category""",
     ),
 )
 def entropy_by_category(spark, sf_dir):
     boxes = an.entropy_by_category(_entropies(spark, sf_dir))
     return boxes.select(
-        "category", *[F.round(c, 4).alias(c) for c in ("minimum", "q1", "median", "q3", "maximum")]
+        "category", *[F.round(c, 4).alias(c) for c in ("minimum", "q1", "median", "q3", "maximum")], "median_order"
     )
 
 

@@ -96,13 +96,16 @@ def entropy_percentile(df: DataFrame, p: float = 0.95) -> DataFrame:
 
 
 def entropy_by_category(df: DataFrame) -> DataFrame:
-    """Box-plot figures per short category name, with the order of their medians."""
+    """Box-plot figures per short category name; ``median_order`` (from 1) sorts them by median, then name."""
     named = df.select(short_category(F.col("category")).alias("category"), "entropy")
     quartiles = exact_percentiles(named, ["category"], "entropy", [0.0, 0.25, 0.5, 0.75, 1.0])
     names = {0.0: "minimum", 0.25: "q1", 0.5: "median", 0.75: "q3", 1.0: "maximum"}
-    return quartiles.groupBy("category").agg(
+    boxes = quartiles.groupBy("category").agg(
         *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name) for p, name in names.items()]
     )
+    # Medians equal up to the last bits count as ties; there is one row per category.
+    order = Window.orderBy(F.round("median", 9), "category")
+    return boxes.withColumn("median_order", F.row_number().over(order).cast("long"))
 
 
 def sample_pairs(df: DataFrame, n: int = PAIR_COUNT, seed: int = 42) -> DataFrame:
@@ -111,7 +114,7 @@ def sample_pairs(df: DataFrame, n: int = PAIR_COUNT, seed: int = 42) -> DataFram
     A same-category draw picks a category uniformly, then two distinct documents of it;
     categories with fewer than two documents give nothing. A cross draw picks two distinct
     documents and is dropped if their categories agree. Documents are addressed by their
-    position in hash order, so only the drawn ones are ever moved.
+    position in hash order; numbering the documents moves ids and categories, never texts.
     """
     docs = df.select("doc_id", "category")
     sizes = docs.groupBy("category").agg(F.count(F.lit(1)).alias("size"))
@@ -172,7 +175,14 @@ def _drawn(draws: DataFrame, numbered: DataFrame, group: list[str]) -> DataFrame
 
 
 def pair_similarity(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Add the similarity of every pair; ``vectors(doc_id, embedding)``."""
+    """Add the similarity of every pair; ``vectors(doc_id, embedding)``.
+
+    The pairs are written first: their size in bytes lets the planner send their ids to the vectors
+    (below its broadcast threshold), so that only the vectors of pairs are moved.
+    """
+    pairs = materialize(pairs, "pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    vectors = vectors.join(ids, "doc_id", "left_semi")
     side = lambda s: vectors.select(F.col("doc_id").alias(s), F.col("embedding").alias(f"v{s}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
     return joined.withColumn("similarity", dot(F.col("va"), F.col("vb"))).drop("va", "vb")

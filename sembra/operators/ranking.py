@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from sembra.session import lookup_join, materialize
 
-# Accuracy of the sketch that brackets a quantile; the exact value is searched inside.
+# Accuracy of the sketch that brackets a percentile; the exact value is searched inside.
 SKETCH_ACCURACY = 10_000
-BRACKET = 5.0 / SKETCH_ACCURACY
-# Below this many rows a bracket is only a few ranks wide; the whole group is taken instead.
-WHOLE_GROUP_ROWS = 20_000
+# Half widths of the brackets, narrow to wide; after the last one the whole range of values.
+WIDTHS = tuple(5.0 / SKETCH_ACCURACY * 8**step for step in range(4))
+# Ranks that a bracket must span on either side to be worth a try.
+LEAST_RANKS = 4
 
 
 def with_positions(df: DataFrame, group: list[str], id_col: str, output_col: str = "position") -> DataFrame:
@@ -42,51 +43,83 @@ def with_positions(df: DataFrame, group: list[str], id_col: str, output_col: str
 def exact_percentiles(df: DataFrame, group: list[str], value: str, probs: list[float]) -> DataFrame:
     """Linearly interpolated percentiles per group: ``group..., prob, value``.
 
-    A mergeable sketch brackets each percentile, the second pass counts what lies below the
-    bracket and sorts only what lies inside it (about a thousandth of a group).
+    A mergeable sketch brackets each percentile; a second pass counts what lies below the bracket
+    and ranks only what lies inside it. A percentile found outside its bracket (the sketch is
+    approximate) is searched again in the next wider one; the widest is the group's whole range.
     """
     values = df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("v"))
-    values = materialize(values, "values")  # two passes over two columns; the source runs once
+    values = materialize(values, "values")  # several passes over two columns; the source runs once
+    open_ = materialize(_brackets(values, group, probs), "brackets")
+    done = None
+    while True:
+        picked = materialize(_search(values, open_, group), "percentiles")
+        inside = F.col("lower").isNotNull() & F.col("upper").isNotNull()
+        exact = F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("fraction")
+        found = picked.where(inside).select(*group, "prob", exact.alias("value"))
+        done = found if done is None else done.unionByName(found)
+        missed = picked.where(~inside).select(*group, "prob")
+        if missed.isEmpty():
+            return done
+        wider = open_.join(missed, [*group, "prob"], "left_semi")
+        open_ = materialize(wider.withColumn("step", F.col("step") + 1), "brackets")
+
+
+def _brackets(values: DataFrame, group: list[str], probs: list[float]) -> DataFrame:
+    """Per group and percentile its ranks, the edges of all its brackets and the first to try."""
     clip = lambda p: min(max(p, 0.0), 1.0)
-    edges = sorted({0.0, 1.0} | {clip(p + side * BRACKET) for p in probs for side in (-1, 1)})
-    whole = F.col("n") < WHOLE_GROUP_ROWS
+    edges = sorted({clip(p + side * w) for p in probs for w in WIDTHS for side in (-1, 1)})
     sketch = values.groupBy(*group).agg(
         F.count(F.lit(1)).alias("n"),
+        F.min("v").alias("least"),
+        F.max("v").alias("most"),
         F.percentile_approx("v", edges, SKETCH_ACCURACY).alias("edge"),
     )
-
-    def bracket(p: float) -> Column:
-        low, high = edges.index(clip(p - BRACKET)), edges.index(clip(p + BRACKET))
-        at = F.lit(p) * (F.col("n") - 1)
-        return F.struct(
+    at = F.col("prob") * (F.col("n") - 1)
+    sides = [
+        F.struct(
             F.lit(p).alias("prob"),
-            F.when(whole, F.col("edge")[0]).otherwise(F.col("edge")[low]).alias("low"),
-            F.when(whole, F.col("edge")[len(edges) - 1]).otherwise(F.col("edge")[high]).alias("high"),
-            F.floor(at).alias("lower_rank"),
-            F.ceil(at).alias("upper_rank"),
-            (at - F.floor(at)).alias("fraction"),
+            F.array(*[F.col("edge")[edges.index(clip(p - w))] for w in WIDTHS], F.col("least")).alias("lows"),
+            F.array(*[F.col("edge")[edges.index(clip(p + w))] for w in WIDTHS], F.col("most")).alias("highs"),
+        )
+        for p in probs
+    ]
+    narrow = F.size(F.filter(F.array(*[F.lit(w) for w in WIDTHS]), lambda w: w * F.col("n") < LEAST_RANKS))
+    return (
+        sketch.select(*group, "n", F.explode(F.array(*sides)).alias("s"))
+        .select(*group, "n", "s.*")
+        .select(
+            *group, "prob", "lows", "highs", narrow.alias("step"), F.floor(at).alias("lower_rank"),
+            F.ceil(at).alias("upper_rank"), (at - F.floor(at)).alias("fraction"),
         )
+    )
 
-    brackets = sketch.select(*group, F.array(*[bracket(p) for p in probs]).alias("brackets"))
+
+def _search(values: DataFrame, brackets: DataFrame, group: list[str]) -> DataFrame:
+    """The values at both ranks of every percentile, null where they lie outside its bracket."""
+    current = brackets.select(
+        *group,
+        F.struct(
+            "prob", "lower_rank", "upper_rank", "fraction",
+            F.col("lows")[F.col("step")].alias("low"), F.col("highs")[F.col("step")].alias("high"),
+        ).alias("b"),
+    )
     if group:
-        tagged = lookup_join(values, brackets, group, spread_by="v")
+        tables = current.groupBy(*group).agg(F.collect_list("b").alias("brackets"))
+        tagged = lookup_join(values, tables, group, spread_by="v")
     else:
-        tagged = values.withColumn("brackets", brackets.scalar())
+        tagged = values.withColumn("brackets", current.agg(F.collect_list("b")).scalar())
     # Rows below a bracket are counted, rows inside are counted per distinct value.
     cells = (
         tagged.select(*group, "v", F.explode("brackets").alias("b"))
-        .where(F.col("v") <= F.col("b.high"))
         .select(
-            *group,
-            F.col("b.prob").alias("prob"),
-            F.col("b.lower_rank").alias("lower_rank"),
-            F.col("b.upper_rank").alias("upper_rank"),
-            F.col("b.fraction").alias("fraction"),
-            F.when(F.col("v") >= F.col("b.low"), F.col("v")).alias("v"),
+            *group, "b.prob", "b.lower_rank", "b.upper_rank", "b.fraction",
+            (F.col("v") < F.col("b.low")).alias("below"),
+            F.when((F.col("v") >= F.col("b.low")) & (F.col("v") <= F.col("b.high")), F.col("v")).alias("v"),
         )
+        .where("below OR v IS NOT NULL")
         .groupBy(*group, "prob", "lower_rank", "upper_rank", "fraction", "v")
         .agg(F.count(F.lit(1)).alias("n"))
-    )
+    )
     so_far = Window.partitionBy(*group, "prob").orderBy(F.col("v").asc_nulls_first())
     ranked = cells.withColumn("until", F.sum("n").over(so_far))
 
@@ -94,14 +127,6 @@ def exact_percentiles(df: DataFrame, group: list[str], value: str, probs: list[f
         inside = (F.col("until") > F.col(rank)) & (F.col("until") - F.col("n") <= F.col(rank))
         return F.max(F.when(inside, F.col("v")))
 
-    picked = ranked.groupBy(*group, "prob").agg(
-        at_rank("lower_rank").alias("low"),
-        at_rank("upper_rank").alias("high"),
-        F.first("fraction").alias("fraction"),
+    return ranked.groupBy(*group, "prob").agg(
+        at_rank("lower_rank").alias("lower"), at_rank("upper_rank").alias("upper"), F.first("fraction").alias("fraction")
     )
-    # Never guess: a rank outside its bracket (the sketch broke its promise) stops the job.
-    checked = F.when(
-        F.col("low").isNull() | F.col("high").isNull(),
-        F.raise_error(F.lit("percentile fell outside its bracket")).cast("double"),
-    ).otherwise(F.col("low") + (F.col("high") - F.col("low")) * F.col("fraction"))
-    return picked.select(*group, "prob", checked.alias("value"))

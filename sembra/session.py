@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 _LOCAL_SCRATCH: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 
-# Largest lookup table (rows) that is broadcast; larger ones take a salted shuffle join.
+# Largest lookup table that is broadcast, in rows and in bytes of its rows as JSON; larger ones take
+# a salted shuffle join.
 MAX_BROADCAST_ROWS = 10_000
+MAX_BROADCAST_BYTES = 32 << 20
 
 
 def build_session(app_name: str = "sembra", master: str | None = None, **conf) -> SparkSession:
@@ -98,11 +100,11 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def small_table(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
-    """``df`` as a local table when it has at most ``max_rows`` rows, else ``None``."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    """``df``, written once, when rows and bytes pass the check, else ``None``; nothing is collected."""
+    head = materialize(df.limit(max_rows + 1), "lookup")
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    rows, total = head.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    return head if rows <= max_rows and total <= MAX_BROADCAST_BYTES else None
 
 
 def lookup_join(
@@ -116,7 +118,7 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``big`` to a table with one row per key, safe when one key holds much of ``big``.
 
-    The lookup side is broadcast if its row count passes the check. Otherwise it is repeated
+    The lookup side is broadcast if its rows and bytes pass the check. Otherwise it is repeated
     once per salt and ``big`` is spread over the salts by a hash of ``spread_by``, so that a
     hot key is divided over ``salts`` tasks.
     """

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from sembra.operators import ranking
 from sembra.operators.ranking import exact_percentiles, with_positions
 
 PROBS = [0.0, 0.25, 0.5, 0.75, 0.95, 1.0]
@@ -33,3 +34,19 @@ def test_positions_are_dense(spark):
         assert positions == list(range(len(positions)))
     overall = sorted(r["position"] for r in with_positions(df, [], "doc_id").collect())
     assert overall == list(range(5_000))
+
+
+def test_a_missed_bracket_is_searched_again_in_a_wider_one(spark, monkeypatch):
+    """Brackets far too narrow for the groups miss at first; results stay exact and complete."""
+    monkeypatch.setattr(ranking, "WIDTHS", (0.0, 1e-6))
+    monkeypatch.setattr(ranking, "LEAST_RANKS", 0)
+    values = {"a": np.arange(10.0), "b": np.array([1.0, 5.0]), "c": np.full(4, -2.0)}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in values.items() for v in vs], "g string, x double")
+    found = {(r["g"], r["prob"]): r["value"] for r in exact_percentiles(df, ["g"], "x", PROBS).collect()}
+    assert found == {(g, p): pytest.approx(np.quantile(vs, p)) for g, vs in values.items() for p in PROBS}
+
+
+def test_percentiles_of_nothing(spark):
+    none = spark.createDataFrame([], "g string, x double")
+    assert exact_percentiles(none, ["g"], "x", PROBS).count() == 0
+    assert exact_percentiles(none, [], "x", PROBS).where("value is not null").count() == 0
