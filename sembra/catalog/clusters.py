@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from sembra.catalog.inputs import (
+    DIM,
     LABELLED,
     VECTOR_POSTERIORS,
     labelled,
@@ -42,14 +42,91 @@ def _entries(df, column):
     return df.select("doc_id", F.explode_outer(column).alias("c", "p")).withColumn("p", F.round("p", 4))
 
 
-@query("fit_pca")
+# --- vectors whose axes or groups are known ------------------------------------------------
+
+
+def _axes(spark, sf_dir):
+    """Every number of every vector alone on its axis, with both signs, stretched by the axis: the
+    mean is zero and the covariance diagonal."""
+    cells = vectors(spark, sf_dir).select(F.posexplode("embedding").alias("d", "x"))
+    cells = cells.select("d", F.explode(F.array(F.lit(1), F.lit(-1))).alias("sign"), (F.col("x").cast("double") * (F.col("d") + 1)).alias("x"))
+    axis = F.transform(F.sequence(F.lit(0), F.lit(DIM - 1)), lambda i: F.when(i == F.col("d"), F.col("sign") * F.col("x")).otherwise(0.0))
+    return cells.select(axis.alias("embedding"))
+
+
+def _mirrored(spark, sf_dir):
+    """Four mirror images of every vector: its first two numbers, stretched, are the principal axes."""
+    sign = lambda bit: 1 - 2 * F.pmod(F.shiftright("image", bit), F.lit(2))
+    images = labelled(spark, sf_dir).withColumn("image", F.explode(F.array(*[F.lit(i) for i in range(4)])))
+    x = F.transform(
+        "embedding",
+        lambda v, i: v.cast("double")
+        * F.when(i == 0, 100 * sign(0)).when(i == 1, 50 * sign(1)).otherwise(sign(0) * sign(1)),
+    )
+    return images.withColumns({"embedding": x, "doc_id": F.col("doc_id") * 4 + F.col("image")})
+
+
+MIRRORED = """
+images AS (
+  SELECT vec_id * 4 + image AS doc_id, label::INT AS cluster, vec_id, embedding::DOUBLE[] AS v,
+         100 * (1 - 2 * (image % 2)) * embedding[1]::DOUBLE AS x,
+         50 * (1 - 2 * (image // 2)) * embedding[2]::DOUBLE AS y
+  FROM embeddings, range(4) AS r(image)),
+shares AS (
+  SELECT sum(x * x + y * y) / sum(x * x + y * y + list_dot_product(v[3:], v[3:])) AS share, count(*) AS n FROM images)"""
+
+FOLDED = 8
+
+
+def _grouped(spark, sf_dir):
+    """Vectors folded to eight sums, in three groups of labels moved far apart."""
+    folded = [
+        sum((F.col("embedding")[d].cast("double") for d in range(j + FOLDED, DIM, FOLDED)), F.col("embedding")[j].cast("double"))
+        + F.when(F.col("cluster") % 3 == j, 10.0).otherwise(0.0)
+        for j in range(FOLDED)
+    ]
+    return vectors(spark, sf_dir).select("doc_id", (F.col("cluster") % 3).alias("category"), F.array(*folded).alias("embedding"))
+
+
+GROUPED = """
+cells AS (
+  SELECT vec_id, label % 3 AS g, (generate_subscripts(embedding, 1) - 1) % 8 AS d, unnest(embedding)::DOUBLE AS x
+  FROM embeddings),
+folded AS (SELECT vec_id AS id, g, d, sum(x) + CASE WHEN g = d THEN 10 ELSE 0 END AS x FROM cells GROUP BY vec_id, g, d)"""
+
+#: The silhouette by squared distances from sizes, sums and sums of squares of the groups.
+SQUARED_SILHOUETTE = """
+axes AS (SELECT g, d, count(*) AS n, sum(x) AS s, sum(x * x) AS q FROM {0} GROUP BY g, d),
+gaps AS (
+  SELECT p.id, p.g, a.g AS other, any_value(a.n) AS n, sum(a.n * p.x * p.x - 2 * p.x * a.s + a.q) AS total
+  FROM {0} p JOIN axes a USING (d) GROUP BY p.id, p.g, a.g),
+near AS (
+  SELECT id, max(CASE WHEN g = other THEN n END) AS own, max(CASE WHEN g = other THEN total / nullif(n - 1, 0) END) AS a,
+         min(CASE WHEN g <> other THEN total / n END) AS b FROM gaps GROUP BY id),
+scored AS (
+  SELECT count(*) AS n, round(avg(CASE WHEN own = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 4) AS silhouette FROM near)"""
+
+
+@query(
+    "fit_pca",
+    """
+WITH cells AS (SELECT generate_subscripts(embedding, 1) - 1 AS d, unnest(embedding)::DOUBLE AS x FROM embeddings),
+axes AS (SELECT d, sum((x * (d + 1)) ** 2) AS s FROM cells GROUP BY d)
+SELECT (row_number() OVER (ORDER BY s DESC) - 1)::INT AS component, round(s / sum(s) OVER (), 5) AS variance_ratio,
+       d::INT AS dimension, 1.0::DOUBLE AS loading
+FROM axes QUALIFY component < 50
+""",
+)
 def fit_pca(spark, sf_dir):
-    """Loadings of the 50 components, one row per component."""
-    model = rd.fit_pca(vectors(spark, sf_dir), 50)
-    loadings = model.stages[-1].pc.toArray()
+    """The 50 components of vectors with a diagonal covariance: each is one axis."""
+    model = rd.fit_pca(_axes(spark, sf_dir), 50)
+    loadings = abs(model.stages[-1].pc.toArray()).T
     ratios = model.stages[-1].explainedVariance.toArray()
-    rows = [(i, float(r), [float(x) for x in column]) for i, (r, column) in enumerate(zip(ratios, loadings.T))]
-    return spark.createDataFrame(rows, "component int, variance_ratio double, loadings array<double>")
+    rows = [
+        (i, round(float(r), 5), int(column.argmax()), round(float(column.max()), 4))
+        for i, (r, column) in enumerate(zip(ratios, loadings))
+    ]
+    return spark.createDataFrame(rows, "component int, variance_ratio double, dimension int, loading double")
 
 
 @query(
@@ -68,18 +145,34 @@ def pca_transform(spark, sf_dir):
     return reduced.select("doc_id", F.round(squares, 4).alias("squared_length"))
 
 
-@query("variance_explained", "SELECT 1.0::DOUBLE AS share, count(*) AS n FROM embeddings")
+@query("variance_explained", with_(MIRRORED, select="SELECT round(share, 4) AS share, n FROM shares"))
 def variance_explained(spark, sf_dir):
-    """All components together explain everything."""
-    rows = vectors(spark, sf_dir)
-    share = rd.variance_explained(rd.fit_pca(rows, 64))
+    """What two stretched axes explain."""
+    rows = _mirrored(spark, sf_dir)
+    share = rd.variance_explained(rd.fit_pca(rows, 2))
     return rows.agg(F.round(F.lit(share), 4).alias("share"), F.count(F.lit(1)).alias("n"))
 
 
-@query("project_2d")
+@query(
+    "project_2d",
+    with_(
+        MIRRORED,
+        select="""
+SELECT i.doc_id, round(x, 4) + 0.0 AS x, round(y, 4) + 0.0 AS y, cluster, coalesce(source, 'unknown') AS category,
+       round(share, 4) AS variance_explained
+FROM images i LEFT JOIN documents d ON d.doc_id = i.vec_id, shares""",
+    ),
+)
 def project_2d(spark, sf_dir):
-    coordinates, share = rd.project_2d(labelled(spark, sf_dir))
-    return coordinates.select("doc_id", "x", "y", "cluster", "category", F.lit(share).alias("variance_explained"))
+    """Mirrored vectors: the coordinates are the two stretched numbers."""
+    coordinates, share = rd.project_2d(_mirrored(spark, sf_dir))
+    return coordinates.select(
+        "doc_id",
+        *[(F.round(c, 4) + 0.0).alias(c) for c in "xy"],
+        "cluster",
+        "category",
+        F.lit(round(share, 4)).alias("variance_explained"),
+    )
 
 
 @query(
@@ -113,15 +206,25 @@ def fit_gmm(spark, sf_dir):
     )
 
 
-@query("fit_gmm_restarts")
+@query(
+    "fit_gmm_restarts",
+    with_(
+        GROUPED,
+        "sizes AS (SELECT count(*) AS n FROM embeddings)",
+        select="""
+SELECT g::INT AS g, d::INT AS d, round(count(*) / any_value(n), 4) AS weight, round(avg(x), 4) + 0.0 AS mean
+FROM folded, sizes GROUP BY g, d""",
+    ),
+)
 def fit_gmm_restarts(spark, sf_dir):
-    """Three components on eight dimensions, best of two restarts."""
-    rows = vectors(spark, sf_dir)
-    reduced = rd.pca_transform(rows, rd.fit_pca(rows, 8))
-    model, score = mx.fit_gmm(reduced, k=3, n_init=2, max_iter=50)
-    return model.gaussiansDF.select(
-        vector_to_array("mean").alias("mean"), F.lit(score).alias("log_likelihood")
-    )
+    """Three groups far apart, best of the published number of restarts."""
+    model, _ = mx.fit_gmm(_grouped(spark, sf_dir), k=3, vector_col="embedding")
+    rows = [
+        (int(mean[:3].argmax()), d, round(float(weight), 4), round(float(x), 4) + 0.0)
+        for weight, mean in zip(model.weights, (g.mean.toArray() for g in model.gaussians))
+        for d, x in enumerate(mean)
+    ]
+    return spark.createDataFrame(rows, "g int, d int, weight double, mean double")
 
 
 @query(
@@ -236,22 +339,15 @@ def information_criteria(spark, sf_dir):
 @query(
     "silhouette",
     with_(
-        "pts AS (SELECT vec_id AS id, label AS c, embedding::DOUBLE[] AS v FROM embeddings)",
         """
-dist AS (
-  SELECT a.id, a.c, b.c AS other, sum(CASE WHEN a.id = b.id THEN 0 ELSE list_distance(a.v, b.v) END) AS total,
-         count(*) AS size
-  FROM pts a CROSS JOIN pts b GROUP BY ALL),
-ab AS (
-  SELECT id, max(CASE WHEN c = other THEN size END) AS own,
-         max(CASE WHEN c = other THEN total / nullif(size - 1, 0) END) AS a,
-         min(CASE WHEN c <> other THEN total / size END) AS b FROM dist GROUP BY id)""",
-        select="""SELECT count(*) AS n,
-  round(avg(CASE WHEN own = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 4) AS silhouette FROM ab""",
+pts AS (SELECT vec_id AS id, label AS g, generate_subscripts(embedding, 1) AS d, unnest(embedding)::DOUBLE AS x
+        FROM embeddings)""",
+        SQUARED_SILHOUETTE.format("pts"),
+        select="SELECT * FROM scored",
     ),
 )
 def silhouette(spark, sf_dir):
-    scored = ql.silhouette(vectors(spark, sf_dir), vector_col="embedding", block_rows=512)
+    scored = ql.silhouette(vectors(spark, sf_dir), vector_col="embedding")
     return scored.select("n", F.round("silhouette", 4).alias("silhouette"))
 
 
@@ -275,17 +371,45 @@ def nmi(spark, sf_dir):
     return ql.nmi(rows, "lang", "quality").select("n", F.round("nmi", 4).alias("nmi"))
 
 
-@query("fit_report")
+@query(
+    "fit_report",
+    with_(
+        GROUPED,
+        SQUARED_SILHOUETTE.format("folded"),
+        select="""
+SELECT n AS n_samples, 8 AS pca_components, 1.0::DOUBLE AS variance_explained, 3 AS n_clusters, true AS converged,
+       silhouette AS silhouette_score, 1.0::DOUBLE AS nmi_vs_true_labels FROM scored""",
+    ),
+)
 def fit_report(spark, sf_dir):
-    rows = labelled(spark, sf_dir)
-    _, _, report = ql.fit_report(rows, k=3, components=8, n_init=2, max_iter=50, label_col="category")
-    return report
+    """Three groups far apart, restarts and iterations as published; all dimensions are kept."""
+    _, _, report = ql.fit_report(_grouped(spark, sf_dir), k=3, components=FOLDED, label_col="category")
+    return report.select(
+        "n_samples",
+        "pca_components",
+        F.round("variance_explained", 4).alias("variance_explained"),
+        "n_clusters",
+        "converged",
+        F.round("silhouette_score", 4).alias("silhouette_score"),
+        F.round("nmi_vs_true_labels", 4).alias("nmi_vs_true_labels"),
+    )
 
 
-@query("evaluate_k")
+@query(
+    "evaluate_k",
+    with_(
+        GROUPED,
+        SQUARED_SILHOUETTE.format("folded"),
+        select="""
+SELECT 'silhouette_score' AS metric, 3::BIGINT AS k, silhouette AS value FROM scored
+UNION ALL SELECT 'nmi', 3, 1.0""",
+    ),
+)
 def evaluate_k(spark, sf_dir):
-    rows = labelled(spark, sf_dir)
-    return ql.evaluate_k(rows, range(2, 5), components=8, n_init=1, max_iter=30, label_col="category")
+    """A sweep around the true number of groups must find it, and its diagnostics there."""
+    sweep = ql.evaluate_k(_grouped(spark, sf_dir), range(2, 6), components=FOLDED, label_col="category")
+    best = ql.best_k(sweep).where("metric <> 'bic'")
+    return best.withColumn("value", F.round("value", 4))
 
 
 @query(
@@ -349,14 +473,23 @@ def boundary_documents(spark, sf_dir):
     )
 
 
-@query("save_load_models")
+@query(
+    "save_load_models",
+    """
+SELECT vec_id AS doc_id, min(vec_id) OVER (PARTITION BY label % 3) AS first_of_cluster, 0.0::DOUBLE AS entropy
+FROM embeddings
+""",
+)
 def save_load_models(spark, sf_dir):
-    """Assignments by reloaded models."""
-    rows = vectors(spark, sf_dir)
-    pca = rd.fit_pca(rows, 8)
-    gmm, _ = mx.fit_gmm(rd.pca_transform(rows, pca), k=2, n_init=1, max_iter=20)
+    """Assignments by reloaded models: three groups far apart. Clusters are named by their least id."""
+    rows = _grouped(spark, sf_dir)
+    pca = rd.fit_pca(rows, FOLDED)
+    gmm, _ = mx.fit_gmm(rd.pca_transform(rows, pca), k=3)
     path = scratch_path(spark, "models")
     save_models(pca, gmm, path)
     pca, gmm, _ = load_models(path)
     assigned = mx.assign_clusters(rd.pca_transform(rows, pca), mx.Mixture.from_model(gmm))
-    return assigned.select("doc_id", "dominant_cluster", F.round("entropy", 4).alias("entropy"))
+    first = assigned.groupBy("dominant_cluster").agg(F.min("doc_id").alias("first_of_cluster"))
+    return assigned.join(F.broadcast(first), "dominant_cluster").select(
+        "doc_id", "first_of_cluster", (F.abs(F.round("entropy", 4)) + 0.0).alias("entropy")
+    )

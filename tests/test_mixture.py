@@ -105,6 +105,8 @@ def test_report_and_sweep(blobs):
     _, _, report = ql.fit_report(df, k=3, components=2, n_init=2, max_iter=60, label_col="label")
     row = report.first()
     assert row["n_samples"] == 240 and row["converged"] and row["nmi_vs_true_labels"] == pytest.approx(1.0)
+    _, _, sampled = ql.fit_report(df, k=3, components=2, n_init=2, max_iter=60, silhouette_sample=100)
+    assert 0.5 < sampled.first()["silhouette_score"] <= 1.0
     sweep = ql.evaluate_k(df, range(2, 5), components=2, n_init=2, max_iter=60, label_col="label")
     assert sweep.count() == 3
     best = {r["metric"]: r["k"] for r in ql.best_k(sweep).collect()}
@@ -140,10 +142,10 @@ def test_probes(spark):
     assert found == [[1, 0], [3], [3], [9, 4], [3]]
 
 
-def brute_silhouette(points, labels):
+def brute_silhouette(points, labels, power=0.5):
     out = []
     for i, p in enumerate(points):
-        d = np.sqrt(((points - p) ** 2).sum(axis=1))
+        d = ((points - p) ** 2).sum(axis=1) ** power
         own = (labels == labels[i]).sum()
         if own == 1:
             out.append(0.0)
@@ -162,11 +164,14 @@ def test_silhouette(spark):
         [(i, int(c), [float(x) for x in p]) for i, (p, c) in enumerate(zip(points, labels))],
         "doc_id long, cluster int, reduced array<double>",
     )
+    row = ql.silhouette(df).first()
+    assert row["n"] == 90 and row["silhouette"] == pytest.approx(brute_silhouette(points, labels, power=1))
     for block in (13, 1000):
-        row = ql.silhouette(df, block_rows=block).first()
+        row = ql.sampled_silhouette(df, 90, block_rows=block).first()
         assert row["n"] == 90 and row["silhouette"] == pytest.approx(brute_silhouette(points, labels))
-    assert ql.silhouette(df, sample=40).first()["n"] == 40
+    assert ql.sampled_silhouette(df, 40).first()["n"] == 40
     assert ql.silhouette(df.where("cluster = 0")).first()["silhouette"] is None
+    assert ql.silhouette(df.where("cluster = 77")).first()["n"] == 0
 
 
 def test_nmi_edges(spark):
