@@ -20,10 +20,12 @@ def stream_ingest(
     path: str,
     checkpoint: str,
     encoder: Callable[[], Encoder] = HashingEncoder,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Clean, embed and assign every arriving document and append it to the store at ``path``.
 
-    All steps are row by row, so the stream keeps no state.
+    All steps are row by row, so the stream keeps no state. ``trigger`` holds the arguments of
+    ``DataStreamWriter.trigger``; by default what has arrived is indexed and the stream ends.
     """
     rows = index_rows(stream, pca, mixture, encoder)
     return (
@@ -31,6 +33,6 @@ def stream_ingest(
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
