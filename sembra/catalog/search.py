@@ -99,7 +99,7 @@ def search_topk(spark, sf_dir):
 def search_topk_blocked(spark, sf_dir):
     return _rounded(
         sr.search_topk_blocked(
-            _queries(spark, sf_dir), _docs(spark, sf_dir), 8, query_block_rows=1_000, doc_block_rows=1_000
+            _queries(spark, sf_dir), _docs(spark, sf_dir), 8, query_block_rows=128, doc_block_rows=128
         )
     )
 
