@@ -338,6 +338,20 @@ def test_scores_equal_a_plain_model(docs, texts, settings):
         assert r.score <= 0
 
 
+@pytest.mark.parametrize("shard_tokens", [2_000, 6_000])
+def test_split_words_keep_the_plain_model(docs, texts, shard_tokens):
+    """The size of a shard does not change the model: heavy words are split for the load only."""
+    settings = lm.LmSettings(batch_tokens=3000, shard_tokens=shard_tokens)
+    assert (lm.heavy_words(docs, "text", settings)[2] > 1).any()
+    held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d in texts}
+    truth = plain_scores(texts, held)
+    whole = {r.doc_id: r for r in lm.score_texts(docs, fold("doc_id", 7) == 2).collect()}
+    for r in lm.score_texts(docs, fold("doc_id", 7) == 2, settings=settings).collect():
+        assert abs(r.score - truth[r.doc_id][4]) <= 3 * ef.STEP * r.n_tokens
+        assert abs(r.score - whole[r.doc_id].score) <= ef.STEP * r.n_tokens / 10
+        assert (r.n_known, r.train_tokens) == (whole[r.doc_id].n_known, whole[r.doc_id].train_tokens)
+
+
 def test_scores_of_odd_rows(odd, empty):
     found = lm.score_texts(odd, fold("doc_id", 7) == 2).collect()
     assert len(found) == odd.count()
