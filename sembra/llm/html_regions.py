@@ -1,13 +1,13 @@
 """Main text of pages: parser events, text-to-tag ratios, smoothing and threshold clustering.
 
 The standard library's streaming parser turns a page into lines, one for each block element, with
-the length of its text and the tags met since the line before. Lines inside elements that never
+the length of its text and the tags met since the line before, without those inside boilerplate. Lines inside elements that never
 hold an article (navigation, header, footer, aside, form, script ..., or a class, id or role that
 says so) are boilerplate. The ratios of the other lines are smoothed by a Gaussian; a threshold
 between the two clusters of ratios (two means in one dimension) marks the content lines, and
 these select the region: the article or main element, or the innermost container, that holds
-most of their text. The region's lines are returned in page order; inside an article or main
-element all of them, elsewhere those from the first to the last content line.
+most of their text. The threshold only chooses the region: all its lines are returned in page order,
+short headings and endings too.
 
 Null and empty pages give an empty text, as do pages without a line outside boilerplate. Broken
 markup is read as the parser reads it; open elements are closed by their ancestors. Whole pages
@@ -75,6 +75,7 @@ class PageLines(HTMLParser):
         self.path: tuple[int, ...] = ()
         self.bad = 0
         self.tags = 0
+        self.tags_before = 0
         self.pieces: list[str] = []
 
     def flush(self) -> None:
@@ -87,11 +88,19 @@ class PageLines(HTMLParser):
     def push(self, tag: str, bad: bool) -> None:
         self.stack.append((tag, bad))
         self.open[tag] = self.open.get(tag, 0) + 1
+        if bad and not self.bad:
+            self.tags_before = self.tags
         self.bad += bad
         if tag in CONTAINERS:
             self.path += (len(self.kinds),)
             self.kinds.append(tag)
 
+    def leave(self, bad: bool) -> None:
+        """Count an element as closed; the tags met inside boilerplate belong to no line."""
+        self.bad -= bad
+        if bad and not self.bad:
+            self.tags = self.tags_before
+
     def pop_to(self, tag: str) -> None:
         if not self.open.get(tag):
             return
@@ -99,7 +108,7 @@ class PageLines(HTMLParser):
         while True:
             name, bad = self.stack.pop()
             self.open[name] -= 1
-            self.bad -= bad
+            self.leave(bad)
             if name in CONTAINERS:
                 self.path = self.path[:-1]
             if name == tag:
@@ -138,7 +147,7 @@ class PageLines(HTMLParser):
             if name == tag:
                 for other, bad in self.stack[i:]:
                     self.open[other] -= 1
-                    self.bad -= bad
+                    self.leave(bad)
                 del self.stack[i:]
                 return
             if name in BLOCKS:
@@ -191,14 +200,11 @@ def region(lines: list, kinds: list[str]) -> list[str]:
         node = max(chosen, key=lambda n: (kinds[n] == "article", n))
         return [text for text, _, path in lines if node in path]
     held = [n for n in weights if weights[n] * 5 >= total * 4]
-    if held:
-        # The outermost container that is mostly content, else the innermost that holds it.
-        node = next((n for n in sorted(held) if weights[n] * 10 >= whole[n] * 9), max(held))
-        inside = [i for i, line in enumerate(lines) if node in line[2]]
-    else:
-        inside = list(range(len(lines)))
-    marks = [i for i in inside if content[i]]
-    return [lines[i][0] for i in inside if marks and marks[0] <= i <= marks[-1]]
+    if not held:
+        return [text for text, _, _ in lines]
+    # The outermost container that is mostly content, else the innermost that holds it.
+    node = next((n for n in sorted(held) if weights[n] * 10 >= whole[n] * 9), max(held))
+    return [text for text, _, path in lines if node in path]
 
 
 def extract_text(html: str | None) -> str:

@@ -416,6 +416,21 @@ def test_extraction(spark):
     assert hr.extract_pages(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("menu", ["", "<nav><ul>" + "<li><a href=/>Link</a></li>" * 40 + "</ul></nav>"])
+@pytest.mark.parametrize("sizes", [[500] * 5 + [25], [150, 900, 1000, 950, 150, 120, 100]])
+def test_divs_keep_short_headings_and_endings(menu, sizes):
+    lines = ["A heading of forty characters, no longer."[:40], *(("word " * n)[:n].strip() for n in sizes)]
+    page = f"<body>{menu}<div><h1>{lines[0]}</h1>" + "".join(f"<p>{t}</p>" for t in lines[1:]) + "</div></body>"
+    assert hr.extract_text(page) == "\n".join(lines)
+
+
+def test_tags_of_boilerplate_belong_to_no_line():
+    parser = hr.PageLines()
+    parser.feed("<body><h1>Head</h1><nav>" + "<a href=/>x</a>" * 30 + "</nav><p>One <b>two</b> <button><i>y</i></button>three</p></body>")
+    parser.close()
+    assert [(text, tags <= 6) for text, tags, _ in parser.lines] == [("Head", True), ("One two three", True)]
+
+
 # --- pipeline ---
 
 
