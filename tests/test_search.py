@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sembra.functions import vectors as vx
+from sembra.catalog import search as catalog
 from sembra.operators.search import format_hits, search_lsh, search_probed, search_topk, search_topk_blocked
 
 DIM = 12
@@ -99,6 +100,13 @@ def test_lsh_recall(data):
     assert sum(found.get(i) == exact[i] for i in exact) >= 57
 
 
+def test_registered_lsh_reaches_its_recall(spark):
+    data = "/root/testdata/sf0.001"
+    exact, found = ({(r.qid, r.doc_id) for r in q(spark, data).collect()} for q in (catalog.search_topk, catalog.search_lsh))
+    assert len(exact & found) >= 0.9 * len(exact)
+    assert catalog.search_lsh_recall(spark, data).first().recall_reached
+
+
 def test_vector_functions(spark):
     frame = spark.createDataFrame([([3.0, 4.0], [0.0, 0.0], [1.0, 0.0])], "a array<float>, z array<float>, b array<double>")
     r = frame.select(
