@@ -12,7 +12,10 @@ from sembra.llm.html_regions import extract_pages
 from sembra.llm.language_id import fit_language_model, predict_languages
 from sembra.llm.line_quality import line_quality, quality_sql
 from sembra.llm.partition_search import search
+from sembra.llm.ptolemy_clusters import cluster_report, clusters_sql
+from sembra.llm.quality_subwords import fit_quality, score_quality
 from sembra.llm.rank_array_bpe import encode_digests, load_vocabulary
+from sembra.llm.spelling_automata import spelling_variants, variants_sql
 from sembra.llm.toxicity_fm import fit_toxicity, score_toxicity
 from sembra.llm.trie_lm import score_texts
 from sembra.llm.url_filter import filter_urls
@@ -76,3 +79,21 @@ def op4_combination_join(spark, sf_dir):
 @query("op8_trie_lm")
 def op8_trie_lm(spark, sf_dir):
     return score_texts(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
+
+
+@query("op11_subword_quality")
+def op11_subword_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
+    found = score_quality(docs, fit_quality(labels, docs))
+    return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query("op12_ptolemy_clusters", clusters_sql())
+def op12_ptolemy_clusters(spark, sf_dir):
+    return cluster_report(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_spelling_automata", variants_sql())
+def op13_spelling_automata(spark, sf_dir):
+    return spelling_variants(table(spark, sf_dir, "documents"))
