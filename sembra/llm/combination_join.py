@@ -14,11 +14,13 @@ enough of a prefix of this order:
   next bracket are indexed for that one too, so that partners always use the same groups.
 
 Index entries are sorted by signature. Short runs give all their pairs of fitting sizes; a pair
-must share as many prefix shingles as the threshold needs before it is verified. Runs longer than
-``LONG_RUN`` (many near copies) are linked in rounds: every member is verified against one pivot
-per signature, components are formed, and only signatures whose members lie in different
-components go on; at last all pairs left between different components are verified. So no pair
-within a component is ever compared, and no link between components is lost.
+must share as many prefix shingles as the threshold needs before it is verified. Of a run longer
+than ``LONG_RUN`` (many near copies) every member is paired with one pivot. Near copies share
+hundreds of signatures but name few pivots, so their distinct pairs grow with the number of
+documents. Distances to pivots settle most of the rest, as 1 - similarity obeys the triangle
+inequality (``link_long_runs``); runs of those that are left are searched anew with other pivots,
+and at last what lies in different components of one run, and may be linked by its sizes, is
+measured pair by pair. No link between components is lost.
 
 Candidates are verified on their whole texts. Exact copies of a set are one class from the start.
 
@@ -43,11 +45,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sembra.llm.common import map_columns
-from sembra.session import materialize
+from sembra.session import lookup_join, materialize
 
 SKETCH_BITS = 24
 BLOCK_BITS = 16
 LONG_RUN = 128
+BITMAP_BITS = 1_024
+EDGE_BLOCK_ROWS = 4_096
 CACHE_WORDS = 500_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -132,34 +136,44 @@ class Shingler:
 
 
 def scan_sets(docs: DataFrame, rule: Jaccard, text: str, key: str) -> DataFrame:
-    """Per row (doc, n, digest), and per task the counters of the sketch by block; written once."""
-    schema = "doc long, n long, digest binary, block int, counters binary"
+    """Per row (doc, n, same, digest), and per task the counters of the sketch by block; written once.
+
+    ``same`` is the document that had the same set first in the task; only its row has the digest, so
+    a class of copies has a digest row a task, whatever its size.
+    """
+    schema = "doc long, n long, same long, digest binary, block int, counters binary"
     types = pa.schema(
-        [("doc", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("block", pa.int32()), ("counters", pa.binary())]
+        [("doc", pa.int64()), ("n", pa.int64()), ("same", pa.int64()), ("digest", pa.binary()), ("block", pa.int32()), ("counters", pa.binary())]
     )
 
     def run(batches):
-        shingler = Shingler(rule.words)
+        shingler, firsts = Shingler(rule.words), {}
         counts = np.zeros(1 << SKETCH_BITS, np.uint16)
         for batch in batches:
-            sizes, digests = [], []
-            for value in batch.column(1).to_pylist():
+            sizes, same, digests = [], [], []
+            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = shingler(value)
                 sizes.append(len(found))
-                digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
+                if doc is None or not len(found):
+                    same.append(None)
+                    digests.append(None)
+                else:
+                    digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
+                    digests.append(None if digest in firsts else digest)
+                    same.append(firsts.setdefault(digest, doc))
                 np.add.at(counts, (found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
             # Saturating before the 16 bits of a counter can overflow in the next batches.
             np.minimum(counts, 1 << 14, out=counts)
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(same, pa.int64()), pa.array(digests, pa.binary()),
                  none.cast(pa.int32()), none.cast(pa.binary())], schema=types,
             )
         blocks = np.minimum(counts, 255).astype(np.uint8).reshape(-1, 1 << BLOCK_BITS)
         used = [b for b in range(len(blocks)) if blocks[b].any()]
         none = pa.nulls(len(used))
         yield pa.RecordBatch.from_arrays(
-            [none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()), pa.array(used, pa.int32()),
+            [none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()), pa.array(used, pa.int32()),
              pa.array([zlib.compress(blocks[b].tobytes(), 1) for b in used], pa.binary())], schema=types,
         )
 
@@ -270,9 +284,14 @@ def index_entries(docs: DataFrame, bits: np.ndarray, rule: Jaccard, text: str, k
 # --- candidates ---
 
 
-def run_candidates(entries: DataFrame, rule: Jaccard) -> DataFrame:
-    """From entries sorted by signature: pairs (a, b, na, nb) of short runs, and the entries of long
-    runs as (sig, a, na, f) with a null b. Runs of one document give nothing."""
+def run_candidates(entries: DataFrame, rule: Jaccard, salt: int = 0) -> DataFrame:
+    """From entries dealt by signature: all pairs (a, b, na, nb) of short runs, with a null ``sig``, and
+    of long runs the pair of every member a with the run's pivot b, the first of its order.
+
+    The pivot is the document with the fewest rare shingles, which lies in the middle of its near
+    copies, so one document is the pivot of most runs of its copies; with ``salt`` it is one by hash.
+    Runs of one document give nothing.
+    """
 
     def pairs_of(docs, sizes):
         i, j = np.triu_indices(len(docs), 1)
@@ -294,8 +313,8 @@ def run_candidates(entries: DataFrame, rule: Jaccard) -> DataFrame:
         sig, doc, n, f = columns
         starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]]) if len(sig) else np.zeros(0, np.int64)
         ends = np.r_[starts[1:], len(sig)]
-        keep = len(sig)
-        long_parts, pair_parts = [], []
+        keep, open_run = len(sig), emit.long
+        pair_parts, members, pivots = [np.zeros((4, 0), np.int64)], [np.zeros(0, np.int64)], [np.zeros((3, 0), np.int64)]
         if not last and len(starts):
             keep = starts[-1]
             if sig[-1] == emit.long or len(sig) - keep > LONG_RUN:
@@ -305,37 +324,49 @@ def run_candidates(entries: DataFrame, rule: Jaccard) -> DataFrame:
         inside = starts < keep
         starts, ends = starts[inside], np.minimum(ends[inside], keep)
         lengths = ends - starts
-        is_long = (lengths > LONG_RUN) | (sig[starts] == emit.long if emit.long is not None else False)
+        is_long = lengths > LONG_RUN
+        for sign in (open_run, emit.long):
+            if sign is not None:
+                is_long |= sig[starts] == sign
         two = starts[(lengths == 2) & ~is_long]
         two = two[(doc[two] != doc[two + 1]) & rule.fits(np.abs(n[two]), np.abs(n[two + 1]))]
         pair_parts.append(np.stack([doc[two], doc[two + 1], n[two], n[two + 1]]))
         for s, e in zip(starts[(lengths > 2) & ~is_long], ends[(lengths > 2) & ~is_long]):
             pair_parts.append(pairs_of(doc[s:e], n[s:e]))
         for s, e in zip(starts[is_long], ends[is_long]):
-            long_parts.append(np.arange(s, e))
+            if sig[s] != open_run:
+                emit.pivot = np.array([doc[s], n[s], f[s]], np.int64)[:, None]
+            rows = np.arange(s, e)[doc[s:e] != emit.pivot[0, 0]]
+            members.append(rows)
+            pivots.append(np.repeat(emit.pivot, len(rows), axis=1))
         a, b, na, nb = np.concatenate(pair_parts, axis=1)
         swap = a > b
         a, b, na, nb = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)
-        rows = np.concatenate(long_parts) if long_parts else np.zeros(0, np.int64)
-        nulls = pa.nulls(len(rows), pa.int64())
+        rows, (other, m, g) = np.concatenate(members), np.concatenate(pivots, axis=1)
+        none = pa.nulls(len(a), pa.int32())
         yield pa.RecordBatch.from_arrays(
             [
                 pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(sig[rows])]),
                 pa.array(np.concatenate([a, doc[rows]])),
-                pa.concat_arrays([pa.array(b), nulls]),
+                pa.array(np.concatenate([b, other])),
                 pa.array(np.concatenate([na, n[rows]]).astype(np.int32)),
-                pa.concat_arrays([pa.array(nb.astype(np.int32)), pa.nulls(len(rows), pa.int32())]),
-                pa.concat_arrays([pa.nulls(len(a), pa.int32()), pa.array(f[rows].astype(np.int32))]),
+                pa.array(np.concatenate([nb, m]).astype(np.int32)),
+                pa.concat_arrays([none, pa.array(f[rows].astype(np.int32))]),
+                pa.concat_arrays([none, pa.array(g.astype(np.int32))]),
             ],
-            names=["sig", "a", "b", "na", "nb", "f"],
+            names=["sig", "a", "b", "na", "nb", "fa", "fb"],
         )
 
     def fresh(batches):
-        emit.long, emit.tail = None, None
+        emit.long, emit.tail, emit.pivot = None, None, None
         yield from run(batches)
 
-    dealt = entries.repartition("sig").sortWithinPartitions("sig", "doc")
-    return dealt.mapInArrow(fresh, "sig long, a long, b long, na int, nb int, f int")
+    size = F.abs("n")
+    order = [F.when(F.col("f") < 0, size).otherwise(size - F.col("f")), size, F.col("doc")]
+    if salt:
+        order.insert(0, F.xxhash64("doc", F.lit(salt)))
+    dealt = entries.repartition("sig").sortWithinPartitions("sig", *order)
+    return dealt.mapInArrow(fresh, "sig long, a long, b long, na int, nb int, fa int, fb int")
 
 
 def enough_shared(pairs: DataFrame, rule: Jaccard) -> DataFrame:
@@ -386,30 +417,47 @@ def needed_texts(docs: DataFrame, pairs: DataFrame, text: str, key: str) -> Data
     return named.withColumn("cell", cell).mapInArrow(run, "doc long, text string")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, rule: Jaccard, text: str, key: str) -> DataFrame:
-    """The pairs (a, b) whose whole texts reach the threshold."""
+def bitmap(found: np.ndarray) -> bytes:
+    """Parities of a set's hashes in ``BITMAP_BITS`` cells: two sets differ in at least as many shingles
+    as their bitmaps do in bits."""
+    odd = np.bincount((found >> np.uint64(40)).astype(np.int64) % BITMAP_BITS, minlength=BITMAP_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def measured(docs: DataFrame, pairs: DataFrame, rule: Jaccard, text: str, key: str) -> DataFrame:
+    """(a, b, linked, apart, size, bits) of ``pairs`` by their whole texts.
+
+    ``apart`` is 1 - similarity; ``size`` and ``bits`` are the set size and the bitmap of a. A ``key`` with
+    several texts gives a row for each pair of them.
+    """
     texts = needed_texts(docs, pairs, text, key)
     first = texts.select(F.col("doc").alias("a"), F.col("text").alias("ta"))
     second = texts.select(F.col("doc").alias("b"), F.col("text").alias("tb"))
-    joined = pairs.join(first, "a").join(second, "b").select("a", "b", "ta", "tb")
+    joined = pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "ta", "tb")
 
     def make():
         shingler, last = Shingler(rule.words), [None, None]
 
-        def linked(ta, tb):
+        def compare(ta, tb):
             if last[0] != tb:
                 last[:] = tb, shingler(tb)
             x, y = shingler(ta), last[1]
             both = len(np.intersect1d(x, y, assume_unique=True))
-            return 100 * both >= rule.percent * (len(x) + len(y) - both)
+            either = len(x) + len(y) - both
+            return 100 * both >= rule.percent * either, 1 - both / max(1, either), len(x), bitmap(x)
 
         def run(a, b, ta, tb):
-            rows = [(i, j) for i, j, s, t in zip(a, b, ta, tb) if linked(s, t)]
-            return zip(*rows) if rows else [[], []]
+            found = [compare(s, t) for s, t in zip(ta, tb)]
+            return a, b, *(zip(*found) if found else [[]] * 4)
 
         return run
 
-    return map_columns(joined, "a long, b long", make).distinct()
+    return map_columns(joined, "a long, b long, linked boolean, apart double, size long, bits binary", make)
+
+
+def verified(docs: DataFrame, pairs: DataFrame, rule: Jaccard, text: str, key: str) -> DataFrame:
+    """The pairs (a, b) whose whole texts reach the threshold."""
+    return measured(docs, pairs, rule, text, key).where("linked").select("a", "b").distinct()
 
 
 # --- components ---
@@ -451,73 +499,160 @@ def components(links: DataFrame) -> DataFrame:
     return labels if labels is not None else spark.createDataFrame([], "node long, root long")
 
 
-def link_long_runs(docs, entries, links, rule, text, key, rounds=2):
-    """Links that join the components of documents which meet in long runs.
+def absorb(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots(node, root)`` after ``links(a, b)`` have joined components; only roots are linked anew."""
+    ends = links
+    for side in "ab":
+        known = roots.toDF(side, f"r{side}")
+        ends = ends.join(known, side, "left").withColumn(side, F.coalesce(f"r{side}", side)).drop(f"r{side}")
+    ends = materialize(ends.where("a <> b").select("a", "b").distinct(), "root-links")
+    if ends.isEmpty():
+        return roots
+    onward = components(ends)
+    moved = roots.join(onward.toDF("root", "next"), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+    fresh = onward.join(roots, "node", "left_anti")
+    return materialize(moved.union(fresh), "roots")
+
+
+def edge_pairs(edge: DataFrame, inner: DataFrame, rule: Jaccard) -> DataFrame:
+    """Pairs (a, b) of ``edge(doc, b, low, size, bits)`` and ``inner(other, b, high, size, bits)`` of one
+    pivot that may be linked by their distances to it and by their bitmaps.
 
-    ``entries`` is (sig, doc, n, f). After ``rounds`` rounds of pivots (first the document with the
-    fewest rare shingles, which lies in the middle of its near copies) all pairs left between
-    different components of one signature are verified, less those that cannot be linked by their
-    sizes. Documents whose prefixes hold frequent shingles index all their rare ones singly, so if
-    they share a rare one they are candidates by it; if not, they share frequent ones at most, and
-    both must have as many as the link needs.
+    The direct neighbours of a pivot are cut into blocks that meet all edge members of the pivot; only
+    pairs that pass leave a task.
     """
-    for turn in range(rounds + 1):
-        roots = components(links)
-        named = entries.join(roots.withColumnRenamed("node", "doc"), "doc", "left")
-        named = named.select("sig", "doc", F.abs("n").cast("long").alias("n"), "f", F.coalesce("root", "doc").alias("root"))
-        rare = F.when(F.col("f") < 0, F.col("n")).otherwise(F.col("n") - F.col("f"))
-        order = (rare, F.col("n"), F.col("doc")) if turn == 0 else (F.xxhash64("doc", F.lit(turn)), F.col("n"), F.col("doc"))
-        spread = named.groupBy("sig").agg(
-            F.min("root").alias("low"), F.max("root").alias("high"),
-            F.min(F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)), "root", "f")).alias("pivot"),
-        ).where("low < high")
-        left = named.join(spread, "sig")
+    reach = 1 - rule.percent / 100
+    blocks = inner.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / F.lit(EDGE_BLOCK_ROWS)).cast("int").alias("blocks"))
+    blocks = materialize(blocks, "edge-blocks")
+    inside = lookup_join(inner, blocks, ["b"], spread_by="other")
+    inside = inside.withColumn("block", F.pmod(F.xxhash64("other"), F.col("blocks")).cast("int")).drop("blocks")
+    outside = lookup_join(edge, blocks, ["b"], spread_by="doc")
+    outside = outside.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def words(column):
+        return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITMAP_BITS // 64)
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = [np.zeros((2, 0), np.int64)]
+        if left.num_rows and right.num_rows:
+            doc, low, size, bits = left["doc"].to_numpy(), left["low"].to_numpy(), left["edge_size"].to_numpy(), words(left["edge_bits"])
+            other, high, m, others = right["other"].to_numpy(), right["high"].to_numpy(), right["size"].to_numpy(), words(right["bits"])
+            for i in range(len(doc)):
+                near = np.flatnonzero((high >= low[i] - reach - 1e-9) & rule.fits(size[i], m) & (other != doc[i]))
+                differ = np.bitwise_count(others[near] ^ bits[i]).sum(1, dtype=np.int64)
+                near = near[differ * (100 + rule.percent) <= (100 - rule.percent) * (size[i] + m[near])]
+                out.append(np.stack([np.minimum(doc[i], other[near]), np.maximum(doc[i], other[near])]))
+        a, b = np.concatenate(out, axis=1)
+        return pa.table([pa.array(a), pa.array(b)], schema=schema)
+
+    # Both come from one table: new names tell their columns apart.
+    outside = outside.select("doc", "low", *[F.col(c).alias(f"edge_{c}") for c in ("b", "block", "size", "bits")])
+    met = outside.groupBy("edge_b", "edge_block").cogroup(inside.groupBy("b", "block")).applyInArrow(meet, "a long, b long")
+    return materialize(met.distinct(), "edge-pairs")
+
+
+def link_long_runs(docs, stars, roots, rule, text, key, rounds=3):
+    """``roots`` (node, root) after the links among documents which meet in long runs.
+
+    ``stars`` holds (sig, a, b, na, nb, fa, fb): every member a of a long run with its pivot b. Near copies
+    name few pivots, so the distinct pairs (a, b) are few however many signatures the copies share;
+    they are all that is joined and measured. With t = 1 - threshold, and distances that obey the
+    triangle inequality, a member farther than 2 t from the pivot is linked with nobody who is linked
+    with the pivot directly. What is left:
+
+    * members within 2 t of the pivot, but in another component, are compared with the direct
+      neighbours of the pivot: by distances and bitmaps first, then by their texts (``edge_pairs``);
+    * members that are no direct neighbours meet again, if any of their run is in another component than
+      the pivot: their runs, without the others, are searched anew, with other pivots.
+
+    After ``rounds`` rounds the pairs left between different components of one signature are measured,
+    less those that cannot be linked by their sizes (``can_link``).
+    """
+    reach = 1 - rule.percent / 100
+    for turn in range(1, rounds + 1):
+        pairs = materialize(stars.select("a", "b", "na", "nb", "fa", "fb").distinct(), "star-pairs")
+        near = measured(docs, pairs.where(can_link(rule, 2 * rule.percent - 100)).select("a", "b").distinct(), rule, text, key)
+        near = near.groupBy("a", "b").agg(
+            F.max("linked").alias("linked"), F.min("linked").alias("direct"), F.min("apart").alias("low"), F.max("apart").alias("high"),
+            F.count(F.lit(1)).alias("texts"), F.first("size").alias("size"), F.first("bits").alias("bits"),
+        )
+        near = materialize(near, "star-distances")
+        roots = absorb(roots, near.where("linked").select("a", "b"))
+        judged = pairs.select("a", "b").distinct().join(near.drop("linked"), ["a", "b"], "left")
+        for side in "ab":
+            judged = judged.join(roots.toDF(side, f"r{side}"), side, "left").withColumn(f"r{side}", F.coalesce(f"r{side}", side))
+        judged = judged.withColumns({"direct": F.coalesce("direct", F.lit(False)), "open": F.col("ra") != F.col("rb")}).drop("ra", "rb")
+        judged = materialize(judged, "stars")
+        edge = judged.where(F.col("open") & (F.col("low") <= 2 * reach + 1e-9))
+        if not edge.isEmpty():
+            # A key with several texts has several sizes and bitmaps: it is compared by its texts only.
+            single = F.col("texts") == 1
+            direct = judged.where("direct")
+            met = edge_pairs(
+                edge.where(single).select(F.col("a").alias("doc"), "b", "low", "size", "bits"),
+                direct.where(single).select(F.col("a").alias("other"), "b", "high", "size", "bits"), rule,
+            )
+            several = edge.select(F.col("a").alias("doc"), "b", "texts").join(direct.select(F.col("a").alias("other"), "b", F.col("texts").alias("more")), "b")
+            several = several.where((F.col("texts") > 1) | (F.col("more") > 1))
+            several = several.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).where("a <> b")
+            if not judged.where(~single).isEmpty():
+                met = materialize(met.union(several).distinct(), "edge-pairs")
+            roots = absorb(roots, verified(docs, met, rule, text, key))
+        rest = stars.join(judged.where("not direct").select("a", "b", "open"), ["a", "b"])
+        rest = materialize(rest.select("sig", F.col("a").alias("doc"), F.col("na").alias("n"), F.col("fa").alias("f"), "open"), "rest")
+        rest = rest.join(rest.where("open").select("sig").distinct(), "sig", "left_semi").drop("open")
+        if rest.isEmpty():
+            return roots
         if turn < rounds:
-            pairs = left.where(F.col("root") != F.col("pivot.root")).select(
-                "doc", "n", "f", F.col("pivot.o2").alias("other"), F.col("pivot.o1").alias("m"), F.col("pivot.f").alias("g")
-            )
-            pairs = pairs.where(can_link(rule))
-        else:
-            kept = left.select("sig", "doc", "n", "f", "root")
-            other = kept.select(
-                "sig", F.col("doc").alias("other"), F.col("n").alias("m"), F.col("f").alias("g"), F.col("root").alias("other_root")
-            )
-            pairs = kept.join(other, (kept.sig == other.sig) & (F.col("root") < F.col("other_root")) & can_link(rule))
-        pairs = pairs.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct()
-        pairs = materialize(pairs, "long-pairs")
-        if not pairs.isEmpty():
-            links = materialize(links.union(verified(docs, pairs, rule, text, key)).distinct(), "long-links")
-    return links
-
-
-def can_link(rule: Jaccard):
-    """Whether sets of n and m shingles, f and g of them frequent (-1: not known), can be linked by
-    what their entries of one signature say."""
-    n, m, f, g = (F.col(c) for c in "nmfg")
-    least = F.ceil(rule.percent * (n + m) / F.lit(100 + rule.percent))
-    shared = F.when((f < 0) | (g < 0), F.least(n, m)).otherwise(F.least(f, g))
+            found = materialize(run_candidates(rest, rule, turn), "candidates")
+            roots = absorb(roots, verified(docs, found.where("sig is null").select("a", "b").distinct(), rule, text, key))
+            stars = found.where("sig is not null")
+            if stars.isEmpty():
+                return roots
+    named = rest.join(roots.withColumnRenamed("node", "doc"), "doc", "left")
+    kept = named.select("sig", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("f").alias("fa"), F.coalesce("root", "doc").alias("ra"))
+    other = kept.toDF("sig", "b", "nb", "fb", "rb")
+    pairs = kept.join(other, "sig").where((F.col("ra") < F.col("rb")) & can_link(rule, rule.percent)).select("a", "b").distinct()
+    return absorb(roots, verified(docs, materialize(pairs, "long-pairs"), rule, text, key))
+
+
+def can_link(rule: Jaccard, percent: int):
+    """Whether sets of na and nb shingles, fa and fb of them frequent (-1: not known), can reach ``percent``
+    by what their entries of one signature say.
+
+    Documents whose prefixes hold frequent shingles index all their rare ones singly, so if they share
+    a rare one they are candidates by it too; by pairs of frequent ones alone they share frequent ones
+    at most, and both must have as many as the link needs.
+    """
+    n, m = F.abs("na").cast("long"), F.abs("nb").cast("long")
+    least = F.ceil(percent * (n + m) / F.lit(100 + percent))
+    if percent < rule.percent:
+        return F.least(n, m) >= least
+    shared = F.when((F.col("fa") < 0) | (F.col("fb") < 0), F.least(n, m)).otherwise(F.least("fa", "fb"))
     return shared >= least
 
 
 def jaccard_join(docs: DataFrame, rule: Jaccard = Jaccard(), text: str = "text", key: str = "doc_id") -> DataFrame:
     """``key``, n_shingles and component_id, one row per row of ``docs``."""
     scan = scan_sets(docs, rule, text, key)
-    rows = scan.where(F.col("block").isNull()).select("doc", "n", "digest")
+    rows = scan.where(F.col("block").isNull()).select("doc", "n", "same", "digest")
     total = rows.agg(F.sum("n")).head()[0] or 0
     bits = frequent_bits(scan, total)
-    known = rows.where("doc is not null and n > 0")
-    classes = known.groupBy("digest").agg(F.min("doc").alias("first"))
-    firsts = materialize(known.join(classes, "digest").select("doc", "first"), "exact-classes")
+    known = rows.where("same is not null")
+    # Copies within a task are linked with the first of them, these with the least one of all tasks.
+    tasks = known.where("digest is not null").select("digest", F.col("same").alias("a"))
+    least = tasks.groupBy("digest").agg(F.min("a").alias("b"))
+    copies = known.select(F.col("doc").alias("a"), F.col("same").alias("b")).union(tasks.join(least, "digest").select("a", "b"))
+    copies = materialize(copies.where("a <> b").distinct(), "exact-classes")
     found = materialize(run_candidates(index_entries(docs, bits, rule, text, key), rule), "candidates")
-    pairs = materialize(enough_shared(found.where("b is not null").select("a", "b", "na", "nb"), rule), "pairs")
+    pairs = materialize(enough_shared(found.where("sig is null").select("a", "b", "na", "nb"), rule), "pairs")
     links = materialize(verified(docs, pairs, rule, text, key), "verified")
-    # Classes are joined by their first documents; a doc_id with several sets joins their classes.
-    copies = firsts.where("doc <> first").select(F.col("doc").alias("a"), F.col("first").alias("b")).distinct()
-    links = links.union(copies)
-    entries = found.where("b is null").select("sig", F.col("a").alias("doc"), F.col("na").alias("n"), "f")
-    if not entries.isEmpty():
-        links = link_long_runs(docs, entries, links, rule, text, key)
-    roots = components(links)
+    # A doc_id with several sets joins their classes.
+    roots = components(links.union(copies))
+    stars = found.where("sig is not null")
+    if not stars.isEmpty():
+        roots = link_long_runs(docs, stars, roots, rule, text, key)
     kind = docs.schema[key].dataType
     return (
         rows.join(roots.withColumnRenamed("node", "doc"), "doc", "left")
