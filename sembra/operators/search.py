@@ -6,8 +6,8 @@ and return ``qid, doc_id, similarity, rank``; ties go to the lower ``doc_id``.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from dataclasses import dataclass, replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +22,15 @@ from sembra.operators.blocks import (
     broadcast_topk,
     rank_order,
 )
+from sembra.operators.hashed import (
+    PROBE_SAMPLE,
+    HashPlan,
+    candidate_share,
+    hashed_docs,
+    make_plan,
+    needed_probes,
+    probed_queries,
+)
 from sembra.session import materialize
 
 TOP_K = 5
@@ -98,48 +107,53 @@ def search_probed(queries: DataFrame, docs: DataFrame, k: int = TOP_K, depth: in
     return _ranked(blocked_topk(materialize(probes, "probes"), members, k, group=["cluster"]), k)
 
 
+@dataclass(frozen=True)
+class HashedSearch:
+    """Documents and queries dealt into buckets; both are written, so they are hashed once."""
+
+    docs: DataFrame
+    queries: DataFrame
+    plan: HashPlan
+
+    def hits(self, k: int) -> DataFrame:
+        return _ranked(blocked_topk(self.queries, self.docs, k, group=["bucket"]), k)
+
+    def candidate_share(self) -> float:
+        return candidate_share(self.queries, self.docs)
+
+
+def hashed_search(
+    queries: DataFrame, docs: DataFrame, k: int = TOP_K, recall: float = 0.95, probes: int | None = None, seed: int = 42
+) -> HashedSearch | None:
+    """Buckets of ``docs`` and the probes of ``queries``; ``None`` where there is no vector to hash.
+
+    The number of ``probes`` a query is calibrated to ``recall`` on at most ``PROBE_SAMPLE`` queries,
+    which are searched exactly, unless it is given.
+    """
+    plan = make_plan(docs, seed)
+    if plan is None:
+        return None
+    if probes is None:
+        sample = queries.where(F.col("qvec").isNotNull()).orderBy(F.xxhash64(F.lit(seed), "qid"), "qid").limit(PROBE_SAMPLE)
+        sample = materialize(sample.select("qid", "qvec"), "probe-sample")
+        exact = search_topk(sample, docs, k).select("qid", "doc_id")
+        vectors = docs.select("doc_id", as_double(F.col("dvec")).alias("dvec")).join(F.broadcast(exact), "doc_id")
+        pairs = vectors.join(F.broadcast(sample.select("qid", as_double(F.col("qvec")).alias("qvec"))), "qid")
+        probes = needed_probes(plan, pairs.select("qvec", "dvec").toArrow(), recall)
+    plan = replace(plan, probes=min(probes, 1 << plan.bits))
+    return HashedSearch(materialize(hashed_docs(docs, plan), "buckets"), materialize(probed_queries(queries, plan), "probes"), plan)
+
+
 def search_lsh(
-    queries: DataFrame,
-    docs: DataFrame,
-    k: int = TOP_K,
-    tables: int = 8,
-    hashes: int = 2,
-    bucket_length: float = 4.0,
-    seed: int = 42,
+    queries: DataFrame, docs: DataFrame, k: int = TOP_K, recall: float = 0.95, probes: int | None = None, seed: int = 42
 ) -> DataFrame:
-    """Approximate search: score only docs that share a random-projection bucket.
+    """Approximate search: score only docs in the buckets that a query probes, see ``hashed``.
 
-    The hash functions are Spark ML's; a bucket is the combination of ``hashes`` of them, and
-    a doc is a candidate if it shares the query's bucket in any of ``tables`` tables.
-    The default buckets are wide: on unstructured vectors narrower ones lose a third of the neighbours.
-    Candidates are scored block against block inside each ``(table, bucket)``, so a crowded
-    bucket costs more tasks, not a larger one.
+    Candidates are scored block against block inside each bucket, so a crowded bucket costs more
+    tasks, not a larger one. A query may get fewer than ``k`` hits if its buckets hold fewer docs.
     """
-    doc_vectors = docs.where(F.col("dvec").isNotNull()).withColumn("v", array_to_vector(as_double(F.col("dvec"))))
-    query_vectors = queries.where(F.col("qvec").isNotNull()).withColumn(
-        "v", array_to_vector(as_double(F.col("qvec")))
-    )
-    model = BucketedRandomProjectionLSH(
-        inputCol="v", outputCol="h", numHashTables=tables * hashes, bucketLength=bucket_length, seed=seed
-    ).fit(doc_vectors.select("v"))
-
-    def bucketed(df: DataFrame, *cols: str) -> DataFrame:
-        values = F.transform(F.col("h"), lambda v: vector_to_array(v)[0])
-        buckets = F.array(
-            *[F.xxhash64(F.slice(values, table * hashes + 1, hashes)) for table in range(tables)]
-        )
-        hashed = model.transform(df.select(*cols, "v"))
-        return hashed.select(*cols, F.posexplode_outer(buckets).alias("table", "bucket"))
-
-    hits = blocked_topk(
-        bucketed(query_vectors, "qid", "qvec"),
-        bucketed(doc_vectors, "doc_id", "dvec").withColumn("tie", F.col("doc_id")),
-        k,
-        group=["table", "bucket"],
-    )
-    # A doc met in several tables has the same similarity in each up to the last bit.
-    distinct = hits.groupBy("qid", "doc_id").agg(F.max("similarity").alias("similarity"))
-    return _ranked(distinct, k)
+    dealt = hashed_search(queries, docs, k, recall, probes, seed)
+    return search_topk(queries, docs, k) if dealt is None else dealt.hits(k)
 
 
 def format_hits(hits: DataFrame, store: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from sembra.functions import vectors as vx
 from sembra.catalog import search as catalog
-from sembra.operators.search import format_hits, search_lsh, search_probed, search_topk, search_topk_blocked
+from sembra.operators.hashed import probe_order
+from sembra.operators.search import format_hits, hashed_search, search_lsh, search_probed, search_topk, search_topk_blocked
 
 DIM = 12
 
@@ -90,21 +91,66 @@ def test_probed(data, spark):
     assert collect(search_probed(mixed, d, 4)) == brute(docs, queries, 4, allowed)
 
 
+def near_copies(docs, n, size):
+    noise = np.random.RandomState(3).randn(n, DIM) * size
+    near = docs[:n] + noise
+    return near / np.linalg.norm(near, axis=1, keepdims=True)
+
+
+def query_frame(spark, rows):
+    return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "qid long, qvec array<double>")
+
+
 def test_lsh_recall(data):
     docs, _, _, d, _ = data
-    noise = np.random.RandomState(3).randn(60, DIM) * 0.05
-    near = docs[:60] + noise
-    near /= np.linalg.norm(near, axis=1, keepdims=True)
-    q = d.sparkSession.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(near)], "qid long, qvec array<double>")
-    exact, found = brute(docs, near, 1), collect(search_lsh(q, d, 1))
+    near = near_copies(docs, 60, 0.05)
+    exact, found = brute(docs, near, 1), collect(search_lsh(query_frame(d.sparkSession, near), d, 1))
     assert sum(found.get(i) == exact[i] for i in exact) >= 57
 
 
+def test_lsh_reads_little_of_clustered_vectors(spark):
+    draw = np.random.RandomState(5)
+    centres = draw.randn(40, 24)
+    rows = centres[np.arange(2000) % 40] + 0.2 * draw.randn(2000, 24)
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    d = spark.createDataFrame([(i, v.tolist(), "x") for i, v in enumerate(rows)], "doc_id long, dvec array<double>, bucket string")
+    q = query_frame(spark, rows[:300])
+    dealt = hashed_search(q, d, 5)
+    found, exact = collect(dealt.hits(5)), brute(rows, rows[:300], 5)
+    assert sum(len(set(found[i]) & set(exact[i])) for i in exact) >= 0.9 * 5 * 300
+    sides = dealt.plan.sides(rows)
+    codes = dealt.plan.codes(sides)
+    probes = [set((c ^ probe_order(s, dealt.plan.probes)[0]).tolist()) for c, s in zip(codes[:300], sides[:300])]
+    met = sum(int(c) in p for p in probes for c in codes)
+    assert dealt.candidate_share() == pytest.approx(met / (300 * 2000)) and met < 0.3 * 300 * 2000
+    # Whatever is found is the best of the buckets that were probed.
+    allowed = {i: [j for j in range(2000) if int(codes[j]) in probes[i]] for i in range(20)}
+    assert {i: found[i] for i in allowed} == brute(rows, rows[:20], 5, allowed)
+
+
+def test_probes_come_in_the_order_of_their_cost():
+    sides = np.array([0.5, -0.1, 0.3, 0.2])
+    flips, costs = probe_order(sides, 16)
+    every = sorted((round(sum(s * s for j, s in enumerate(sides) if f >> j & 1), 12), f) for f in range(16))
+    assert [(round(c, 12), f) for f, c in zip(flips.tolist(), costs)] == every
+    assert probe_order(sides, 5)[0].tolist() == [f for _, f in every[:5]]
+
+
+def test_lsh_of_odd_vectors(spark, data):
+    docs, _, _, d, q = data
+    broken = q.unionByName(spark.createDataFrame([(900, None)], "qid long, qvec array<double>"))
+    assert 900 not in collect(search_lsh(broken, d, 2))
+    assert search_lsh(q, d.where("doc_id < 0"), 2).count() == 0 and search_lsh(q.where("qid < 0"), d, 2).count() == 0
+    same = spark.createDataFrame([(i, [1.0] + [0.0] * (DIM - 1)) for i in range(300)], "doc_id long, dvec array<double>")
+    assert collect(search_lsh(query_frame(spark, [np.eye(DIM)[0]]), same, 3))[0] == [0, 1, 2]
+
+
 def test_registered_lsh_reaches_its_recall(spark):
     data = "/root/testdata/sf0.001"
     exact, found = ({(r.qid, r.doc_id) for r in q(spark, data).collect()} for q in (catalog.search_topk, catalog.search_lsh))
     assert len(exact & found) >= 0.9 * len(exact)
-    assert catalog.search_lsh_recall(spark, data).first().recall_reached
+    assert catalog.search_lsh_recall(spark, data).first().recall == 0.9
+    assert catalog.search_lsh_clustered(spark, data).first()[1:] == (0.9, 0.3)
 
 
 def test_vector_functions(spark):
