@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sembra.functions.text import short_category
 from sembra.functions.vectors import dot
-from sembra.operators.ranking import exact_percentiles, with_positions
+from sembra.operators.ranking import at_positions, exact_percentiles
 from sembra.session import lookup_join, materialize
 
 # Fixed values of the published system.
@@ -114,11 +114,10 @@ def sample_pairs(df: DataFrame, n: int = PAIR_COUNT, seed: int = 42) -> DataFram
     A same-category draw picks a category uniformly, then two distinct documents of it;
     categories with fewer than two documents give nothing. A cross draw picks two distinct
     documents and is dropped if their categories agree. Documents are addressed by their
-    position in hash order; numbering the documents moves ids and categories, never texts.
+    position in hash order, which counts locate (``at_positions``): the table is neither sorted nor moved.
     """
     docs = df.select("doc_id", "category")
     sizes = docs.groupBy("category").agg(F.count(F.lit(1)).alias("size"))
-    ordered = with_positions(sizes, [], "category", "category_no")
     spark = df.sparkSession
     draws = spark.range(n).select(F.col("id").alias("draw"))
 
@@ -129,47 +128,39 @@ def sample_pairs(df: DataFrame, n: int = PAIR_COUNT, seed: int = 42) -> DataFram
 
     categories = sizes.agg(F.count(F.lit(1))).scalar()
     same = (
-        draws.withColumn("category_no", choose("category", categories))
-        .join(ordered, "category_no")
+        at_positions(sizes, [], "category", draws.withColumn("position", choose("category", categories)), "draw")
         .where(F.col("size") >= 2)
         .withColumn("pa", choose("first", F.col("size")))
         .withColumn("pb", F.pmod(F.col("pa") + 1 + choose("second", F.col("size") - 1), F.col("size")))
     )
-    inside = with_positions(docs, ["category"], "doc_id")
-    same_pairs = _drawn(same, inside, ["category"]).select("draw", "a", "b", F.lit(True).alias("same"))
+    same_pairs = _drawn(same, docs, ["category"]).select("draw", "a", "b", F.lit(True).alias("same"))
 
     total = docs.agg(F.count(F.lit(1))).scalar()
     cross = draws.withColumn("pa", choose("left", total)).withColumn(
         "pb", F.pmod(F.col("pa") + 1 + choose("right", total - 1), total)
     )
-    overall = with_positions(docs, [], "doc_id")
     cross_pairs = (
-        _drawn(cross, overall, [])
+        _drawn(cross, docs, [])
         .where(F.col("ca") != F.col("cb"))
         .select("draw", "a", "b", F.lit(False).alias("same"))
     )
     return same_pairs.unionByName(cross_pairs)
 
 
-def _drawn(draws: DataFrame, numbered: DataFrame, group: list[str]) -> DataFrame:
-    """Resolve positions ``pa, pb`` to documents ``a, b`` (categories ``ca, cb``) in one join."""
+def _drawn(draws: DataFrame, docs: DataFrame, group: list[str]) -> DataFrame:
+    """Resolve positions ``pa, pb`` to documents ``a, b`` (categories ``ca, cb``) in one search."""
     sides = F.explode(
         F.array(
-            F.struct(F.lit("a").alias("side"), F.col("pa").alias("position")),
-            F.struct(F.lit("b").alias("side"), F.col("pb").alias("position")),
+            F.struct((F.col("draw") * 2).alias("pick"), F.col("pa").alias("position")),
+            F.struct((F.col("draw") * 2 + 1).alias("pick"), F.col("pb").alias("position")),
         )
     )
-    wanted = draws.select("draw", *group, sides.alias("s")).select("draw", *group, "s.side", "s.position")
-    found = wanted.join(numbered, [*group, "position"])
-    pick = lambda side, column: F.max(F.when(F.col("side") == side, F.col(column)))
+    wanted = draws.select(*group, sides.alias("s")).select(*group, "s.pick", "s.position")
+    found = at_positions(docs, group, "doc_id", wanted, "pick")
+    of = lambda side, column: F.max(F.when(F.col("pick") % 2 == side, F.col(column)))
     return (
-        found.groupBy("draw")
-        .agg(
-            pick("a", "doc_id").alias("a"),
-            pick("b", "doc_id").alias("b"),
-            pick("a", "category").alias("ca"),
-            pick("b", "category").alias("cb"),
-        )
+        found.groupBy(F.floor(F.col("pick") / 2).cast("long").alias("draw"))
+        .agg(of(0, "doc_id").alias("a"), of(1, "doc_id").alias("b"), of(0, "category").alias("ca"), of(1, "category").alias("cb"))
         .where(F.col("a").isNotNull() & F.col("b").isNotNull())
     )
 

@@ -1,132 +1,166 @@
-"""Ranks and quantiles that never bring one whole group into a single task."""
+"""Ranks and quantiles by radix selection: histograms of digits instead of sorted groups.
+
+Values are mapped to 64-bit whole numbers in the same order. A round counts one digit of 16 bits per
+group, so a group is never more than 65,536 counts, however many rows it has; the wanted ranks fall
+into one digit each, and the next round counts only rows that share the digits found so far.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from sembra.session import materialize
+
+DIGIT_BITS, IMAGE_BITS = 16, 64
+TARGET_FIELDS = [T.StructField("prefix", T.LongType()), T.StructField("rank", T.LongType())]
+
+
+def group_key(group: list[str]):
+    """One column for any number of group columns; nulls are a group like any other."""
+    return F.struct(*group) if group else F.lit(0)
 
-from sembra.session import lookup_join, materialize
 
-# Accuracy of the sketch that brackets a percentile; the exact value is searched inside.
-SKETCH_ACCURACY = 10_000
-# Half widths of the brackets, narrow to wide; after the last one the whole range of values.
-WIDTHS = tuple(5.0 / SKETCH_ACCURACY * 8**step for step in range(4))
-# Ranks that a bracket must span on either side to be worth a try.
-LEAST_RANKS = 4
+def located(digits: np.ndarray, counts: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per rank (from 0): its place among ``ranks``, its digit, and its rank inside the digit."""
+    order = np.argsort(digits, kind="stable")
+    until = np.cumsum(counts[order])
+    inside = np.flatnonzero((ranks >= 0) & (ranks < (until[-1] if len(until) else 0)))
+    at = np.searchsorted(until, ranks[inside], "right")
+    return inside, digits[order][at], ranks[inside] - (until[at] - counts[order][at])
 
 
-def with_positions(df: DataFrame, group: list[str], id_col: str, output_col: str = "position") -> DataFrame:
-    """Number the rows of every group 0, 1, ... in the order of a hash of ``id_col``.
+def radix_select(
+    values: DataFrame, targets: DataFrame | Callable[[int], dict], fields: list[T.StructField], rounds: int = IMAGE_BITS // DIGIT_BITS
+) -> DataFrame:
+    """The digits of the values at given ranks: ``_g, prefix, rank`` and the other ``fields``.
 
-    Rows are counted per (group, first three hash digits), the 4,096 counts of a group are
-    added up, and rows are numbered inside their cell, so a group holding most of the table
-    is spread over 4,096 windows.
+    ``values(_g, image)``; ``targets(_g, rank, fields)``, or a function from the size of a group to
+    columns ``rank`` and ``fields`` of its targets. After all rounds ``prefix`` is the image and ``rank``
+    the place among its copies; after fewer, the image's first digits and the place among all values
+    that begin with them. Ranks beyond a group are left out.
     """
-    hashed = df.withColumn("_hash", F.md5(F.col(id_col).cast("string"))).withColumn(
-        "_cell", F.substring("_hash", 1, 3)
-    )
-    before = Window.partitionBy(*group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        hashed.groupBy(*group, "_cell")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*group, "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    )
-    inside = Window.partitionBy(*group, "_cell").orderBy("_hash", id_col)
-    return (
-        hashed.withColumn("_inside", F.row_number().over(inside) - 1)
-        .join(offsets, [*group, "_cell"])
-        .withColumn(output_col, F.col("_before") + F.col("_inside"))
-        .drop("_hash", "_cell", "_inside", "_before")
-    )
+    kind = values.schema["_g"]
+    names = [f.name for f in fields]
+    schema = T.StructType([kind, *TARGET_FIELDS, *fields])
+    types = to_arrow_schema(schema)
+
+    def pick(hist: pa.Table, ranks: np.ndarray, prefix: np.ndarray, key, columns: dict) -> pa.Table:
+        inside, digits, left = located(hist["digit"].to_numpy(), hist["n"].to_numpy(), ranks)
+        out = [pa.chunked_array([pa.repeat(key, len(inside))]), pa.array(prefix[inside] | digits), pa.array(left)]
+        rows = pa.array(inside)
+        return pa.table([c.cast(f.type) for c, f in zip([*out, *(columns[c].take(rows) for c in names)], types)], schema=types)
+
+    def first(hist: pa.Table) -> pa.Table:
+        made = targets(int(hist["n"].to_numpy().sum()))
+        columns = {c: pa.array(made[c]) for c in names}
+        ranks = np.asarray(made["rank"], np.int64)
+        return pick(hist, ranks, np.zeros(len(ranks), np.int64), hist["_g"][0], columns)
+
+    def later(hist: pa.Table, wanted: pa.Table) -> pa.Table:
+        if not hist.num_rows or not wanted.num_rows:
+            return types.empty_table()
+        prefix = wanted["prefix"].to_numpy() << DIGIT_BITS
+        return pick(hist, wanted["rank"].to_numpy(), prefix, wanted["_g"][0], {c: wanted[c] for c in names})
+
+    if callable(targets):
+        shift = IMAGE_BITS - DIGIT_BITS
+        hist = values.groupBy("_g", F.shiftright("image", shift).alias("digit")).agg(F.count(F.lit(1)).alias("n"))
+        found, done = materialize(hist.groupBy("_g").applyInArrow(first, schema), "digits"), 1
+    else:
+        found, done = targets.withColumn("prefix", F.lit(0).cast("long")).select(schema.names), 0
+    for turn in range(done, rounds):
+        shift = IMAGE_BITS - DIGIT_BITS * (turn + 1)
+        # Found digits were written, so the planner knows their size and sends them if they are few.
+        begun = F.shiftright("image", shift + DIGIT_BITS) if turn else F.lit(0).cast("long")
+        digit = F.shiftright("image", shift) if turn == 0 else F.shiftright("image", shift).bitwiseAND((1 << DIGIT_BITS) - 1)
+        open_ = values.select("_g", begun.alias("prefix"), digit.alias("digit"))
+        if turn:
+            open_ = open_.join(found.select("_g", "prefix").distinct(), ["_g", "prefix"], "left_semi")
+        hist = open_.groupBy("_g", "prefix", "digit").agg(F.count(F.lit(1)).alias("n"))
+        met = hist.groupBy("_g", "prefix").cogroup(found.groupBy("_g", "prefix")).applyInArrow(later, schema)
+        found = materialize(met, "digits")
+    return found
+
+
+# --- percentiles ---
+
+
+def images(values: DataFrame) -> DataFrame:
+    """(_g, image): doubles as whole numbers in the same order (NaN is the greatest, -0 equals 0)."""
+    schema = T.StructType([values.schema["_g"], T.StructField("image", T.LongType())])
+
+    def run(batches):
+        types = to_arrow_schema(schema)
+        for batch in batches:
+            v = np.asarray(batch.column(1), np.float64) + 0.0
+            bits = np.where(np.isnan(v), np.nan, v).view(np.int64)
+            image = np.where(bits < 0, bits ^ np.int64((1 << 63) - 1), bits)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(image)], schema=types)
+
+    return values.mapInArrow(run, schema)
 
 
 def exact_percentiles(df: DataFrame, group: list[str], value: str, probs: list[float]) -> DataFrame:
-    """Linearly interpolated percentiles per group: ``group..., prob, value``.
+    """Linearly interpolated percentiles per group: ``group..., prob, value``; nulls are left out.
 
-    A mergeable sketch brackets each percentile; a second pass counts what lies below the bracket
-    and ranks only what lies inside it. A percentile found outside its bracket (the sketch is
-    approximate) is searched again in the next wider one; the widest is the group's whole range.
+    The values are written once as whole numbers and counted four times, digit by digit.
     """
-    values = df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("v"))
-    values = materialize(values, "values")  # several passes over two columns; the source runs once
-    open_ = materialize(_brackets(values, group, probs), "brackets")
-    done = None
-    while True:
-        picked = materialize(_search(values, open_, group), "percentiles")
-        inside = F.col("lower").isNotNull() & F.col("upper").isNotNull()
-        exact = F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("fraction")
-        found = picked.where(inside).select(*group, "prob", exact.alias("value"))
-        done = found if done is None else done.unionByName(found)
-        missed = picked.where(~inside).select(*group, "prob")
-        if missed.isEmpty():
-            return done
-        wider = open_.join(missed, [*group, "prob"], "left_semi")
-        open_ = materialize(wider.withColumn("step", F.col("step") + 1), "brackets")
-
-
-def _brackets(values: DataFrame, group: list[str], probs: list[float]) -> DataFrame:
-    """Per group and percentile its ranks, the edges of all its brackets and the first to try."""
-    clip = lambda p: min(max(p, 0.0), 1.0)
-    edges = sorted({clip(p + side * w) for p in probs for w in WIDTHS for side in (-1, 1)})
-    sketch = values.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("v").alias("least"),
-        F.max("v").alias("most"),
-        F.percentile_approx("v", edges, SKETCH_ACCURACY).alias("edge"),
-    )
-    at = F.col("prob") * (F.col("n") - 1)
-    sides = [
-        F.struct(
-            F.lit(p).alias("prob"),
-            F.array(*[F.col("edge")[edges.index(clip(p - w))] for w in WIDTHS], F.col("least")).alias("lows"),
-            F.array(*[F.col("edge")[edges.index(clip(p + w))] for w in WIDTHS], F.col("most")).alias("highs"),
-        )
-        for p in probs
-    ]
-    narrow = F.size(F.filter(F.array(*[F.lit(w) for w in WIDTHS]), lambda w: w * F.col("n") < LEAST_RANKS))
-    return (
-        sketch.select(*group, "n", F.explode(F.array(*sides)).alias("s"))
-        .select(*group, "n", "s.*")
-        .select(
-            *group, "prob", "lows", "highs", narrow.alias("step"), F.floor(at).alias("lower_rank"),
-            F.ceil(at).alias("upper_rank"), (at - F.floor(at)).alias("fraction"),
-        )
-    )
-
-
-def _search(values: DataFrame, brackets: DataFrame, group: list[str]) -> DataFrame:
-    """The values at both ranks of every percentile, null where they lie outside its bracket."""
-    current = brackets.select(
-        *group,
-        F.struct(
-            "prob", "lower_rank", "upper_rank", "fraction",
-            F.col("lows")[F.col("step")].alias("low"), F.col("highs")[F.col("step")].alias("high"),
-        ).alias("b"),
-    )
-    if group:
-        tables = current.groupBy(*group).agg(F.collect_list("b").alias("brackets"))
-        tagged = lookup_join(values, tables, group, spread_by="v")
-    else:
-        tagged = values.withColumn("brackets", current.agg(F.collect_list("b")).scalar())
-    # Rows below a bracket are counted, rows inside are counted per distinct value.
-    cells = (
-        tagged.select(*group, "v", F.explode("brackets").alias("b"))
-        .select(
-            *group, "b.prob", "b.lower_rank", "b.upper_rank", "b.fraction",
-            (F.col("v") < F.col("b.low")).alias("below"),
-            F.when((F.col("v") >= F.col("b.low")) & (F.col("v") <= F.col("b.high")), F.col("v")).alias("v"),
-        )
-        .where("below OR v IS NOT NULL")
-        .groupBy(*group, "prob", "lower_rank", "upper_rank", "fraction", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    so_far = Window.partitionBy(*group, "prob").orderBy(F.col("v").asc_nulls_first())
-    ranked = cells.withColumn("until", F.sum("n").over(so_far))
-
-    def at_rank(rank: str) -> Column:
-        inside = (F.col("until") > F.col(rank)) & (F.col("until") - F.col("n") <= F.col(rank))
-        return F.max(F.when(inside, F.col("v")))
-
-    return ranked.groupBy(*group, "prob").agg(
-        at_rank("lower_rank").alias("lower"), at_rank("upper_rank").alias("upper"), F.first("fraction").alias("fraction")
+    known = df.where(F.col(value).isNotNull()).select(group_key(group).alias("_g"), F.col(value).cast("double").alias("v"))
+    values = materialize(images(known), "images")
+    fields = [T.StructField("prob", T.DoubleType()), T.StructField("upper", T.BooleanType()), T.StructField("fraction", T.DoubleType())]
+
+    def ranks(n: int) -> dict:
+        at = np.array(probs) * (n - 1)
+        low, high = np.floor(at).astype(np.int64), np.ceil(at).astype(np.int64)
+        both = np.r_[np.zeros(len(at), bool), np.ones(len(at), bool)]
+        return {"rank": np.r_[low, high], "prob": np.tile(probs, 2), "upper": both, "fraction": np.tile(at - low, 2)}
+
+    found = radix_select(values, ranks, fields)
+    schema = T.StructType([*found.schema.fields, T.StructField("v", T.DoubleType())])
+
+    def run(batches):
+        types = to_arrow_schema(schema)
+        for batch in batches:
+            image = np.asarray(batch.column("prefix"), np.int64)
+            v = np.where(image < 0, image ^ np.int64((1 << 63) - 1), image).view(np.float64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(v)], schema=types)
+
+    ends = found.mapInArrow(run, schema).groupBy("_g", "prob").agg(
+        F.max(F.when(~F.col("upper"), F.col("v"))).alias("low"), F.max(F.when(F.col("upper"), F.col("v"))).alias("high"), F.first("fraction").alias("f")
     )
+    names = [F.col(f"_g.{c}").alias(c) for c in group]
+    return ends.select(*names, "prob", (F.col("low") + (F.col("high") - F.col("low")) * F.col("f")).alias("value"))
+
+
+# --- positions ---
+
+
+def at_positions(df: DataFrame, group: list[str], id_col: str, wanted: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` by their place (from 0) in the order of a hash of ``id_col``, per group.
+
+    ``wanted(group..., position, key)``; returns ``key`` with the columns of ``df``. Places are located by
+    counts of the hash's first 28 bits, so only rows that share them with a wanted one are moved and
+    ranked; nothing else is sorted or exchanged.
+    """
+    digest = F.md5(F.col(id_col).cast("string"))
+    # Fifteen hex digits fill a positive long, its first 16-bit digit has 12 bits.
+    image = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+    hashed = df.withColumns({"_g": group_key(group), "image": image, "_hash": digest})
+    rounds = 2
+    fields = [T.StructField("wanted", wanted.schema[key].dataType)]
+    targets = wanted.select(group_key(group).alias("_g"), F.col("position").cast("long").alias("rank"), F.col(key).alias("wanted"))
+    # Positions are drawn for sizes that are counted on the way: written once.
+    found = radix_select(hashed.select("_g", "image"), materialize(targets, "positions"), fields, rounds)
+    begun = F.shiftright("image", IMAGE_BITS - DIGIT_BITS * rounds)
+    near = hashed.withColumn("prefix", begun).join(found.select("_g", "prefix").distinct(), ["_g", "prefix"], "left_semi")
+    inside = Window.partitionBy("_g", "prefix").orderBy("_hash", id_col)
+    ranked = near.withColumn("rank", F.row_number().over(inside).cast("long") - 1)
+    rows = ranked.join(found, ["_g", "prefix", "rank"])
+    return rows.select(F.col("wanted").alias(key), *df.columns)
