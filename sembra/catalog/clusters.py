@@ -75,25 +75,40 @@ images AS (
 shares AS (
   SELECT sum(x * x + y * y) / sum(x * x + y * y + list_dot_product(v[3:], v[3:])) AS share, count(*) AS n FROM images)"""
 
-FOLDED = 8
+FOLDED, GROUPS = 50, 10
 
 
 def _grouped(spark, sf_dir):
-    """Vectors folded to eight sums, in three groups of labels moved far apart."""
+    """Vectors as fifty numbers (the last fourteen added to the first), so that a reduction to the
+    published size is a rotation; the ten groups of labels are moved far apart."""
     folded = [
-        sum((F.col("embedding")[d].cast("double") for d in range(j + FOLDED, DIM, FOLDED)), F.col("embedding")[j].cast("double"))
-        + F.when(F.col("cluster") % 3 == j, 10.0).otherwise(0.0)
+        F.col("embedding")[j].cast("double")
+        + (F.col("embedding")[j + FOLDED].cast("double") if j + FOLDED < DIM else 0.0)
+        + F.when(F.col("cluster") == j, 10.0).otherwise(0.0)
         for j in range(FOLDED)
     ]
-    return vectors(spark, sf_dir).select("doc_id", (F.col("cluster") % 3).alias("category"), F.array(*folded).alias("embedding"))
+    return vectors(spark, sf_dir).select("doc_id", F.col("cluster").alias("category"), F.array(*folded).alias("embedding"))
 
 
 GROUPED = """
 cells AS (
-  SELECT vec_id, label % 3 AS g, (generate_subscripts(embedding, 1) - 1) % 8 AS d, unnest(embedding)::DOUBLE AS x
+  SELECT vec_id, label AS g, (generate_subscripts(embedding, 1) - 1) % 50 AS d, unnest(embedding)::DOUBLE AS x
   FROM embeddings),
 folded AS (SELECT vec_id AS id, g, d, sum(x) + CASE WHEN g = d THEN 10 ELSE 0 END AS x FROM cells GROUP BY vec_id, g, d)"""
 
+#: The silhouette by Euclidean distances of all pairs.
+SILHOUETTE = """
+whole AS (SELECT id, g, list(x ORDER BY d) AS v FROM {0} GROUP BY id, g),
+sizes_of AS (SELECT g, count(*) AS n FROM whole GROUP BY g),
+gaps AS (
+  SELECT p.id, p.g, o.g AS other, any_value(s.n) AS n, sum(list_distance(p.v, o.v)) AS total
+  FROM whole p, whole o JOIN sizes_of s ON s.g = o.g GROUP BY p.id, p.g, o.g),
+near AS (
+  SELECT id, max(CASE WHEN g = other THEN n END) AS own, max(CASE WHEN g = other THEN total / nullif(n - 1, 0) END) AS a,
+         min(CASE WHEN g <> other THEN total / n END) AS b FROM gaps GROUP BY id),
+scored AS (
+  SELECT count(*) AS n, round(avg(CASE WHEN own = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 4) AS silhouette FROM near)"""
+
 #: The silhouette by squared distances from sizes, sums and sums of squares of the groups.
 SQUARED_SILHOUETTE = """
 axes AS (SELECT g, d, count(*) AS n, sum(x) AS s, sum(x * x) AS q FROM {0} GROUP BY g, d),
@@ -178,32 +193,29 @@ def project_2d(spark, sf_dir):
 @query(
     "fit_gmm",
     """
-WITH s AS (SELECT (label >= 5)::INT AS g, embedding[1]::DOUBLE + (label >= 5)::INT * 10 AS x,
-                  embedding[2]::DOUBLE AS y FROM embeddings),
-m AS (SELECT g, count(*) AS n, avg(x) AS mx, avg(y) AS my, var_pop(x) AS vx, var_pop(y) AS vy,
-             covar_pop(x, y) AS vxy FROM s GROUP BY g),
-t AS (SELECT sum(n) AS total FROM m),
-l AS (SELECT sum(n * ln(n / total) - 0.5 * n * (2 * ln(2 * pi()) + ln(vx * vy - vxy * vxy) + 2)) AS ll FROM m, t)
-SELECT round(n / total, 4) AS weight, round(mx, 4) + 0.0 AS mean_x, round(my, 4) + 0.0 AS mean_y,
-       round(vx, 4) AS var_x, round(vy, 4) AS var_y, round(ll, 2) AS log_likelihood,
-       round(-2 * ll + 11 * ln(total), 2) AS bic, round(-2 * ll + 22, 2) AS aic FROM m, t, l
+WITH cells AS (
+  SELECT vec_id, (label >= 5)::INT AS g, generate_subscripts(embedding, 1) - 1 AS d,
+         unnest(embedding)::DOUBLE + CASE WHEN label >= 5 AND generate_subscripts(embedding, 1) = 1 THEN 10 ELSE 0 END AS x
+  FROM embeddings),
+sizes AS (SELECT g, n / sum(n) OVER () AS share FROM (SELECT g, count(DISTINCT vec_id) AS n FROM cells GROUP BY g))
+SELECT a.g, a.d::INT AS i, b.d::INT AS j, round(any_value(share), 4) AS weight,
+       round(avg(a.x), 4) + 0.0 AS mean, round(covar_pop(a.x, b.x) + CASE WHEN a.d = b.d THEN 1e-6 ELSE 0 END, 4) + 0.0 AS covariance
+FROM cells a JOIN cells b ON a.vec_id = b.vec_id JOIN sizes ON sizes.g = a.g GROUP BY a.g, a.d, b.d
 """,
 )
 def fit_gmm(spark, sf_dir):
-    """Two groups of labels moved far apart: the best fit has a closed form."""
-    first = F.col("embedding")[0].cast("double") + F.when(F.col("cluster") >= 5, 10.0).otherwise(0.0)
-    plane = vectors(spark, sf_dir).withColumn("reduced", F.array(first, F.col("embedding")[1].cast("double")))
-    model, _ = mx.fit_gmm(plane, k=2, n_init=3, max_iter=60)
-    fitted = mx.Mixture.from_model(model)
+    """Whole vectors, two groups of labels moved far apart: the best fit has a closed form."""
+    moved = F.transform(
+        F.col("embedding").cast("array<double>"), lambda x, i: x + F.when((i == 0) & (F.col("cluster") >= 5), 10.0).otherwise(0.0)
+    )
+    fitted, _ = mx.fit_gmm(vectors(spark, sf_dir).withColumn("reduced", moved), k=2)
     rows = [
-        tuple(round(float(v), 4) + 0.0 for v in (w, m[0], m[1], s[0, 0], s[1, 1]))
-        for w, m, s in zip(fitted.weights, fitted.means, fitted.spreads)
+        (int(mean[0] > 5), i, j, round(float(w), 4), round(float(mean[i]), 4) + 0.0, round(float(spread[i, j]), 4) + 0.0)
+        for w, mean, spread in zip(fitted.weights, fitted.means, fitted.spreads)
+        for i in range(DIM)
+        for j in range(DIM)
     ]
-    parts = spark.createDataFrame(rows, "weight double, mean_x double, mean_y double, var_x double, var_y double")
-    criteria = mx.information_criteria(plane, fitted).first()
-    return parts.withColumns(
-        {c: F.lit(round(criteria[c], 2)) for c in ("log_likelihood", "bic", "aic")}
-    )
+    return spark.createDataFrame(rows, "g int, i int, j int, weight double, mean double, covariance double")
 
 
 @query(
@@ -217,11 +229,11 @@ FROM folded, sizes GROUP BY g, d""",
     ),
 )
 def fit_gmm_restarts(spark, sf_dir):
-    """Three groups far apart, best of the published number of restarts."""
-    model, _ = mx.fit_gmm(_grouped(spark, sf_dir), k=3, vector_col="embedding")
+    """Ten groups far apart, best of the published number of restarts."""
+    fitted, _ = mx.fit_gmm(_grouped(spark, sf_dir), k=GROUPS, vector_col="embedding")
     rows = [
-        (int(mean[:3].argmax()), d, round(float(weight), 4), round(float(x), 4) + 0.0)
-        for weight, mean in zip(model.weights, (g.mean.toArray() for g in model.gaussians))
+        (int(mean[:GROUPS].argmax()), d, round(float(weight), 4), round(float(x), 4) + 0.0)
+        for weight, mean in zip(fitted.weights, fitted.means)
         for d, x in enumerate(mean)
     ]
     return spark.createDataFrame(rows, "g int, d int, weight double, mean double")
@@ -336,18 +348,24 @@ def information_criteria(spark, sf_dir):
     )
 
 
+POINTS = """
+pts AS (SELECT vec_id AS id, label AS g, generate_subscripts(embedding, 1) AS d, unnest(embedding)::DOUBLE AS x
+        FROM embeddings)"""
+
+
 @query(
     "silhouette",
-    with_(
-        """
-pts AS (SELECT vec_id AS id, label AS g, generate_subscripts(embedding, 1) AS d, unnest(embedding)::DOUBLE AS x
-        FROM embeddings)""",
-        SQUARED_SILHOUETTE.format("pts"),
-        select="SELECT * FROM scored",
-    ),
+    with_(POINTS, SILHOUETTE.format("pts"), select="SELECT n, n AS sampled, silhouette, 0.0::DOUBLE AS standard_error FROM scored"),
 )
 def silhouette(spark, sf_dir):
-    scored = ql.silhouette(vectors(spark, sf_dir), vector_col="embedding")
+    """Euclidean, all rows."""
+    scored = ql.silhouette(vectors(spark, sf_dir), per_cluster=1 << 20, vector_col="embedding")
+    return scored.withColumn("silhouette", F.round("silhouette", 4))
+
+
+@query("silhouette_squared", with_(POINTS, SQUARED_SILHOUETTE.format("pts"), select="SELECT * FROM scored"))
+def silhouette_squared(spark, sf_dir):
+    scored = ql.squared_silhouette(vectors(spark, sf_dir), vector_col="embedding")
     return scored.select("n", F.round("silhouette", 4).alias("silhouette"))
 
 
@@ -375,15 +393,15 @@ def nmi(spark, sf_dir):
     "fit_report",
     with_(
         GROUPED,
-        SQUARED_SILHOUETTE.format("folded"),
+        SILHOUETTE.format("folded"),
         select="""
-SELECT n AS n_samples, 8 AS pca_components, 1.0::DOUBLE AS variance_explained, 3 AS n_clusters, true AS converged,
+SELECT n AS n_samples, 50 AS pca_components, 1.0::DOUBLE AS variance_explained, 10 AS n_clusters, true AS converged,
        silhouette AS silhouette_score, 1.0::DOUBLE AS nmi_vs_true_labels FROM scored""",
     ),
 )
 def fit_report(spark, sf_dir):
-    """Three groups far apart, restarts and iterations as published; all dimensions are kept."""
-    _, _, report = ql.fit_report(_grouped(spark, sf_dir), k=3, components=FOLDED, label_col="category")
+    """Ten groups far apart; components, restarts and iterations as published."""
+    _, _, report = ql.fit_report(_grouped(spark, sf_dir), k=GROUPS, label_col="category")
     return report.select(
         "n_samples",
         "pca_components",
@@ -399,15 +417,15 @@ def fit_report(spark, sf_dir):
     "evaluate_k",
     with_(
         GROUPED,
-        SQUARED_SILHOUETTE.format("folded"),
+        SILHOUETTE.format("folded"),
         select="""
-SELECT 'silhouette_score' AS metric, 3::BIGINT AS k, silhouette AS value FROM scored
-UNION ALL SELECT 'nmi', 3, 1.0""",
+SELECT 'silhouette_score' AS metric, 10::BIGINT AS k, silhouette AS value FROM scored
+UNION ALL SELECT 'nmi', 10, 1.0""",
     ),
 )
 def evaluate_k(spark, sf_dir):
-    """A sweep around the true number of groups must find it, and its diagnostics there."""
-    sweep = ql.evaluate_k(_grouped(spark, sf_dir), range(2, 6), components=FOLDED, label_col="category")
+    """The published sweep (K 5 to 35, three restarts) must find the number of groups, and its figures there."""
+    sweep = ql.evaluate_k(_grouped(spark, sf_dir), label_col="category")
     best = ql.best_k(sweep).where("metric <> 'bic'")
     return best.withColumn("value", F.round("value", 4))
 
@@ -476,19 +494,19 @@ def boundary_documents(spark, sf_dir):
 @query(
     "save_load_models",
     """
-SELECT vec_id AS doc_id, min(vec_id) OVER (PARTITION BY label % 3) AS first_of_cluster, 0.0::DOUBLE AS entropy
+SELECT vec_id AS doc_id, min(vec_id) OVER (PARTITION BY label) AS first_of_cluster, 0.0::DOUBLE AS entropy
 FROM embeddings
 """,
 )
 def save_load_models(spark, sf_dir):
-    """Assignments by reloaded models: three groups far apart. Clusters are named by their least id."""
+    """Assignments by reloaded models: ten groups far apart. Clusters are named by their least id."""
     rows = _grouped(spark, sf_dir)
     pca = rd.fit_pca(rows, FOLDED)
-    gmm, _ = mx.fit_gmm(rd.pca_transform(rows, pca), k=3)
+    fitted, _ = mx.fit_gmm(rd.pca_transform(rows, pca), k=GROUPS)
     path = scratch_path(spark, "models")
-    save_models(pca, gmm, path)
-    pca, gmm, _ = load_models(path)
-    assigned = mx.assign_clusters(rd.pca_transform(rows, pca), mx.Mixture.from_model(gmm))
+    save_models(pca, fitted, path)
+    pca, fitted, _ = load_models(path)
+    assigned = mx.assign_clusters(rd.pca_transform(rows, pca), fitted)
     first = assigned.groupBy("dominant_cluster").agg(F.min("doc_id").alias("first_of_cluster"))
     return assigned.join(F.broadcast(first), "dominant_cluster").select(
         "doc_id", "first_of_cluster", (F.abs(F.round("entropy", 4)) + 0.0).alias("entropy")

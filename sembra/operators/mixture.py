@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 import json
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.clustering import GaussianMixtureModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sembra.functions.membership import (
@@ -24,15 +22,13 @@ from sembra.functions.membership import (
 )
 from sembra.functions.text import preview
 from sembra.functions.vectors import as_double, list_array, matrix
+from sembra.operators.em import VARIANCE_FLOOR, Fit, best_fits, fit_mixtures
 
 # Fixed values of the published system.
 N_CLUSTERS = 18
 FIT_RESTARTS = 5
 FIT_ITERATIONS = 300
 SEED = 42
-# Convergence is judged per row, as the published system does; Spark judges the total.
-ROW_TOLERANCE = 1e-3
-VARIANCE_FLOOR = 1e-6
 MAX_PARAMETERS = 50_000_000
 
 
@@ -102,8 +98,13 @@ class Mixture:
     def from_json(cls, text: str) -> Mixture:
         return cls(**{n: np.array(v) for n, v in json.loads(text).items()})
 
+    @classmethod
+    def from_fit(cls, fit: Fit) -> Mixture:
+        return cls(fit.weights, fit.means, fit.covariances)
+
     @classmethod
     def from_model(cls, model: GaussianMixtureModel) -> Mixture:
+        """The parameters of a mixture that Spark ML has fitted."""
         return cls(
             np.array(model.weights),
             np.array([g.mean.toArray() for g in model.gaussians]),
@@ -171,37 +172,12 @@ def fit_gmm(
     covariance: str = "full",
     vector_col: str = "reduced",
     seed: int = SEED,
-) -> tuple[GaussianMixtureModel, float]:
-    """Best of ``n_init`` EM fits by log likelihood, with that likelihood."""
+) -> tuple[Mixture, float]:
+    """Best of ``n_init`` EM fits by log likelihood, with that likelihood; all fits share their scans."""
     if covariance != "full":
         raise ValueError("only full covariance is available")
-    features = fit_features(df, vector_col).persist()
-    try:
-        return fit_restarts(features, features.count(), k, n_init, max_iter, seed, parallel=n_init)
-    finally:
-        features.unpersist()
-
-
-def fit_features(df: DataFrame, vector_col: str = "reduced") -> DataFrame:
-    vector = as_double(F.col(vector_col))
-    return df.select(vector.alias("reduced"), array_to_vector(vector).alias("features"))
-
-
-def fit_restarts(
-    features: DataFrame, n: int, k: int, n_init: int, max_iter: int, seed: int = SEED, parallel: int = 1
-) -> tuple[GaussianMixtureModel, float]:
-    """Fits from ``n_init`` seeds on a cached table of ``n`` rows; ``parallel`` jobs in flight.
-
-    The likelihood is recomputed from the final parameters: the one in Spark's summary
-    belongs to the parameters before the last update.
-    """
-
-    def one(restart: int) -> tuple[GaussianMixtureModel, float]:
-        model = GaussianMixture(k=k, maxIter=max_iter, seed=seed + restart, tol=ROW_TOLERANCE * n).fit(features)
-        return model, log_likelihood(features, Mixture.from_model(model))
-
-    with ThreadPoolExecutor(parallel) as pool:
-        return max(pool.map(one, range(n_init)), key=lambda fitted: fitted[1])
+    fit = best_fits(fit_mixtures(df, [(k, seed + i) for i in range(n_init)], max_iter, vector_col))[k]
+    return Mixture.from_fit(fit), fit.log_likelihood
 
 
 def gmm_posteriors(

@@ -3,10 +3,12 @@ from functools import partial
 
 import numpy as np
 import pytest
+from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from sembra.functions import membership as mb
+from sembra.operators import em
 from sembra.operators import mixture as mx
 from sembra.operators import quality as ql
 from sembra.operators import reduction as rd
@@ -32,8 +34,8 @@ def fitted(blobs):
     _, _, df = blobs
     pca = rd.fit_pca(df, 3)
     reduced = rd.pca_transform(df, pca).cache()
-    model, score = mx.fit_gmm(reduced, k=3, n_init=3, max_iter=100)
-    return pca, reduced, model, score
+    mixture, score = mx.fit_gmm(reduced, k=3, n_init=3, max_iter=100)
+    return pca, reduced, mixture, score
 
 
 def test_pca_is_centred_and_orthogonal(blobs, fitted):
@@ -47,9 +49,11 @@ def test_pca_is_centred_and_orthogonal(blobs, fitted):
 
 
 def test_posteriors_equal_the_model(fitted):
-    _, reduced, model, _ = fitted
-    ours = mx.gmm_posteriors(reduced, mx.Mixture.from_model(model)).orderBy("doc_id").collect()
+    """A mixture that Spark ML has fitted gives the same posteriors here."""
+    _, reduced, _, _ = fitted
     features = reduced.withColumn("features", array_to_vector("reduced"))
+    model = GaussianMixture(k=3, seed=1).fit(features)
+    ours = mx.gmm_posteriors(reduced, mx.Mixture.from_model(model)).orderBy("doc_id").collect()
     theirs = model.transform(features).select("doc_id", vector_to_array("probability").alias("p")).orderBy("doc_id")
     p, q = np.array([r["probs"] for r in ours]), np.array([r["p"] for r in theirs.collect()])
     assert np.allclose(p, q, atol=1e-9) and np.allclose(p.sum(axis=1), 1.0)
@@ -57,11 +61,10 @@ def test_posteriors_equal_the_model(fitted):
 
 def test_fit_finds_the_groups(blobs, fitted):
     _, _, df = blobs
-    _, reduced, model, score = fitted
-    assigned = mx.assign_clusters(reduced, mx.Mixture.from_model(model))
+    _, reduced, mixture, score = fitted
+    assigned = mx.assign_clusters(reduced, mixture)
     row = ql.nmi(assigned, "label", "dominant_cluster").first()
     assert row["nmi"] == pytest.approx(1.0) and row["n"] == 240
-    mixture = mx.Mixture.from_model(model)
     criteria = mx.information_criteria(reduced, mixture).first()
     assert criteria["log_likelihood"] == pytest.approx(score)
     p = 2 + 3 * 3 + 3 * 6
@@ -70,6 +73,55 @@ def test_fit_finds_the_groups(blobs, fitted):
     assert criteria["aic"] == pytest.approx(-2 * score + 2 * p) == mx.aic(score, mixture)
 
 
+def plain_em(x, fit, rounds):
+    """EM as in the textbook, all rows at once."""
+    w, m, s = fit.weights.copy(), fit.means.copy(), fit.covariances.copy()
+    for _ in range(rounds):
+        p = np.stack([w[c] * np.exp(-0.5 * np.einsum("ij,jk,ik->i", x - m[c], np.linalg.inv(s[c]), x - m[c]))
+                      / np.sqrt(np.linalg.det(2 * np.pi * s[c])) for c in range(fit.k)], 1)
+        r = p / p.sum(1, keepdims=True)
+        n = r.sum(0)
+        w, m = n / len(x), (r.T @ x) / n[:, None]
+        s = np.stack([((x - m[c]) * r[:, c : c + 1]).T @ (x - m[c]) / n[c] + em.VARIANCE_FLOOR * np.eye(x.shape[1]) for c in range(fit.k)])
+    return w, m, s
+
+
+@pytest.mark.parametrize("rows", [13, 4_096])
+def test_fits_of_a_sweep_equal_plain_em(spark, monkeypatch, rows):
+    """Several sizes and starts at once, many blocks or few: each fit is that of EM alone."""
+    x = np.random.RandomState(3).randn(150, 3) + np.array([[4.0, 0, 0], [0, 0, 0], [0, 5, 0]])[np.arange(150) % 3]
+    df = spark.createDataFrame([([float(v) for v in r],) for r in x], "reduced array<double>").repartition(4)
+    monkeypatch.setattr(em, "ROW_TOLERANCE", 0.0)
+    blocks = em.vector_blocks(df, "reduced", rows)
+    sample = em.start_sample(df, "reduced")
+    fits = [em.first_parameters(sample, k, seed) for k in (2, 3, 4) for seed in (7, 8)]
+    truth = [plain_em(x, f, 6) for f in fits]
+    for _ in range(6):
+        em.one_iteration(blocks, blocks.count(), fits)
+    for fit, (w, m, s) in zip(fits, truth):
+        assert fit.iterations == 6 and np.allclose(fit.weights, w) and np.allclose(fit.means, m) and np.allclose(fit.covariances, s, atol=1e-7)
+    again = [em.first_parameters(em.start_sample(df.repartition(2), "reduced"), k, seed) for k in (2, 3, 4) for seed in (7, 8)]
+    assert all((a.means == em.first_parameters(sample, a.k, a.seed).means).all() for a in again)
+
+
+def test_converged_fits_leave_the_sweep(spark, blobs, monkeypatch):
+    _, _, df = blobs
+    asked, original = [], em.one_iteration
+
+    def counted(blocks, n, fits, last=False):
+        asked.append(len(fits))
+        original(blocks, n, fits, last)
+
+    monkeypatch.setattr(em, "one_iteration", counted)
+    fits = em.fit_mixtures(df, [(k, 42) for k in (1, 3, 9)], 60, "embedding")
+    assert asked[0] == 3 and asked[-1] == 3 and min(asked) < 3 and sorted(asked[:-1], reverse=True) == asked[:-1]
+    assert all(f.converged for f in fits) and len({f.iterations for f in fits}) > 1
+    short = em.fit_mixtures(df, [(9, 42)], 1, "embedding")[0]
+    assert not short.converged and short.iterations == 1
+    with pytest.raises(ValueError, match="no vectors"):
+        em.fit_mixtures(df.limit(0), [(2, 1)], 5, "embedding")
+
+
 def test_only_full_covariance(fitted):
     with pytest.raises(ValueError, match="full"):
         mx.fit_gmm(fitted[1], covariance="diag")
@@ -80,13 +132,13 @@ def test_copies_do_not_break_a_fit(spark):
     rng = np.random.RandomState(2)
     points = np.vstack([np.tile([5.0, 5.0, 5.0], (60, 1)), rng.randn(60, 3)])
     df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "doc_id long, reduced array<double>")
-    model, score = mx.fit_gmm(df, k=2, n_init=2, max_iter=40)
-    probs = [r["probs"] for r in mx.gmm_posteriors(df, mx.Mixture.from_model(model)).collect()]
+    mixture, score = mx.fit_gmm(df, k=2, n_init=2, max_iter=40)
+    probs = [r["probs"] for r in mx.gmm_posteriors(df, mixture).collect()]
     assert np.isfinite(score) and np.allclose(np.sum(probs, axis=1), 1.0)
 
 
 def test_mixture_travels_as_json(fitted):
-    mixture = mx.Mixture.from_model(fitted[2])
+    mixture = fitted[2]
     again = mx.Mixture.from_json(mixture.to_json())
     assert np.array_equal(again.spreads, mixture.spreads) and again.is_full
 
@@ -95,7 +147,11 @@ def test_models_survive_a_round_trip(fitted, tmp_path):
     pca, _, model, _ = fitted
     save_models(pca, model, str(tmp_path / "m"))
     _, again, k = load_models(str(tmp_path / "m"))
-    assert k == 3 and np.allclose(again.weights, model.weights)
+    assert k == 3 and np.array_equal(again.weights, model.weights) and np.array_equal(again.spreads, model.spreads)
+    named = mx.Mixture(np.array([0.5, 0.5]), np.zeros((2, 3)), np.ones((2, 3)), np.array([4, 9]))
+    save_models(pca, named, str(tmp_path / "m"))
+    _, again, _ = load_models(str(tmp_path / "m"))
+    assert again.labels.tolist() == [4, 9] and not again.is_full
     with pytest.raises(FileNotFoundError, match="build_index"):
         load_models(str(tmp_path / "absent"))
 
@@ -164,14 +220,39 @@ def test_silhouette(spark):
         [(i, int(c), [float(x) for x in p]) for i, (p, c) in enumerate(zip(points, labels))],
         "doc_id long, cluster int, reduced array<double>",
     )
-    row = ql.silhouette(df).first()
+    row = ql.squared_silhouette(df).first()
     assert row["n"] == 90 and row["silhouette"] == pytest.approx(brute_silhouette(points, labels, power=1))
     for block in (13, 1000):
-        row = ql.sampled_silhouette(df, 90, block_rows=block).first()
-        assert row["n"] == 90 and row["silhouette"] == pytest.approx(brute_silhouette(points, labels))
-    assert ql.sampled_silhouette(df, 40).first()["n"] == 40
-    assert ql.silhouette(df.where("cluster = 0")).first()["silhouette"] is None
-    assert ql.silhouette(df.where("cluster = 77")).first()["n"] == 0
+        row = ql.silhouette(df, block_rows=block).first()
+        assert (row["n"], row["sampled"], row["standard_error"]) == (90, 90, 0.0)
+        assert row["silhouette"] == pytest.approx(brute_silhouette(points, labels))
+    for measure in (ql.silhouette, ql.squared_silhouette):
+        assert measure(df.where("cluster = 0")).first()["silhouette"] is None
+        assert measure(df.where("cluster = 77")).first()["n"] == 0
+    both = df.select(F.col("doc_id").alias("id"), "reduced", F.array("cluster", F.lit(1), F.col("cluster") % 2).alias("labels"))
+    found = ql.silhouettes(both, 1_000, 3)
+    assert found[1] is None and found[0] == pytest.approx(brute_silhouette(points, labels))
+    assert found[2] == pytest.approx(brute_silhouette(points, labels % 2))
+    assert ql.silhouettes(both.limit(0), 10, 3) == [None] * 3
+
+
+def test_stratified_silhouette_is_near_the_whole_one(spark):
+    rng = np.random.RandomState(1)
+    labels = np.where(np.arange(3000) < 2400, 0, np.arange(3000) % 3)
+    points = rng.randn(3000, 2) + 3.0 * labels[:, None]
+    df = spark.createDataFrame(
+        [(i, int(c), [float(x) for x in p]) for i, (p, c) in enumerate(zip(points, labels))], "doc_id long, cluster int, reduced array<double>"
+    )
+    whole, part = ql.silhouette(df, per_cluster=5_000).first(), ql.silhouette(df, per_cluster=150).first()
+    assert whole["sampled"] == 3000 and 300 < part["sampled"] < 600 and part["n"] == 3000
+    assert 0 < part["standard_error"] < 0.05 and abs(part["silhouette"] - whole["silhouette"]) < 4 * part["standard_error"]
+
+
+def test_labelled_nmi_equals_nmi(spark):
+    df = spark.range(60).selectExpr("id % 4 AS a", "id % 3 AS b", "1 AS one", "(id + id % 7) % 4 AS c")
+    found = {r["model"]: r["nmi"] for r in ql.labelled_nmi(df.withColumn("labels", F.array("a", "b", "one", "c")), "a", "labels").collect()}
+    for i, c in enumerate(("a", "b", "one", "c")):
+        assert found[i] == pytest.approx(ql.nmi(df, "a", c).first()["nmi"])
 
 
 def test_nmi_edges(spark):

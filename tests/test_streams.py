@@ -73,7 +73,7 @@ def test_update_keeps_what_is_not_updated(spark, built):
 
 def test_stream_ingest_equals_batch(spark, corpus, built):
     _, index = built
-    mixture = Mixture.from_model(index.gmm)
+    mixture = index.mixture
     arriving, path, progress = (scratch_path(spark, n) for n in ("arriving", "stream", "progress"))
     for part in (0, 1):
         corpus.where(F.col("doc_id") % 2 == part).write.mode("append").parquet(arriving)
@@ -87,7 +87,7 @@ def test_stream_ingest_equals_batch(spark, corpus, built):
 
 def test_answers_miss_then_hit(spark, built):
     _, index = built
-    mixture = Mixture.from_model(index.gmm)
+    mixture = index.mixture
     queries = spark.createDataFrame([(1, "rocket moon orbit"), (2, "league goal"), (3, ""), (4, "x" * 1001)],
                                     "qid long, query string")
     first = answer_queries(queries, index.store, spark.createDataFrame([], SNAPSHOT_SCHEMA), mixture, index.pca, encoder)
