@@ -40,11 +40,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from sembra.llm.common import map_columns
 from sembra.session import lookup_join, materialize
 
 SKETCH_BITS = 24
@@ -52,7 +52,9 @@ BLOCK_BITS = 16
 LONG_RUN = 128
 BITMAP_BITS = 1_024
 EDGE_BLOCK_ROWS = 4_096
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
+#: Rows of texts that are in Python's hands at once.
+SLICE_ROWS = 512
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -132,6 +134,13 @@ class Shingler:
         return np.unique(out)
 
 
+def slices(batches):
+    """Arrow batches in parts of few rows, so that lists and arrays made of them stay small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(start, SLICE_ROWS)
+
+
 # --- one pass: set sizes, digests, and counts for the sketch ---
 
 
@@ -149,7 +158,7 @@ def scan_sets(docs: DataFrame, rule: Jaccard, text: str, key: str) -> DataFrame:
     def run(batches):
         shingler, firsts = Shingler(rule.words), {}
         counts = np.zeros(1 << SKETCH_BITS, np.uint16)
-        for batch in batches:
+        for batch in slices(batches):
             sizes, same, digests = [], [], []
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = shingler(value)
@@ -259,7 +268,7 @@ def index_entries(docs: DataFrame, bits: np.ndarray, rule: Jaccard, text: str, k
 
     def run(batches):
         shingler, seen, table = Shingler(rule.words), set(), shared.value
-        for batch in batches:
+        for batch in slices(batches):
             sigs, names, sizes, commons = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = shingler(value)
@@ -435,24 +444,22 @@ def measured(docs: DataFrame, pairs: DataFrame, rule: Jaccard, text: str, key: s
     second = texts.select(F.col("doc").alias("b"), F.col("text").alias("tb"))
     joined = pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "ta", "tb")
 
-    def make():
-        shingler, last = Shingler(rule.words), [None, None]
+    schema = StructType.fromDDL("a long, b long, linked boolean, apart double, size long, bits binary")
 
-        def compare(ta, tb):
-            if last[0] != tb:
-                last[:] = tb, shingler(tb)
-            x, y = shingler(ta), last[1]
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            either = len(x) + len(y) - both
-            return 100 * both >= rule.percent * either, 1 - both / max(1, either), len(x), bitmap(x)
-
-        def run(a, b, ta, tb):
-            found = [compare(s, t) for s, t in zip(ta, tb)]
-            return a, b, *(zip(*found) if found else [[]] * 4)
-
-        return run
-
-    return map_columns(joined, "a long, b long, linked boolean, apart double, size long, bits binary", make)
+    def run(batches):
+        shingler, types, last, y = Shingler(rule.words), to_arrow_schema(schema), None, None
+        for batch in slices(batches):
+            out = []
+            for a, b, ta, tb in zip(*(c.to_pylist() for c in batch.columns)):
+                if last != tb:
+                    last, y = tb, shingler(tb)
+                x = shingler(ta)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                either = len(x) + len(y) - both
+                out.append((a, b, 100 * both >= rule.percent * either, 1 - both / max(1, either), len(x), bitmap(x)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), types)], schema=types)
+
+    return joined.mapInArrow(run, schema)
 
 
 def verified(docs: DataFrame, pairs: DataFrame, rule: Jaccard, text: str, key: str) -> DataFrame:
