@@ -1,17 +1,25 @@
 """Main text of pages: parser events, text-to-tag ratios, smoothing and threshold clustering.
 
 The standard library's streaming parser turns a page into lines, one for each block element, with
-the length of its text and the tags met since the line before, without those inside boilerplate. Lines inside elements that never
-hold an article (navigation, header, footer, aside, form, script ..., or a class, id or role that
-says so) are boilerplate. The ratios of the other lines are smoothed by a Gaussian; a threshold
-between the two clusters of ratios (two means in one dimension) marks the content lines, and
-these select the region: the article or main element, or the innermost container, that holds
-most of their text. The threshold only chooses the region: all its lines are returned in page order,
-short headings and endings too.
-
-Null and empty pages give an empty text, as do pages without a line outside boilerplate. Broken
-markup is read as the parser reads it; open elements are closed by their ancestors. Whole pages
-are read. Repeated rows are extracted each by itself.
+the length of its text and the tags met since the line before. Structure only vetoes: lines inside
+elements that never hold an article (navigation, header, footer, aside, form, script ..., or a class,
+id or role that says so) are left out, with the tags met there. What is an article is decided by the
+ratios of text to tags of the lines that are left:
+
+* the logarithms of the ratios are smoothed by a Gaussian along the lines of a container, so short
+  lines between long ones count as theirs, and a box beside them does not;
+* a threshold between the two clusters of smoothed ratios (two means in one dimension) marks the
+  content lines;
+* the content region is the innermost container that holds most of the text of the content lines. It
+  is extended to its ends: all lines that stand in it directly are returned, short headings and
+  endings too. Of the containers inside it those are returned that hold content lines; boxes below
+  the threshold (menus, adverts, notices without any mark) are not. Headings right before a returned
+  line are returned, wherever they stand.
+
+Null and empty pages give an empty text, as do pages without a line outside boilerplate; of equal
+containers the one that opens last is taken. Broken markup is read as the parser reads it; open
+elements are closed by their ancestors. Whole pages are read, in time linear in their length
+(containers are numbered and know their parent). Repeated rows are extracted each by itself.
 """
 
 from __future__ import annotations
@@ -32,6 +40,7 @@ BLOCKS = CONTAINERS | frozenset(
     " head header hgroup hr li menu nav ol p pre script style summary table tbody template textarea tfoot thead title"
     " tr ul".split()
 )
+HEADINGS = tuple("h1 h2 h3 h4 h5 h6".split())
 HEAD = frozenset("head title meta link script style base noscript template".split())
 BOILERPLATE = frozenset(
     "script style noscript template head title nav header footer aside form button select textarea iframe svg object"
@@ -64,15 +73,18 @@ def marked(attributes: list) -> bool:
 
 
 class PageLines(HTMLParser):
-    """Collects ``lines``: (text, tags, path of container numbers, number of the article or -1)."""
+    """Collects ``lines``: (text, tags, number of the container, whether it is a heading).
+
+    ``parents`` holds the parent of every container; number 0 is the page itself.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
-        self.kinds: list[str] = []
+        self.lines: list[tuple[str, int, int, bool]] = []
+        self.parents: list[int] = [0]
         self.stack: list[tuple[str, bool]] = []
         self.open: dict[str, int] = {}
-        self.path: tuple[int, ...] = ()
+        self.container = 0
         self.bad = 0
         self.tags = 0
         self.tags_before = 0
@@ -82,7 +94,7 @@ class PageLines(HTMLParser):
         text = " ".join("".join(self.pieces).split())
         self.pieces.clear()
         if text:
-            self.lines.append((text, max(1, self.tags), self.path))
+            self.lines.append((text, max(1, self.tags), self.container, any(self.open.get(h) for h in HEADINGS)))
             self.tags = 0
 
     def push(self, tag: str, bad: bool) -> None:
@@ -92,8 +104,8 @@ class PageLines(HTMLParser):
             self.tags_before = self.tags
         self.bad += bad
         if tag in CONTAINERS:
-            self.path += (len(self.kinds),)
-            self.kinds.append(tag)
+            self.parents.append(self.container)
+            self.container = len(self.parents) - 1
 
     def leave(self, bad: bool) -> None:
         """Count an element as closed; the tags met inside boilerplate belong to no line."""
@@ -110,7 +122,7 @@ class PageLines(HTMLParser):
             self.open[name] -= 1
             self.leave(bad)
             if name in CONTAINERS:
-                self.path = self.path[:-1]
+                self.container = self.parents[self.container]
             if name == tag:
                 return
 
@@ -183,28 +195,44 @@ def cluster_threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def region(lines: list, kinds: list[str]) -> list[str]:
+def smoothed_lines(lines: list) -> np.ndarray:
+    """Smoothed logarithms of the ratios; neighbours are lines that follow each other in one container."""
+    values = np.log1p(np.array([len(text) / tags for text, tags, _, _ in lines]))
+    held = np.array([container for _, _, container, _ in lines])
+    order = np.argsort(held, kind="stable")
+    starts = np.flatnonzero(np.r_[True, np.diff(held[order]) != 0])
+    for start, end in zip(starts, np.r_[starts[1:], len(lines)]):
+        values[order[start:end]] = smoothed(values[order[start:end]])
+    return values
+
+
+def region(lines: list, parents: list[int]) -> list[str]:
     """Texts of the lines in the region that the content lines select."""
-    ratios = np.array([len(text) / tags for text, tags, _ in lines])
-    values = smoothed(ratios)
+    values = smoothed_lines(lines)
     content = values >= cluster_threshold(values)
-    weights: dict[int, int] = {}
-    whole: dict[int, int] = {}
-    for (text, _, path), inside in zip(lines, content):
-        for node in path:
-            whole[node] = whole.get(node, 0) + len(text)
-            weights[node] = weights.get(node, 0) + len(text) * bool(inside)
-    total = sum(len(line[0]) for line, inside in zip(lines, content) if inside)
-    chosen = [n for n, kind in enumerate(kinds) if kind in ("article", "main") and weights.get(n, 0) * 2 > total]
-    if chosen:
-        node = max(chosen, key=lambda n: (kinds[n] == "article", n))
-        return [text for text, _, path in lines if node in path]
-    held = [n for n in weights if weights[n] * 5 >= total * 4]
-    if not held:
-        return [text for text, _, _ in lines]
-    # The outermost container that is mostly content, else the innermost that holds it.
-    node = next((n for n in sorted(held) if weights[n] * 10 >= whole[n] * 9), max(held))
-    return [text for text, _, path in lines if node in path]
+    inside, direct = np.zeros(len(parents), np.int64), np.zeros(len(parents), np.int64)
+    for (text, _, container, _), good in zip(lines, content):
+        direct[container] += len(text) * bool(good)
+    inside += direct
+    for node in range(len(parents) - 1, 0, -1):  # a container opens after its parent
+        inside[parents[node]] += inside[node]
+    chosen = int(np.flatnonzero(inside * 2 > inside[0])[-1])
+    # Containers of the region: the chosen one, and those below it that hold content.
+    kept = np.zeros(len(parents), bool)
+    kept[chosen] = True
+    for node in range(chosen + 1, len(parents)):  # below a container without content there is none
+        kept[node] = kept[parents[node]] and inside[node] > 0
+    out: list[str] = []
+    heading: list[str] = []
+    for text, _, container, is_heading in lines:
+        if kept[container]:
+            out += heading + [text]
+            heading = []
+        elif is_heading:
+            heading.append(text)
+        else:
+            heading = []
+    return out
 
 
 def extract_text(html: str | None) -> str:
@@ -212,7 +240,7 @@ def extract_text(html: str | None) -> str:
     parser.feed(html or "")
     parser.close()
     parser.flush()
-    return "\n".join(region(parser.lines, parser.kinds)) if parser.lines else ""
+    return "\n".join(region(parser.lines, parser.parents)) if parser.lines else ""
 
 
 def extract_pages(pages: DataFrame, html: str = "html", key: str = "page_id", url: str = "url") -> DataFrame:

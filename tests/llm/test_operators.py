@@ -2,8 +2,11 @@
 
 import hashlib
 import math
+import re
+import time
 import zlib
 from collections import Counter
+from html import unescape
 
 import numpy as np
 import public_tokenizers
@@ -333,8 +336,7 @@ def test_scores_equal_a_plain_model(docs, texts, settings):
         n_tokens, known, n, base, score = truth[r.doc_id]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], n_tokens, known, n)
         assert abs(r.base_score - base) < 1e-5
-        if settings.shard_tokens > 10_000:  # small shards split heavy words by class
-            assert abs(r.score - score) <= 3 * ef.STEP * n_tokens
+        assert abs(r.score - score) <= 3 * ef.STEP * n_tokens
         assert r.score <= 0
 
 
@@ -428,7 +430,106 @@ def test_tags_of_boilerplate_belong_to_no_line():
     parser = hr.PageLines()
     parser.feed("<body><h1>Head</h1><nav>" + "<a href=/>x</a>" * 30 + "</nav><p>One <b>two</b> <button><i>y</i></button>three</p></body>")
     parser.close()
-    assert [(text, tags <= 6) for text, tags, _ in parser.lines] == [("Head", True), ("One two three", True)]
+    assert [(line[0], line[1] <= 6) for line in parser.lines] == [("Head", True), ("One two three", True)]
+
+
+SECTIONS = "article|main|nav|header|footer|aside|section"
+
+
+def without_sections(html):
+    return re.sub(rf"<(/?)({SECTIONS})\b", r"<\1div", html)
+
+
+def without_names(html):
+    return re.sub(r"""\s(class|id|role)=("[^"]*"|\S+?)(?=[\s>])""", "", without_sections(html))
+
+
+def article_of(html):
+    """The blocks of the article element, by its tags alone."""
+    inside = re.search(r"<article>(.*?)</article>", html, re.S)[1]
+    blocks = [" ".join(unescape(re.sub(r"<[^>]*>", "", b.replace("<br>", " "))).split()) for b in re.split(r"</?(?:h1|p|div|ul|li)[^>]*>", inside)]
+    return "\n".join(b for b in blocks if b)
+
+
+def plain_region(html):
+    """Ratios, smoothing, threshold and region with all ancestors of every line written out."""
+    parser = hr.PageLines()
+    parser.feed(html)
+    parser.close()
+    parser.flush()
+    lines, parents = parser.lines, parser.parents
+    values = []
+    for i, line in enumerate(lines):
+        peers = [j for j, other in enumerate(lines) if other[2] == line[2]]
+        at, total, weight = peers.index(i), 0.0, 0.0
+        for step in range(-2, 3):
+            other = lines[peers[min(len(peers) - 1, max(0, at + step))]]
+            w = math.exp(-0.5 * step**2)
+            total, weight = total + w * math.log(1 + len(other[0]) / other[1]), weight + w
+        values.append(total / weight)
+    cut = hr.cluster_threshold(np.array(values))
+    content = [v >= cut - 1e-12 for v in values]
+
+    def ancestors(container):
+        found = [container]
+        while found[-1]:
+            found.append(parents[found[-1]])
+        return found
+
+    held = {n: sum(len(t) for (t, _, c, _), good in zip(lines, content) if good and n in ancestors(c)) for n in range(len(parents))}
+    chosen = max(n for n in held if held[n] * 2 > held[0])
+    out, waiting = [], []
+    for (text, _, container, heading), good in zip(lines, content):
+        above = ancestors(container)
+        if chosen in above and (container == chosen or held[container]):
+            out += [*waiting, text]
+            waiting = []
+        else:
+            waiting = [*waiting, text] if heading else []
+    return "\n".join(out)
+
+
+@pytest.fixture(scope="module")
+def raw_pages(spark):
+    return [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").orderBy("page_id").collect()]
+
+
+def test_ratios_find_the_article(raw_pages):
+    """With its elements, and at least 95 of 100 times without section elements, classes, ids and roles."""
+    truth = [article_of(h) for h in raw_pages]
+    assert [hr.extract_text(h) for h in raw_pages] == truth
+    for strip in (without_sections, without_names):
+        assert sum(hr.extract_text(strip(h)) == t for h, t in zip(raw_pages, truth)) >= 0.95 * len(truth)
+
+
+def test_region_equals_a_plain_version(raw_pages):
+    nested = "<body><div><a href=x>Menu</a></div><div><div><h2>Part</h2></div><div><p>" + "words " * 80 + "</p><div>small</div></div></div></body>"
+    for page in [nested, PAGE, *map(without_names, raw_pages[:120])]:
+        assert hr.extract_text(page) == plain_region(page)
+    assert hr.extract_text(nested).split("\n")[0] == "Part" and "Menu" not in hr.extract_text(nested)
+
+
+def test_ratios_decide(raw_pages, monkeypatch):
+    """Beside a list of links with more text than most articles, ratios and threshold find the article."""
+    links = "<div><ul>" + "<li><a href=/x>some link here</a></li>" * 900 + "</ul></div>"
+    pages = [without_names(h).replace("<body>", "<body>" + links) for h in raw_pages]
+    truth, draw = [article_of(h) for h in raw_pages], np.random.default_rng(1)
+    found = [hr.extract_text(h) for h in pages]
+    assert sum(f == t for f, t in zip(found, truth)) >= 0.95 * len(truth)
+    for name, other in (("smoothed_lines", lambda lines: draw.random(len(lines))), ("cluster_threshold", lambda values: -1.0)):
+        with monkeypatch.context() as m:
+            m.setattr(hr, name, other)
+            assert sum(hr.extract_text(h) != t for h, t in zip(pages, found)) > 0.5 * len(pages)
+
+
+def test_deep_and_odd_pages_take_linear_time():
+    start = time.perf_counter()
+    deep = "<div>x" * 40_000 + "the text " * 50
+    assert hr.extract_text(deep).endswith("the text")
+    assert hr.extract_text("<p>" * 100_000 + "end") == "end"
+    assert hr.extract_text("<b>" * 50_000 + "bold" + "</b>" * 50_000) == "bold"
+    assert hr.extract_text("text only") == "text only" and hr.extract_text("<nav>x</nav>") == ""
+    assert time.perf_counter() - start < 30
 
 
 # --- pipeline ---
