@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from sembra.session import lookup_join
+
 #: Letters that contracts lower-case; nothing else changes.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -55,18 +57,19 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_sample(df: DataFrame, label: str, key: str, per_label: int, most_labels: int = 1_000) -> DataFrame:
+def bounded_sample(df: DataFrame, label: str, key: str, per_label: int, most_rows: int | None = None) -> DataFrame:
     """About ``per_label`` rows of each value of ``label`` (all, if fewer), chosen by a hash of ``key``.
 
-    Rates come from exact counts; the same rows are chosen at every run. The sample is of the
-    ``most_labels`` most frequent labels, so the table of counts that is sent to all tasks has at
-    most so many rows and no text is moved. Adds ``label_rows``, the number of rows that the label
-    has in all of ``df``.
+    With ``most_rows`` the values share about so many rows, however many values there are. Rates come
+    from exact counts, which are joined by their size; the same rows are chosen at every run. Adds
+    ``label_rows``, the number of rows that the label has in all of ``df``.
     """
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("label_rows"))
-    counts = F.broadcast(counts.orderBy(F.desc("label_rows"), label).limit(most_labels))
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("label_rows"))
+    rows = float(per_label)
+    if most_rows is not None:
+        rows = min(rows, most_rows / max(1, counts.count()))
     draw = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return df.join(counts, label).where(draw < F.lit(float(per_label)) / F.col("label_rows"))
+    return lookup_join(df, counts, [label], spread_by=key).where(draw < F.lit(rows) / F.col("label_rows"))
 
 
 def map_batches(df: DataFrame, ddl: str, function: Callable) -> DataFrame:
