@@ -4,22 +4,29 @@ Each document's ids (with an end id) are cut into whole windows, which fill a se
 rest. Rests are packed online: a level array counts the partially filled sequences at every fill
 level, and a rest goes to the level (zero: a new sequence) that minimises the sum of squared
 counts after the placement; among equals, to the fullest. A sequence that becomes full is emitted.
-At the end of a task the sequences still open are cut again: their pieces are dealt into whole
-windows, and what is left into sequences whose lengths are powers of two, so that none is padded.
-
-Every task packs the rows of its input split, so nothing is shuffled; memory is bounded by one
-Arrow batch and the open sequences (fewer than the window). The input must come from files or
-another source that gives the same splits again, as a task that is run again must see the same
-rows. Null texts are empty: one piece with the end id. Repeated rows are packed each by itself.
+At the end of a task the sequences still open are closed from the fullest on: their gaps are filled
+with pieces cut from the emptiest ones, and what is left at last becomes sequences whose lengths are
+powers of two, so that none is padded. ``placed`` tells the pieces that stand where the level array has
+put them from those that were moved then.
+
+Every task packs the rows of its input split, so nothing is shuffled. Memory is bounded by one
+Arrow batch and ``MOST_OPEN`` ids of open sequences: beyond, these are closed in the same way, but for the
+last. The input must come from files or another source that gives the same splits again, as a task
+that is run again must see the same rows. Null texts are empty: one piece with the end id. Repeated
+rows are packed each by itself; of equal levels the fullest, of equal sequences the last opened is
+used. Whole texts are read; runs of white space longer than ``LONG_SPACE``, which the split pattern
+cannot take, are cut by the pattern's own rule before it is applied, so their ids are the same.
 """
 
 from __future__ import annotations
 
 import json
 import zlib
+from collections import deque
 from dataclasses import dataclass
 
 import numpy as np
+import regex
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -27,9 +34,14 @@ from pyspark.sql import DataFrame
 from sembra.llm.common import map_batches
 from sembra.llm.rank_array_bpe import byte_symbols
 
-PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, placed boolean"
 #: Fixed value: the split pattern of byte-level BPE files that name no pattern of their own.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LONG_SPACE = 10_000
+#: White space as the pattern means it.
+SPACE_RUN = regex.compile(r"\p{White_Space}{%d,}" % LONG_SPACE)
+#: Ids that open sequences hold in a task at most (64 MB).
+MOST_OPEN = 1 << 24
 #: Sequence numbers of a task start at its partition number times this.
 TASK_SEQUENCES = 1 << 40
 
@@ -55,6 +67,28 @@ def load_byte_vocabulary(path: str) -> ByteVocabulary:
     )
 
 
+class Tokenizer:
+    """Ids of whole texts by the vocabulary; special tokens written in a text become theirs."""
+
+    def __init__(self, vocabulary: ByteVocabulary):
+        self.special = set(vocabulary.special)
+        self.split = tiktoken.Encoding("split", pat_str=PATTERN, mergeable_ranks=vocabulary.ranks, special_tokens=vocabulary.special)
+        self.whole = tiktoken.Encoding("whole", pat_str=r"[\s\S]+", mergeable_ranks=vocabulary.ranks, special_tokens={})
+
+    def __call__(self, text: str) -> list[int]:
+        ids: list[int] = []
+        start = 0
+        for run in SPACE_RUN.finditer(text) if len(text) >= LONG_SPACE else ():
+            # A run is one piece but for its last character, which belongs to the text that follows.
+            follows = run.end() < len(text) and not any(text.startswith(t, run.end()) for t in self.special)
+            end = run.end() - follows
+            ids += self.split.encode(text[start : run.start()], allowed_special=self.special)
+            ids += self.whole.encode(text[run.start() : end], disallowed_special=())
+            start = end
+        ids += self.split.encode(text[start:], allowed_special=self.special)
+        return ids
+
+
 def crc32_of(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
@@ -67,12 +101,13 @@ class Packer:
         self.next = first_sequence
         self.counts = np.zeros(window + 1, np.int64)
         self.open: dict[int, list[list]] = {}
+        self.held = 0  # ids in open sequences
         self.rows: list[tuple] = []
 
     def emit(self, pieces: list) -> None:
         offset = 0
-        for key, start, ids, total in pieces:
-            self.rows.append((key, start, len(ids), crc32_of(ids), total, self.next, offset))
+        for key, start, ids, total, placed in pieces:
+            self.rows.append((key, start, len(ids), crc32_of(ids), total, self.next, offset, placed))
             offset += len(ids)
         self.next += 1
 
@@ -102,38 +137,67 @@ class Packer:
         else:
             pieces = []
         pieces.append(piece)
+        self.held += size
         level += size
         if level == self.window:
+            self.held -= self.window
             self.emit(pieces)
         else:
             self.open.setdefault(level, []).append(pieces)
             self.counts[level] += 1
+        if self.held > MOST_OPEN:
+            self.close(last=False)
 
     def add(self, key, ids: np.ndarray) -> None:
         total = len(ids)
         whole = total - total % self.window
         for start in range(0, whole, self.window):
-            self.emit([(key, start, ids[start : start + self.window], total)])
+            self.emit([(key, start, ids[start : start + self.window], total, True)])
         if whole < total:
-            self.place((key, whole, ids[whole:].copy(), total))
+            self.place((key, whole, ids[whole:].copy(), total, True))
+
+    def close(self, last: bool = True) -> None:
+        """Fill the fullest open sequences with pieces of the emptiest ones.
 
-    def close(self) -> None:
-        """Deal the open sequences' pieces into whole windows, the rest into powers of two."""
-        pieces = [p for level in sorted(self.open, reverse=True) for bins in self.open[level] for p in bins]
+        At most one sequence is left: open again, or, at the ``last`` call, cut into powers of two.
+        """
+        waiting = deque(pieces for level in sorted(self.open, reverse=True) for pieces in self.open[level])
         self.open.clear()
         self.counts[:] = 0
+        self.held = 0
+        moved: list[tuple] = []  # pieces of the emptiest sequence that is being given away, last first
+        while waiting or moved:
+            pieces = waiting.popleft() if waiting else []
+            room = self.window - sum(len(p[2]) for p in pieces)
+            while room and (moved or waiting):
+                if not moved:
+                    moved = waiting.pop()[::-1]
+                key, start, ids, total, _ = moved.pop()
+                pieces.append((key, start, ids[:room], total, False))
+                if len(ids) > room:
+                    moved.append((key, start + room, ids[room:], total, False))
+                room -= len(pieces[-1][2])
+            if not room:
+                self.emit(pieces)
+            elif last:
+                self.emit_powers(pieces)
+            else:
+                self.open[self.window - room] = [pieces]
+                self.counts[self.window - room] = 1
+                self.held = self.window - room
+
+    def emit_powers(self, pieces: list) -> None:
         left = sum(len(p[2]) for p in pieces)
-        current, room = [], 0
-        for key, start, ids, total in pieces:
+        current, room = [], 1 << (left.bit_length() - 1)
+        whole = left == room
+        for key, start, ids, total, placed in pieces:
             while len(ids):
-                if not room:
-                    room = self.window if left >= self.window else 1 << (left.bit_length() - 1)
                 taken = min(room, len(ids))
-                current.append((key, start, ids[:taken], total))
+                current.append((key, start, ids[:taken], total, placed and whole))
                 ids, start, room, left = ids[taken:], start + taken, room - taken, left - taken
                 if not room:
                     self.emit(current)
-                    current = []
+                    current, room = [], 1 << (left.bit_length() - 1) if left else 0
 
 
 def pack_documents(
@@ -145,14 +209,11 @@ def pack_documents(
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def pack(batches):
-        v = shared.value
-        encoding = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=v.ranks, special_tokens=v.special)
-        special = set(v.special)
+        encode = Tokenizer(shared.value)
         packer = Packer(window, TaskContext.get().partitionId() * TASK_SEQUENCES)
         for keys, texts in batches:
             for name, value in zip(keys, texts):
-                ids = encoding.encode(value or "", allowed_special=special)
-                packer.add(name, np.array([*ids, end_id], np.uint32))
+                packer.add(name, np.array([*encode(value or ""), end_id], np.uint32))
             rows, packer.rows = packer.rows, []
             yield rows
         packer.close()
