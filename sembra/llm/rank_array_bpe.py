@@ -5,8 +5,10 @@ is normalised (NFC, runs of white space to one space, lower case), cut into word
 pattern, and each word's UTF-8 bytes become symbols, the last with the end-of-word mark. For one
 word two arrays are held side by side: the parts, and the rank of each adjacent pair. The least
 rank is found by scanning, its boundary is deleted, and only the ranks of the two neighbours are
-looked up again, until no pair has a rank. Words repeat, so their ids are kept in a bounded cache
-of the task.
+looked up again, until no pair has a rank. Scanning costs the square of a word's length, so words of
+more than ``SCAN_PARTS`` parts keep the same arrays with a heap over the ranks beside them, and
+deleted parts are skipped by links; ids are the same. Words repeat, so the ids of short ones are kept
+in a bounded cache of the task.
 
 Special tokens written in a text become their ids, as the library does by default. Decoding joins
 tokens by spaces, as the library does for a file without a decoder. Null texts are encoded as
@@ -17,6 +19,7 @@ cut.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import unicodedata
 from dataclasses import dataclass
@@ -29,6 +32,7 @@ from sembra.llm.common import map_columns
 CACHE_WORDS = 300_000
 SPACE = regex.compile(r"\s+")
 NO_RANK = 1 << 60
+SCAN_PARTS = 100
 
 
 @dataclass(frozen=True)
@@ -82,6 +86,35 @@ def merge_word(parts: list[str], ranks: dict[tuple[str, str], int]) -> list[str]
     return parts
 
 
+def merge_long_word(parts: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
+    """As ``merge_word``, for words of any length: the least rank comes from a heap."""
+    n = len(parts)
+    before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+    pair_ranks = [ranks.get(pair, NO_RANK) for pair in zip(parts, parts[1:])] + [NO_RANK]
+    heap = [(rank, at) for at, rank in enumerate(pair_ranks) if rank < NO_RANK]
+    heapq.heapify(heap)
+
+    def refresh(at: int) -> None:
+        pair_ranks[at] = ranks.get((parts[at], parts[after[at]]), NO_RANK) if after[at] < n else NO_RANK
+        if pair_ranks[at] < NO_RANK:
+            heapq.heappush(heap, (pair_ranks[at], at))
+
+    while heap:
+        rank, at = heapq.heappop(heap)
+        if pair_ranks[at] != rank:
+            continue  # one of its parts has changed since
+        gone = after[at]
+        parts[at] += parts[gone]
+        parts[gone], pair_ranks[gone] = "", NO_RANK
+        after[at] = after[gone]
+        if after[at] < n:
+            before[after[at]] = at
+        refresh(at)
+        if before[at] >= 0:
+            refresh(before[at])
+    return [p for p in parts if p]
+
+
 class Encoder:
     """Encodes and decodes whole texts; one per task."""
 
@@ -103,11 +136,13 @@ class Encoder:
         if ids is None:
             parts = [self.bytes[b] for b in word.encode()]
             parts[-1] += self.v.suffix
-            known = self.v.ids
-            ids = tuple(known[p] for p in merge_word(parts, self.v.ranks) if p in known)
-            if len(self.cache) >= CACHE_WORDS:
-                self.cache.clear()
-            self.cache[word] = ids
+            known, short = self.v.ids, len(parts) <= SCAN_PARTS
+            merge = merge_word if short else merge_long_word
+            ids = tuple(known[p] for p in merge(parts, self.v.ranks) if p in known)
+            if short:
+                if len(self.cache) >= CACHE_WORDS:
+                    self.cache.clear()
+                self.cache[word] = ids
         return ids
 
     def encode(self, text: str) -> list[int]:
