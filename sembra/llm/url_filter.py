@@ -6,7 +6,10 @@ n-grams of host and path are hashed into ``UrlModel.bits`` bits and a logistic r
 from the small labelled table below (or one of the caller's), decides at probability one half.
 
 Null urls and urls without ``://`` have an empty host and path and no n-grams: the verdict is
-then that of the model's intercept, which the fit holds below one half (allow).
+then that of the model's intercept, which the fit holds below one half (allow). Of rules that fit
+with equal length the last in code-point order of host and path counts. Urls of any length are read
+whole, in time linear in their length; repeated rows are judged each by itself; extra columns are
+not looked at; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -43,7 +46,9 @@ ALLOWED_NAMES = (
     "library", "university", "science", "weather", "museum", "history", "garden", "kitchen", "recipes", "travel",
     "school", "health", "city-news", "daily-news", "sports", "football", "music", "theatre", "docs", "wiki",
     "python", "research", "nature", "physics", "chemistry", "maths", "books", "photos", "maps", "forum",
-    "hiking", "cycling", "film-review", "art", "theron", "ththing", "tiontion", "thersh", "anding", "eronth",
+    "hiking", "cycling", "film-review", "art", "hotel", "restaurant", "hospital", "church", "parliament", "airport",
+    "railway", "college", "insurance", "newspaper", "magazine", "orchestra", "stadium", "gallery", "conference",
+    "foundation", "association", "community", "government", "ministry", "institute", "academy", "archive", "journal",
 )
 
 
