@@ -51,7 +51,7 @@ SKETCH_BITS = 24
 BLOCK_BITS = 16
 LONG_RUN = 128
 BITMAP_BITS = 1_024
-EDGE_BLOCK_ROWS = 4_096
+EDGE_BLOCK_ROWS = 256
 CACHE_WORDS = 150_000
 #: Rows of texts that are in Python's hands at once.
 SLICE_ROWS = 512

@@ -27,7 +27,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sembra.llm.common import bounded_sample, map_columns
+from sembra.llm.common import map_columns
+from sembra.session import lookup_join
 
 BITS = 16
 CELLS = 1 << BITS
@@ -91,6 +92,15 @@ def windows(text: str) -> list[str]:
     return [w for w in found if LETTER.search(w)]
 
 
+def language_sample(labelled: DataFrame, lang: str, key: str, per_language: int, most_rows: int) -> DataFrame:
+    """About ``per_language`` rows of each language (all, if fewer), fewer where all languages together
+    would be more than about ``most_rows``; chosen by a hash of ``key``, at rates from exact counts."""
+    counts = labelled.groupBy(lang).agg(F.count(F.lit(1)).alias("label_rows"))
+    rows = min(float(per_language), most_rows / max(1, counts.count()))
+    draw = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return lookup_join(labelled, counts, [lang], spread_by=key).where(draw < F.lit(rows) / F.col("label_rows"))
+
+
 def training_features(sample: DataFrame, text: str, lang: str) -> list:
     """(language, number of the text, cells, shares) of the sampled texts and their windows, made in tasks."""
 
@@ -148,7 +158,7 @@ def fit_language_model(
 ) -> LanguageModel | None:
     """Train on labelled rows; null labels and texts without letters take no part."""
     usable = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(key, text, lang)
-    rows = training_features(bounded_sample(usable, lang, key, per_language, most_rows), text, lang)
+    rows = training_features(language_sample(usable, lang, key, per_language, most_rows), text, lang)
     if not rows:
         return None
     languages = tuple(sorted({r[0] for r in rows}))
