@@ -98,9 +98,7 @@ def search_topk(spark, sf_dir):
 @query("search_topk_blocked", with_(LABELLED, REVERSED, topk_sql("labelled", k=8), select=HITS))
 def search_topk_blocked(spark, sf_dir):
     return _rounded(
-        sr.search_topk_blocked(
-            _queries(spark, sf_dir), _docs(spark, sf_dir), 8, query_block_rows=128, doc_block_rows=128
-        )
+        sr.search_topk_blocked(_queries(spark, sf_dir), _docs(spark, sf_dir), 8, tile_rows=300)
     )
 
 

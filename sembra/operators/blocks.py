@@ -1,9 +1,13 @@
-"""Exact top-k between two vector tables as a fragment-and-replicate join.
+"""Exact top-k between two vector tables, in two forms.
 
-Both sides are cut into blocks of bounded size; each pair of blocks meets in one task that
-multiplies two dense matrices and keeps the best ``k`` per query. No task sees more than one
-block of each side, whatever the size of a group, and no pair of rows is ever materialised
-beyond the ``k`` survivors.
+``scanned_topk``: query tiles of bounded bytes go to all tasks, one after the other, and the documents
+are read in place, once a tile; nothing but the best ``k`` of a task leaves it. Products are made in
+small tiles, and a tile of documents whose centre and radius leave no chance to beat the ``k``
+best found so far is not multiplied.
+
+``blocked_topk``, within groups: a fragment-and-replicate join. Both sides are cut into blocks of bounded
+size; each pair of blocks meets in one task, whatever the size of a group. In neither form is a pair of
+rows materialised beyond the ``k`` survivors.
 """
 
 from __future__ import annotations
@@ -18,11 +22,14 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type
 
 from sembra.functions.vectors import as_double, matrix
-from sembra.session import lookup_join
+from sembra.session import lookup_join, materialize, scratch_path
 
 QUERY_BLOCK_ROWS = 2_048
 DOC_BLOCK_ROWS = 8_192
-MAX_BROADCAST_QUERIES = 4_096
+#: Bytes of the query vectors that travel to the tasks at once.
+TILE_BYTES = 8 << 20
+#: Queries of one product, and its cells.
+PRODUCT_QUERIES, PRODUCT_CELLS = 512, 1 << 20
 
 # Similarities are compared at this many digits so that copies of one vector tie exactly and
 # the tie-break column decides; the reported value is not rounded.
@@ -31,11 +38,11 @@ RANK_DIGITS = 12
 
 def best_per_row(sims: np.ndarray, ties: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Row and column indexes of the ``k`` best columns in every row of ``sims``."""
-    rounded = np.round(sims, RANK_DIGITS)
     k = min(k, sims.shape[1])
-    kth = -np.partition(-rounded, k - 1, axis=1)[:, k - 1]
-    rows, cols = np.nonzero(rounded >= kth[:, None])
-    order = np.lexsort((ties[cols], -rounded[rows, cols], rows))
+    kth = np.partition(sims, sims.shape[1] - k, axis=1)[:, -k]
+    # Only what can equal the k-th best value after rounding is rounded and ordered.
+    rows, cols = np.nonzero(sims >= kth[:, None] - 2 * 10.0**-RANK_DIGITS)
+    order = np.lexsort((ties[cols], -np.round(sims[rows, cols], RANK_DIGITS), rows))
     rows, cols = rows[order], cols[order]
     first = np.searchsorted(rows, rows, side="left")
     keep = np.arange(len(rows)) - first < k
@@ -106,12 +113,41 @@ def blocked_topk(
     return q.groupBy(*cell).cogroup(d.groupBy(*cell)).applyInArrow(cell_topk, schema)
 
 
-def broadcast_topk(queries: pa.Table, docs: DataFrame, k: int) -> DataFrame:
-    """Best ``k`` docs per query for a query table small enough to sit in every task.
+def tile_rows(docs: DataFrame) -> int:
+    """How many queries for these documents make a tile of ``TILE_BYTES``."""
+    first = docs.where(F.col("dvec").isNotNull()).select(F.size("dvec").alias("d")).first()
+    return max(1, TILE_BYTES // (8 * max(1, first["d"] if first else 1)))
+
+
+def scanned_topk(queries: DataFrame, docs: DataFrame, k: int, rows: int | None = None) -> DataFrame | None:
+    """Best ``k`` docs per query and task: ``qid, doc_id, tie, similarity``, for the caller to rank.
 
-    ``docs(doc_id, dvec, tie)`` is read once and never shuffled; each task passes on at most
-    ``k`` candidates ``qid, doc_id, tie, similarity`` per query, for the caller to rank.
+    ``queries(qid, qvec)``, ``docs(doc_id, dvec, tie)``. A batch of at most ``rows`` queries (by default a
+    tile's) is one scan. Larger ones are written in tiles of so many; each tile is one scan, whose
+    result is written before the next tile travels. ``None`` if there is no query.
     """
+    rows = rows or tile_rows(docs)
+    valid = queries.where(F.col("qvec").isNotNull()).select("qid", as_double(F.col("qvec")).alias("qvec"))
+    head = valid.limit(rows + 1).toArrow()
+    if head.num_rows == 0:
+        return None
+    if head.num_rows <= rows:
+        return tile_topk(head, docs, k)
+    spark = docs.sparkSession
+    whole = materialize(valid, "queries")
+    path, out = scratch_path(spark, "query-tiles"), scratch_path(spark, "tile-hits")
+    # A file is a tile: the writer starts a new one when it holds enough rows.
+    whole.repartition(-(-whole.count() // rows)).write.option("maxRecordsPerFile", rows).parquet(path)
+    for tile in spark.read.parquet(path).inputFiles():
+        asked = spark.read.schema(whole.schema).parquet(tile).toArrow()
+        if asked.num_rows:
+            found = tile_topk(asked, docs, k)
+            found.write.mode("append").parquet(out)
+    return spark.read.schema(found.schema).parquet(out)
+
+
+def tile_topk(queries: pa.Table, docs: DataFrame, k: int) -> DataFrame:
+    """``scanned_topk`` of one tile of queries, which sits in every task."""
     shared = docs.sparkSession.sparkContext.broadcast(queries)
     schema = T.StructType(
         [
@@ -123,24 +159,44 @@ def broadcast_topk(queries: pa.Table, docs: DataFrame, k: int) -> DataFrame:
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_matrix = matrix(shared.value["qvec"])
+        asked = matrix(shared.value["qvec"])
+        lengths = np.linalg.norm(asked, axis=1)
         qids = shared.value["qid"].combine_chunks()
+        kth = np.full(len(asked), -np.inf)
+        step = PRODUCT_CELLS // min(PRODUCT_QUERIES, len(asked))
         best: pa.Table | None = None
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            sims = query_matrix @ matrix(batch["dvec"]).T
-            rows, cols = best_per_row(sims, batch["tie"].to_numpy(zero_copy_only=False), k)
-            taken = pa.array(cols)
-            part = pa.table(
-                {
-                    "row": pa.array(rows),
-                    "doc_id": batch["doc_id"].take(taken),
-                    "tie": batch["tie"].take(taken),
-                    "similarity": pa.array(sims[rows, cols]),
-                }
-            )
-            best = part if best is None else _merge(pa.concat_tables([best, part]), k)
+            parts = [] if best is None else [best]
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                x, ties = matrix(part["dvec"]), part["tie"].to_numpy(zero_copy_only=False)
+                centre = x.mean(axis=0)
+                radius = float(np.sqrt(((x - centre) ** 2).sum(axis=1).max()))
+                most = asked @ centre + lengths * radius
+                open_ = np.flatnonzero(most * (1 + np.sign(most) * 1e-9) + 1e-9 >= kth)
+                for at in range(0, len(open_), PRODUCT_QUERIES):
+                    some = open_[at : at + PRODUCT_QUERIES]
+                    sims = asked[some] @ x.T
+                    rows, cols = best_per_row(sims, ties, k)
+                    good = sims[rows, cols] >= kth[some[rows]] - 2 * 10.0**-RANK_DIGITS
+                    rows, cols = rows[good], cols[good]
+                    taken = pa.array(cols)
+                    parts.append(
+                        pa.table(
+                            {
+                                "row": pa.array(some[rows]),
+                                "doc_id": part["doc_id"].take(taken),
+                                "tie": part["tie"].take(taken),
+                                "similarity": pa.array(sims[rows, cols]),
+                            }
+                        )
+                    )
+            if parts:
+                best = _merge(pa.concat_tables(parts), k)
+                found = best["row"].to_numpy()
+                full = np.flatnonzero(np.bincount(found, minlength=len(asked)) >= k)
+                # Rows are ordered by query and rank: the last one of a query is its worst.
+                kth[full] = best["similarity"].to_numpy()[np.searchsorted(found, full, "right") - 1]
         if best is not None:
             out = best.set_column(0, "qid", qids.take(best["row"].combine_chunks()))
             yield from out.combine_chunks().to_batches()

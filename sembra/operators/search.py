@@ -14,14 +14,8 @@ from pyspark.sql import types as T
 
 from sembra.functions.membership import probe_clusters
 from sembra.functions.vectors import as_double
-from sembra.operators.blocks import (
-    DOC_BLOCK_ROWS,
-    MAX_BROADCAST_QUERIES,
-    QUERY_BLOCK_ROWS,
-    blocked_topk,
-    broadcast_topk,
-    rank_order,
-)
+from sembra.operators import blocks
+from sembra.operators.blocks import blocked_topk, rank_order, scanned_topk
 from sembra.operators.hashed import (
     PROBE_SAMPLE,
     HashPlan,
@@ -50,42 +44,26 @@ def _tied(docs: DataFrame, *extra: str) -> DataFrame:
 
 
 def search_topk(
-    queries: DataFrame,
-    docs: DataFrame,
-    k: int = TOP_K,
-    where: Column | None = None,
-    max_broadcast_queries: int = MAX_BROADCAST_QUERIES,
+    queries: DataFrame, docs: DataFrame, k: int = TOP_K, where: Column | None = None, tile_rows: int | None = None
 ) -> DataFrame:
     """Exact ``k`` nearest docs per query, optionally among docs matching ``where``.
 
-    A query batch of at most ``max_broadcast_queries`` rows travels to the docs, which are
-    then scanned once without a shuffle; a larger batch takes :func:`search_topk_blocked`.
+    Queries travel to the docs in tiles of bounded bytes (or of ``tile_rows``); the docs are scanned in
+    place, once a tile, and never shuffled, see ``blocks``.
     """
     if where is not None:
         docs = docs.where(where)
-    valid = queries.where(F.col("qvec").isNotNull())
-    batch = valid.select("qid", as_double(F.col("qvec")).alias("qvec")).limit(max_broadcast_queries + 1)
-    table = batch.toArrow()
-    if table.num_rows > max_broadcast_queries:
-        return search_topk_blocked(valid, docs, k)
-    if table.num_rows == 0:
-        none = [valid.schema["qid"], docs.schema["doc_id"], T.StructField("similarity", T.DoubleType())]
-        return _ranked(docs.sparkSession.createDataFrame([], T.StructType(none)), k)
-    return _ranked(broadcast_topk(table, _tied(docs), k), k)
-
-
-def search_topk_blocked(
-    queries: DataFrame,
-    docs: DataFrame,
-    k: int = TOP_K,
-    query_block_rows: int = QUERY_BLOCK_ROWS,
-    doc_block_rows: int = DOC_BLOCK_ROWS,
-) -> DataFrame:
-    """Same result as :func:`search_topk` for query batches of any size."""
-    hits = blocked_topk(
-        queries, _tied(docs), k, query_block_rows=query_block_rows, doc_block_rows=doc_block_rows
-    )
-    return _ranked(hits, k)
+    found = scanned_topk(queries, _tied(docs), k, tile_rows)
+    if found is None:
+        none = [queries.schema["qid"], docs.schema["doc_id"], T.StructField("similarity", T.DoubleType())]
+        found = docs.sparkSession.createDataFrame([], T.StructType(none))
+    return _ranked(found, k)
+
+
+def search_topk_blocked(queries: DataFrame, docs: DataFrame, k: int = TOP_K, tile_rows: int | None = None) -> DataFrame:
+    """:func:`search_topk` for batches that are known to be large: always dealt into tiles."""
+    rows = tile_rows or blocks.tile_rows(docs)
+    return search_topk(queries, docs, k, tile_rows=rows)
 
 
 def search_probed(queries: DataFrame, docs: DataFrame, k: int = TOP_K, depth: int = 2) -> DataFrame:

@@ -1,9 +1,11 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from sembra.functions import vectors as vx
 from sembra.catalog import search as catalog
+from sembra.operators import blocks
 from sembra.operators.hashed import probe_order
 from sembra.operators.search import format_hits, hashed_search, search_lsh, search_probed, search_topk, search_topk_blocked
 
@@ -49,16 +51,53 @@ def test_topk(data):
     assert collect(search_topk(q, d, 5)) == brute(docs, queries, 5)
 
 
-@pytest.mark.parametrize("block", [7, 50, 1000])
-def test_blocked(data, block):
+@pytest.mark.parametrize("tile", [7, 50, 1000])
+def test_blocked(data, tile, monkeypatch):
     docs, _, queries, d, q = data
-    hits = search_topk_blocked(q, d, 12, query_block_rows=block, doc_block_rows=block)
-    assert collect(hits) == brute(docs, queries, 12)
+    monkeypatch.setattr(blocks, "PRODUCT_CELLS", 900)
+    monkeypatch.setattr(blocks, "PRODUCT_QUERIES", 16)
+    assert collect(search_topk_blocked(q, d, 12, tile_rows=tile)) == brute(docs, queries, 12)
 
 
-def test_large_batches_take_the_blocked_way(data):
+def test_large_batches_travel_in_tiles(data, monkeypatch):
     docs, _, queries, d, q = data
-    assert collect(search_topk(q, d, 3, max_broadcast_queries=10)) == brute(docs, queries, 3)
+    sizes, original = [], blocks.tile_topk
+    monkeypatch.setattr(blocks, "tile_topk", lambda asked, *rest: sizes.append(asked.num_rows) or original(asked, *rest))
+    assert collect(search_topk(q, d, 3, tile_rows=10)) == brute(docs, queries, 3)
+    assert max(sizes) <= 10 and sum(sizes) == 60
+    monkeypatch.setattr(blocks, "TILE_BYTES", 8 * DIM * 25)
+    sizes.clear()
+    assert collect(search_topk(q, d, 3)) == brute(docs, queries, 3)
+    assert max(sizes) <= 25 and sum(sizes) == 60
+
+
+def test_documents_are_read_in_place(data):
+    """Between the scan of the documents and their task's best hits there is no exchange."""
+    _, _, _, d, q = data
+    plan = search_topk(q, d, 3)._jdf.queryExecution().sparkPlan().toString()
+    assert "MapInArrow" in plan and "Exchange" not in plan[plan.index("MapInArrow") :]
+
+
+def test_products_are_small_and_hopeless_tiles_are_skipped(spark, monkeypatch):
+    draw = np.random.RandomState(4)
+    centres = np.eye(DIM)[np.arange(6000) // 1000]
+    rows = centres + 0.05 * draw.randn(6000, DIM)
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    asked = pa.table({"qid": list(range(200)), "qvec": [v.tolist() for v in rows[::30]]})
+    cells, original = [], blocks.best_per_row
+    monkeypatch.setattr(blocks, "best_per_row", lambda sims, *rest: cells.append(sims.size) or original(sims, *rest))
+    monkeypatch.setattr(blocks, "PRODUCT_CELLS", 20_000)
+    frame = spark.createDataFrame([(i, v.tolist(), i) for i, v in enumerate(rows)], "doc_id long, dvec array<double>, tie long").coalesce(1)
+    scans = []
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, f, schema: scans.append(f) or self)
+    blocks.tile_topk(asked, frame, 5)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(6000)), "dvec": [v.tolist() for v in rows], "tie": list(range(6000))})
+    found = pa.Table.from_batches(list(scans[0](iter([batch.slice(i, 500) for i in range(0, 6000, 500)]))))
+    assert max(cells) <= 20_000 and sum(cells) < 0.6 * 200 * 6000
+    best = {}
+    for qid, doc in zip(found["qid"].to_pylist(), found["doc_id"].to_pylist()):
+        best.setdefault(qid, []).append(doc)
+    assert best == brute(rows, rows[::30], 5)
 
 
 def test_k_is_nested(data):
