@@ -28,7 +28,6 @@ from sembra.sources.store import (
     read_embeddings,
     read_store,
     update_metadata,
-    write_snapshot,
 )
 
 # The SQL twins of the cleaning steps, as templates over one text expression.
@@ -293,8 +292,9 @@ def update_metadata_query(spark, sf_dir):
         F.when(F.col("quality") == 1, "good").alias("category"),
         F.col("quality").cast("int").alias("dominant_cluster"),
     )
-    updated = write_snapshot(update_metadata(read_store(spark, path), updates), scratch_path(spark, "store"))
-    return updated.select("id", "category", "original_index", "dominant_cluster")
+    update_metadata(spark, path, updates.select("doc_id", "category"))
+    update_metadata(spark, path, updates.select("doc_id", "dominant_cluster"))
+    return read_store(spark, path).select("id", "category", "original_index", "dominant_cluster")
 
 
 @query("write_artifacts", "SELECT source, count(*) AS documents, max(n_chars) AS longest FROM documents GROUP BY source")
