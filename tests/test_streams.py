@@ -1,3 +1,4 @@
+import hashlib
 from functools import partial
 
 import numpy as np
@@ -13,8 +14,9 @@ from sembra.plans.responses import validate_queries
 from sembra.session import scratch_path
 from sembra.sources.artifacts import load_models, read_artifacts
 from sembra.sources.corpus import clean_corpus
-from sembra.sources.store import STORE_SCHEMA, ingest_missing, read_store, update_metadata
+from sembra.sources.store import METADATA, STORE_SCHEMA, among, append_documents, ingest_missing, read_store, update_metadata
 from sembra.streaming.ingest import stream_ingest
+from sembra.streaming import shared
 from sembra.streaming.shared import QUERY_SCHEMA, SNAPSHOT_SCHEMA, cache_foreach_batch, lookup_log, snapshot
 from sembra.streaming.windows import hit_rate_windows
 
@@ -64,11 +66,38 @@ def test_second_ingest_adds_nothing(spark, corpus, built):
     assert read_store(spark, f"{path}/nothing_here").count() == 0
 
 
-def test_update_keeps_what_is_not_updated(spark, built):
-    _, index = built
-    updates = spark.createDataFrame([(0, "new.name"), (1, None)], "doc_id long, category string")
-    rows = {r["doc_id"]: r["category"] for r in update_metadata(index.store, updates).collect()}
-    assert rows[0] == "new.name" and rows[1] == "top.1" and rows[2] == "top.2"
+def test_updates_write_metadata_only(spark):
+    path = scratch_path(spark, "store")
+    rows = [(i, f"text {i}", [float(i)], f"c{i}", i, {0: 0.5}) for i in range(6)]
+    append_documents(spark.createDataFrame(rows, "doc_id long, document string, embedding array<float>, category string, category_id int, cluster_distribution map<int,double>"), path)
+    before = read_store(spark, path)
+    first = spark.createDataFrame([(0, "new", None), (1, None, 7), (1, None, 9), (77, "x", 1)], "doc_id long, category string, dominant_cluster int")
+    assert update_metadata(spark, path, first) == 1
+    second = spark.createDataFrame([(0, {1: 0.25}, None), (2, {2: 1.0}, "z")], "doc_id long, cluster_distribution map<int,double>, category string")
+    assert update_metadata(spark, path, second) == 2
+    found = {r.doc_id: r for r in read_store(spark, path).collect()}
+    assert len(found) == 6 and read_store(spark, path).schema == before.schema
+    assert [found[i].category for i in range(3)] == ["new", "c1", "z"] and found[1].dominant_cluster == 9
+    assert found[0].cluster_distribution == {1: 0.25} and found[1].cluster_distribution == {0: 0.5}
+    assert [found[i].document for i in range(6)] == [f"text {i}" for i in range(6)]
+    assert {r.doc_id: r.category for r in read_store(spark, path, 1).collect()}[2] == "c2"
+    written = spark.read.parquet(f"{path}_changes")
+    assert set(written.columns) == {"doc_id", "version", *METADATA} and written.count() == 5
+
+
+def test_ingest_of_equal_ids_and_a_large_store(spark):
+    path = scratch_path(spark, "store")
+    schema = "doc_id long, document string, embedding array<float>"
+    ingest_missing(spark.range(20_000).selectExpr("id AS doc_id", "'old' AS document", "array(1f) AS embedding"), path)
+    new = [(i, "new", [2.0]) for i in range(19_990, 20_010)] + [(30_000, "b", [1.0]), (30_000, "a", [9.0]), (30_000, "a", [3.0])]
+    ids = among(read_store(spark, path), spark.createDataFrame(new, schema))
+    assert {r.doc_id for r in ids.collect()} >= set(range(19_990, 20_000)) and ids.count() < 200
+    for _ in range(2):
+        ingest_missing(spark.createDataFrame(new, schema).repartition(3), path)
+        rows = {r.doc_id: r for r in read_store(spark, path).where("doc_id >= 19990").collect()}
+        assert read_store(spark, path).count() == 20_011
+        assert [rows[i].document for i in (19_990, 19_999, 20_000)] == ["old", "old", "new"]
+        assert (rows[30_000].document, rows[30_000].embedding) == ("a", [3.0])
 
 
 def test_stream_ingest_equals_batch(spark, corpus, built):
@@ -139,6 +168,49 @@ def test_shared_cache_batches_are_repeatable(spark, built):
     assert set(f.split()[0] for f in QUERY_SCHEMA.split(", ") if "<" not in f) <= set(second.columns)
 
 
+def plain_cache(batches, max_size):
+    """Exact keys only: entries as {key: (text, created, seq)} after every batch."""
+    cache, states = {}, []
+    for rows in batches:
+        before = dict(cache)
+        for qid, text in rows:
+            key = text.strip().lower()
+            if key in before:
+                cache[key] = (*cache[key][:2], max(cache[key][2], qid))
+            else:
+                old = cache.get(key, (text, qid, qid))
+                cache[key] = (*old[:2], qid)
+        kept = sorted(cache, key=lambda k: -cache[k][2])[:max_size]
+        cache = {k: cache[k] for k in kept}
+        states.append(dict(cache))
+    return states
+
+
+def test_shared_cache_is_a_log_of_changes(spark, built, monkeypatch):
+    """Entries after every batch are those of a plain cache; a batch writes what it changes; the whole is
+    written now and then; entries that were removed can come again."""
+    monkeypatch.setattr(shared, "COMPACT_EVERY", 3)
+    _, index = built
+    path, draw = scratch_path(spark, "shared"), np.random.RandomState(8)
+    texts = [f"{a} {b}" for a in WORDS[:5] for b in ("alpha", "beta")]
+    batches = [[(100 * b + i, texts[draw.randint(len(texts))]) for i in range(4)] for b in range(7)]
+    states = plain_cache(batches, 6)
+    process = cache_foreach_batch(path, index.store, threshold=2.0, max_size=6, k=1)
+    schema = QUERY_SCHEMA
+    for b, rows in enumerate(batches):
+        vectors = [(qid, text, [0.1] * 32, 0, None) for qid, text in rows]
+        process(spark.createDataFrame(vectors, schema), b)
+        if b in (2, 4):
+            process(spark.createDataFrame(vectors, schema), b)  # a repeated batch
+        found = {r["key"]: (r["query_text"], r["created_seq"], r["seq"]) for r in snapshot(spark, path, b).collect()}
+        assert found == {hashlib.sha256(k.encode()).hexdigest(): v for k, v in states[b].items()}
+        written = spark.read.parquet(f"{path}/changes").where(F.col("batch") == b)
+        changed = set(states[b].items()) ^ set((states[b - 1] if b else {}).items())
+        assert written.count() <= len({k for k, _ in changed}) and written.where("change <> 'put' and embedding is not null").count() == 0
+    assert {r["batch"] for r in spark.read.parquet(f"{path}/whole").select("batch").distinct().collect()} == {2, 5}
+    assert len({k for s in states for k in s}) > 6  # some were removed
+
+
 def test_hit_rate_on_a_stream_equals_the_table(spark):
     rows = spark.range(400).selectExpr(
         "timestamp_seconds(1700000000 + id * 60) AS ts", "id % 3 = 0 AS hit"
