@@ -8,10 +8,11 @@ indexed in its most probable part. A query is routed to its most probable parts;
 calibrated on held-out vectors of the sample, so that ``target_recall`` of their true neighbours
 lie in the parts visited (all parts, if need be). Inside the parts scores are exact.
 
-The number of parts is fixed (fewer for samples too small to fill them), so that what a query
-gathers from its parts does not grow with the table. Parts are cut into blocks by a hash of the id, queries of a part into blocks too, and each pair of
-blocks meets in one task that returns the k best per query; so a part or a vector that holds a
-third of all rows becomes more tasks, not a larger one.
+The number of parts is fixed by ``parts`` (fewer for samples too small to fill them): the work of a
+query grows with the table, as its parts do. Parts are cut into blocks by a hash of the id, queries of a
+part into blocks too, and each pair of blocks meets in one task that returns the k best per query; so a
+part or a vector that holds a third of all rows becomes more tasks, not a larger one, and of what a
+query finds in its blocks every task passes on k rows. Ids are whole numbers.
 
 Vectors that are null, zero, hold null or non-finite components, or have another length than most
 vectors take no part, nor do rows with a null id. A query has all candidates if there are fewer
@@ -26,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sembra.session import materialize
@@ -270,9 +271,7 @@ def search(
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), found)))
 
     met = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInPandas(meet, NEIGHBOURS)
-    best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id", "score"))), 1, k)
-    return (
-        met.groupBy("query_id").agg(best.alias("best"))
-        .select("query_id", F.posexplode("best").alias("at", "hit"))
-        .select("query_id", (F.col("at") + 1).cast("int").alias("rank"), "hit.vec_id", "hit.score")
-    )
+    # Every task passes on its k best of a query only: the limit is applied before rows are exchanged too.
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")

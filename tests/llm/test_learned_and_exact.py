@@ -258,3 +258,38 @@ def test_variants_of_odd_rows(odd, empty):
     assert "plain" not in found and sum(r.n for w, r in found.items() if w.startswith("wörd")) == 200_000
     assert sa.spelling_variants(empty).count() == 0
     assert sa.spelling_variants(odd.where("doc_id < 4")).count() == 0
+
+
+# --- search on the given vectors ---
+
+
+def test_partition_search_reaches_its_recall_on_the_given_vectors(spark):
+    """Against all inner products, with the registered query; repeated rows and query ids once each."""
+    from sembra.llm.queries import op2_partition_search
+
+    found = op2_partition_search(spark, "/root/testdata/sf0.01").collect()
+    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()
+    ids, vectors = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+    met = {}
+    for r in found:
+        met.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    hit = total = 0
+    for i in np.flatnonzero(ids % 20 == 0):
+        scores = (vectors * vectors[i]).sum(1)
+        best = [j for j in np.lexsort((ids, -scores)) if j != i][:20]
+        mine = sorted(met[ids[i]])
+        assert [rank for rank, _, _ in mine] == list(range(1, 21))
+        assert all(score == scores[ids == v][0] for _, v, score in mine)
+        hit, total = hit + len({v for _, v, _ in mine} & set(ids[best].tolist())), total + 20
+    assert hit / total >= 0.9
+
+
+def test_repeated_vectors_and_queries(spark):
+    from sembra.llm import partition_search as ps
+
+    rows = [(1, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [1.0, 0.1]), (2, [1.0, 0.1]), (3, [0.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in ps.search(frame, frame, 2).collect())
+    # Query 1 is searched once, with [0.5, 0.5]; both rows of 2 are candidates.
+    assert [f for f in found if f[0] == 1] == [(1, 1, 2, 0.55), (1, 2, 2, 0.55)]
+    assert [f[:3] for f in found if f[0] == 3] == [(3, 1, 1), (3, 2, 2)]
