@@ -1,35 +1,42 @@
-"""Exact top-k between two vector tables, in two forms.
+"""Exact top-k between two vector tables, in three forms.
 
 ``scanned_topk``: query tiles of bounded bytes go to all tasks, one after the other, and the documents
 are read in place, once a tile; nothing but the best ``k`` of a task leaves it. Products are made in
 small tiles, and a tile of documents whose centre and radius leave no chance to beat the ``k``
 best found so far is not multiplied.
 
-``blocked_topk``, within groups: a fragment-and-replicate join. Both sides are cut into blocks of bounded
-size; each pair of blocks meets in one task, whatever the size of a group. In neither form is a pair of
+``celled_topk``, for queries as many as documents: a fragment-and-replicate join. Both sides are cut into blocks
+of bounded size; each pair of blocks meets in one task, and no vector passes through the driver.
+
+``blocked_topk``, within groups: the same, whatever the size of a group. In no form is a pair of
 rows materialised beyond the ``k`` survivors.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import from_arrow_type
+from pyspark.sql.pandas.types import from_arrow_type, to_arrow_schema
 
 from sembra.functions.vectors import as_double, matrix
 from sembra.session import lookup_join, materialize, scratch_path
 
 QUERY_BLOCK_ROWS = 2_048
 DOC_BLOCK_ROWS = 8_192
+#: Rows of a block of either side where queries are as many as documents.
+CELL_ROWS = 32_768
 #: Bytes of the query vectors that travel to the tasks at once.
 TILE_BYTES = 8 << 20
 #: Queries of one product, and its cells.
 PRODUCT_QUERIES, PRODUCT_CELLS = 512, 1 << 20
+#: Documents of the first product, before anything is known of the best.
+FIRST_DOCS = 256
 
 # Similarities are compared at this many digits so that copies of one vector tie exactly and
 # the tie-break column decides; the reported value is not rounded.
@@ -49,6 +56,89 @@ def best_per_row(sims: np.ndarray, ties: np.ndarray, k: int) -> tuple[np.ndarray
     return rows[keep], cols[keep]
 
 
+class Best:
+    """The ``k`` best documents so far of every row of ``asked``, from products of bounded size."""
+
+    def __init__(self, asked: np.ndarray, k: int):
+        self.asked, self.k = asked, k
+        self.lengths = np.linalg.norm(asked, axis=1)
+        self.kth = np.full(len(asked), -np.inf)
+        #: ``row`` of ``asked``, ``doc_id``, ``tie``, ``similarity``; ordered by row and rank.
+        self.found: pa.Table | None = None
+
+    def products(self, x: np.ndarray, docs: pa.Table, rows: np.ndarray) -> Iterator[tuple]:
+        """What is to be multiplied: rows of ``asked``, documents, and which of the cells count (all: None)."""
+        for at in range(0, len(rows), PRODUCT_QUERIES):
+            yield rows[at : at + PRODUCT_QUERIES], slice(0, len(x)), None
+
+    def add(self, x: np.ndarray, docs: pa.Table) -> None:
+        """Look through documents with vectors ``x``; ``docs`` has ``doc_id`` and ``tie``."""
+        if not len(self.asked):
+            return
+        step = max(1, PRODUCT_CELLS // min(PRODUCT_QUERIES, len(self.asked)))
+        waiting: list[pa.Table] = []
+        # A few documents first, ordered whole: from then on most cells are told off by one comparison.
+        start, size = 0, step if np.isfinite(self.kth).all() else min(step, FIRST_DOCS)
+        while start < len(x):
+            waiting.extend(self._part(x[start : start + size], docs.slice(start, size)))
+            start, size = start + size, min(step, 2 * size)
+            # As many new rows as there can be best ones: sorting stays a share of multiplying.
+            if sum(t.num_rows for t in waiting) >= self.k * len(self.asked):
+                self._merge(waiting)
+                waiting = []
+        self._merge(waiting)
+
+    def _part(self, x: np.ndarray, docs: pa.Table) -> Iterator[pa.Table]:
+        ties = docs["tie"].to_numpy(zero_copy_only=False)
+        centre = x.mean(axis=0)
+        radius = float(np.sqrt(((x - centre) ** 2).sum(axis=1).max()))
+        most = self.asked @ centre + self.lengths * radius
+        open_ = np.flatnonzero(most * (1 + np.sign(most) * 1e-9) + 1e-9 >= self.kth)
+        for some, among, counts in self.products(x, docs, open_):
+            sims = self.asked[some] @ x[among].T
+            if counts is not None:
+                sims[~counts] = -np.inf
+            floor = self.kth[some] - 2 * 10.0**-RANK_DIGITS
+            rows, cols = above(sims, ties[among], self.k, floor)
+            taken = pa.array(cols + among.start)
+            yield pa.table(
+                {
+                    "row": pa.array(some[rows]),
+                    "doc_id": docs["doc_id"].take(taken),
+                    "tie": docs["tie"].take(taken),
+                    "similarity": pa.array(sims[rows, cols]),
+                }
+            )
+
+    def _merge(self, parts: list[pa.Table]) -> None:
+        if not parts:
+            return
+        self.found = _merge(pa.concat_tables(parts if self.found is None else [self.found, *parts]), self.k)
+        found = self.found["row"].to_numpy()
+        full = np.flatnonzero(np.bincount(found, minlength=len(self.asked)) >= self.k)
+        # Rows are ordered by query and rank: the last one of a query is its worst.
+        self.kth[full] = self.found["similarity"].to_numpy()[np.searchsorted(found, full, "right") - 1]
+
+    def table(self, asked: pa.Table, names: list[str]) -> pa.Table | None:
+        """The best so far, with the columns ``names`` of ``asked`` beside those of the documents."""
+        if self.found is None:
+            return None
+        rows = self.found["row"].combine_chunks()
+        out = {c: self.found[c] if c in ("doc_id", "tie", "similarity") else asked[c].combine_chunks().take(rows) for c in names}
+        return pa.table(out).combine_chunks()
+
+
+def above(sims: np.ndarray, ties: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of cells that are not below the ``floor`` of their row, at least the ``k`` best."""
+    if np.isfinite(floor).all():
+        rows, cols = np.nonzero(sims >= floor[:, None])
+        if len(rows) <= 4 * k * len(sims):
+            return rows, cols
+    rows, cols = best_per_row(sims, ties, k)
+    good = (sims[rows, cols] >= floor[rows]) & (sims[rows, cols] > -np.inf)
+    return rows[good], cols[good]
+
+
 def _with_block(df: DataFrame, id_col: str, n_own: str, own: str, n_other: str, other: str) -> DataFrame:
     """Give each row its own block and repeat it for every block of the other side."""
     return df.withColumn(own, F.pmod(F.xxhash64(id_col), F.col(n_own))).withColumn(
@@ -98,21 +188,70 @@ def blocked_topk(
     names = schema.fieldNames()
 
     def cell_topk(left: pa.Table, right: pa.Table) -> pa.Table:
-        if left.num_rows == 0 or right.num_rows == 0:
-            rows = cols = np.empty(0, dtype=np.int64)
-            found = np.empty(0)
-        else:
-            sims = matrix(left["qvec"]) @ matrix(right["dvec"]).T
-            rows, cols = best_per_row(sims, right["tie"].to_numpy(), k)
-            found = sims[rows, cols]
-        out = {c: left[c].take(pa.array(rows)) for c in ["qid", *keys]}
-        out |= {c: right[c].take(pa.array(cols)) for c in ["doc_id", "tie"]}
-        out["similarity"] = pa.array(found, pa.float64())
-        return pa.table([out[c] for c in names], names=names)
+        best = Best(matrix(left["qvec"]), k)
+        if left.num_rows and right.num_rows:
+            best.add(matrix(right["dvec"]), right)
+        found = best.table(left, names)
+        return to_arrow_schema(schema).empty_table() if found is None else found
 
     return q.groupBy(*cell).cogroup(d.groupBy(*cell)).applyInArrow(cell_topk, schema)
 
 
+def numbers(df: DataFrame, vector: str) -> Column:
+    """A vector column as it travels: single precision is widened where it is multiplied."""
+    narrow = df.schema[vector].dataType == T.ArrayType(T.FloatType(), df.schema[vector].dataType.containsNull)
+    return F.col(vector) if narrow else as_double(F.col(vector)).alias(vector)
+
+
+def cell_sides(spark: SparkSession, n_queries: int, n_docs: int) -> tuple[int, int]:
+    """How many blocks both sides are cut into: of at most ``CELL_ROWS``, and cells for all cores."""
+    side = math.ceil(math.sqrt(2 * spark.sparkContext.defaultParallelism))
+    return tuple(max(1, -(-n // CELL_ROWS), min(side, -(-n // QUERY_BLOCK_ROWS))) for n in (n_queries, n_docs))
+
+
+def celled_topk(
+    queries: DataFrame, docs: DataFrame, k: int, rows: int, scorer: Callable[[pa.Table, int], Best] | None = None
+) -> DataFrame | None:
+    """Best ``k`` docs per query and block of docs: ``qid, doc_id, tie, similarity``, for the caller to rank.
+
+    ``queries(qid, qvec)`` and ``docs(doc_id, dvec, tie)``. Each pair of blocks meets in one task, which takes
+    ``rows`` queries at a time; ``scorer`` makes their :class:`Best`. Documents with a column ``_db`` have their
+    block already. ``None`` if there is no query or no document.
+    """
+    spark = docs.sparkSession
+    q = materialize(queries.where(F.col("qvec").isNotNull()).withColumn("qvec", numbers(queries, "qvec")), "queries")
+    d = docs if "_db" in docs.columns else docs.where(F.col("dvec").isNotNull()).withColumn("dvec", numbers(docs, "dvec"))
+    d = materialize(d, "docs")
+    n_queries, n_docs = q.count(), d.count()
+    if not n_queries or not n_docs:
+        return None
+    n_q, n_d = cell_sides(spark, n_queries, n_docs)
+    if "_db" in d.columns:
+        n_d = d.agg(F.max("_db")).first()[0] + 1
+    else:
+        d = d.withColumn("_db", F.pmod(F.xxhash64("doc_id"), F.lit(n_d)))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    q = q.withColumn("_qb", F.pmod(F.xxhash64("qid", "qvec"), F.lit(n_q))).withColumn("_db", every(n_d))
+    d = d.withColumn("_db", F.col("_db").cast("long")).withColumn("_qb", every(n_q))
+    schema = T.StructType([q.schema["qid"], d.schema["doc_id"], d.schema["tie"], T.StructField("similarity", T.DoubleType())])
+    names = schema.fieldNames()
+
+    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = [to_arrow_schema(schema).empty_table()]
+        if right.num_rows:
+            x = matrix(right["dvec"])
+            for start in range(0, left.num_rows, rows):
+                tile = left.slice(start, rows)
+                best = scorer(tile, k) if scorer else Best(matrix(tile["qvec"]), k)
+                best.add(x, right)
+                found = best.table(tile, names)
+                if found is not None:
+                    out.append(found.cast(out[0].schema))
+        return pa.concat_tables(out)
+
+    return q.groupBy("_qb", "_db").cogroup(d.groupBy("_qb", "_db")).applyInArrow(cell, schema)
+
+
 def tile_rows(docs: DataFrame) -> int:
     """How many queries for these documents make a tile of ``TILE_BYTES``."""
     first = docs.where(F.col("dvec").isNotNull()).select(F.size("dvec").alias("d")).first()
@@ -135,6 +274,8 @@ def scanned_topk(queries: DataFrame, docs: DataFrame, k: int, rows: int | None =
         return tile_topk(head, docs, k)
     spark = docs.sparkSession
     whole = materialize(valid, "queries")
+    # Fixed and dealt out once: else every tile would repeat the joins that the documents come from.
+    docs = materialize(docs.repartition(2 * spark.sparkContext.defaultParallelism), "docs")
     path, out = scratch_path(spark, "query-tiles"), scratch_path(spark, "tile-hits")
     # A file is a tile: the writer starts a new one when it holds enough rows.
     whole.repartition(-(-whole.count() // rows)).write.option("maxRecordsPerFile", rows).parquet(path)
@@ -159,47 +300,12 @@ def tile_topk(queries: pa.Table, docs: DataFrame, k: int) -> DataFrame:
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked = matrix(shared.value["qvec"])
-        lengths = np.linalg.norm(asked, axis=1)
-        qids = shared.value["qid"].combine_chunks()
-        kth = np.full(len(asked), -np.inf)
-        step = PRODUCT_CELLS // min(PRODUCT_QUERIES, len(asked))
-        best: pa.Table | None = None
+        best = Best(matrix(shared.value["qvec"]), k)
         for batch in batches:
-            parts = [] if best is None else [best]
-            for start in range(0, batch.num_rows, step):
-                part = batch.slice(start, step)
-                x, ties = matrix(part["dvec"]), part["tie"].to_numpy(zero_copy_only=False)
-                centre = x.mean(axis=0)
-                radius = float(np.sqrt(((x - centre) ** 2).sum(axis=1).max()))
-                most = asked @ centre + lengths * radius
-                open_ = np.flatnonzero(most * (1 + np.sign(most) * 1e-9) + 1e-9 >= kth)
-                for at in range(0, len(open_), PRODUCT_QUERIES):
-                    some = open_[at : at + PRODUCT_QUERIES]
-                    sims = asked[some] @ x.T
-                    rows, cols = best_per_row(sims, ties, k)
-                    good = sims[rows, cols] >= kth[some[rows]] - 2 * 10.0**-RANK_DIGITS
-                    rows, cols = rows[good], cols[good]
-                    taken = pa.array(cols)
-                    parts.append(
-                        pa.table(
-                            {
-                                "row": pa.array(some[rows]),
-                                "doc_id": part["doc_id"].take(taken),
-                                "tie": part["tie"].take(taken),
-                                "similarity": pa.array(sims[rows, cols]),
-                            }
-                        )
-                    )
-            if parts:
-                best = _merge(pa.concat_tables(parts), k)
-                found = best["row"].to_numpy()
-                full = np.flatnonzero(np.bincount(found, minlength=len(asked)) >= k)
-                # Rows are ordered by query and rank: the last one of a query is its worst.
-                kth[full] = best["similarity"].to_numpy()[np.searchsorted(found, full, "right") - 1]
-        if best is not None:
-            out = best.set_column(0, "qid", qids.take(best["row"].combine_chunks()))
-            yield from out.combine_chunks().to_batches()
+            best.add(matrix(batch["dvec"]), pa.Table.from_batches([batch]))
+        out = best.table(shared.value, schema.fieldNames())
+        if out is not None:
+            yield from out.to_batches()
 
     source = docs.where(F.col("dvec").isNotNull()).select(
         "doc_id", as_double(F.col("dvec")).alias("dvec"), "tie"

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from sembra.functions.membership import probe_clusters
 from sembra.functions.vectors import as_double
 from sembra.operators import blocks
-from sembra.operators.blocks import blocked_topk, rank_order, scanned_topk
+from sembra.operators.blocks import blocked_topk, celled_topk, rank_order, scanned_topk
 from sembra.operators.hashed import (
     PROBE_SAMPLE,
     HashPlan,
@@ -54,16 +54,25 @@ def search_topk(
     if where is not None:
         docs = docs.where(where)
     found = scanned_topk(queries, _tied(docs), k, tile_rows)
-    if found is None:
-        none = [queries.schema["qid"], docs.schema["doc_id"], T.StructField("similarity", T.DoubleType())]
-        found = docs.sparkSession.createDataFrame([], T.StructType(none))
-    return _ranked(found, k)
+    return _ranked(_no_hits(queries, docs) if found is None else found, k)
 
 
 def search_topk_blocked(queries: DataFrame, docs: DataFrame, k: int = TOP_K, tile_rows: int | None = None) -> DataFrame:
-    """:func:`search_topk` for batches that are known to be large: always dealt into tiles."""
-    rows = tile_rows or blocks.tile_rows(docs)
-    return search_topk(queries, docs, k, tile_rows=rows)
+    """:func:`search_topk` for batches that are known to be large: blocks of queries meet blocks of docs.
+
+    Nothing passes through the driver; a task multiplies ``tile_rows`` queries at a time.
+    """
+    return _celled(queries, _tied(docs), k, tile_rows or blocks.PRODUCT_QUERIES)
+
+
+def _celled(queries: DataFrame, docs: DataFrame, k: int, rows: int, scorer=None) -> DataFrame:
+    found = celled_topk(queries, docs, k, rows, scorer)
+    return _ranked(_no_hits(queries, docs) if found is None else found, k)
+
+
+def _no_hits(queries: DataFrame, docs: DataFrame) -> DataFrame:
+    none = [queries.schema["qid"], docs.schema["doc_id"], T.StructField("similarity", T.DoubleType())]
+    return docs.sparkSession.createDataFrame([], T.StructType(none))
 
 
 def search_probed(queries: DataFrame, docs: DataFrame, k: int = TOP_K, depth: int = 2) -> DataFrame:
