@@ -19,6 +19,7 @@ from sembra.catalog.registry import query
 from sembra.functions.vectors import cosine, dot, l2_normalize
 from sembra.operators import search as sr
 from sembra.operators.mixture import predict_queries
+from sembra.session import materialize
 
 
 def _queries(spark, sf_dir):
@@ -184,6 +185,7 @@ def _clustered(spark, sf_dir):
 
 def _measured(queries, docs):
     """Recall and share of all pairs that met, as figures: no better than 0.9 and 0.3 are told apart."""
+    queries, docs = materialize(queries.select("qid", "qvec"), "queries"), materialize(docs.select("doc_id", "dvec"), "docs")
     dealt = sr.hashed_search(queries, docs)
     exact = sr.search_topk(queries, docs).select("qid", "doc_id")
     found = exact.join(dealt.hits(sr.TOP_K).select("qid", "doc_id", F.lit(1).alias("met")), ["qid", "doc_id"], "left")

@@ -216,17 +216,18 @@ def celled_topk(
 
     ``queries(qid, qvec)`` and ``docs(doc_id, dvec, tie)``. Each pair of blocks meets in one task, which takes
     ``rows`` queries at a time; ``scorer`` makes their :class:`Best`. Documents with a column ``_db`` have their
-    block already. ``None`` if there is no query or no document.
+    block already, and then both sides are written tables. ``None`` if there is no query or no document.
     """
     spark = docs.sparkSession
-    q = materialize(queries.where(F.col("qvec").isNotNull()).withColumn("qvec", numbers(queries, "qvec")), "queries")
-    d = docs if "_db" in docs.columns else docs.where(F.col("dvec").isNotNull()).withColumn("dvec", numbers(docs, "dvec"))
-    d = materialize(d, "docs")
+    dealt, q, d = "_db" in docs.columns, queries, docs
+    if not dealt:
+        q = materialize(queries.where(F.col("qvec").isNotNull()).withColumn("qvec", numbers(queries, "qvec")), "queries")
+        d = materialize(docs.where(F.col("dvec").isNotNull()).withColumn("dvec", numbers(docs, "dvec")), "docs")
     n_queries, n_docs = q.count(), d.count()
     if not n_queries or not n_docs:
         return None
     n_q, n_d = cell_sides(spark, n_queries, n_docs)
-    if "_db" in d.columns:
+    if dealt:
         n_d = d.agg(F.max("_db")).first()[0] + 1
     else:
         d = d.withColumn("_db", F.pmod(F.xxhash64("doc_id"), F.lit(n_d)))
@@ -239,6 +240,8 @@ def celled_topk(
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
         out = [to_arrow_schema(schema).empty_table()]
         if right.num_rows:
+            if "bucket" in right.column_names:
+                right = right.sort_by("bucket")
             x = matrix(right["dvec"])
             for start in range(0, left.num_rows, rows):
                 tile = left.slice(start, rows)

@@ -13,17 +13,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sembra.functions.membership import probe_clusters
-from sembra.functions.vectors import as_double
+from sembra.functions.vectors import as_double, matrix
 from sembra.operators import blocks
 from sembra.operators.blocks import blocked_topk, celled_topk, rank_order, scanned_topk
 from sembra.operators.hashed import (
     PROBE_SAMPLE,
+    PROBING_QUERIES,
     HashPlan,
+    ProbedBest,
     candidate_share,
     hashed_docs,
     make_plan,
     needed_probes,
-    probed_queries,
+    probing_queries,
 )
 from sembra.session import materialize
 
@@ -96,17 +98,22 @@ def search_probed(queries: DataFrame, docs: DataFrame, k: int = TOP_K, depth: in
 
 @dataclass(frozen=True)
 class HashedSearch:
-    """Documents and queries dealt into buckets; both are written, so they are hashed once."""
+    """Documents dealt into buckets, and queries with their reach; both are written, so they are hashed once."""
 
     docs: DataFrame
     queries: DataFrame
     plan: HashPlan
 
     def hits(self, k: int) -> DataFrame:
-        return _ranked(blocked_topk(self.queries, self.docs, k, group=["bucket"]), k)
+        plan = self.plan
+
+        def probing(tile, k: int) -> ProbedBest:
+            return ProbedBest(plan, matrix(tile["qvec"]), tile["reach"].to_numpy(), k)
+
+        return _celled(self.queries, self.docs, k, PROBING_QUERIES, probing)
 
     def candidate_share(self) -> float:
-        return candidate_share(self.queries, self.docs)
+        return candidate_share(self.queries, self.docs, self.plan)
 
 
 def hashed_search(
@@ -117,6 +124,7 @@ def hashed_search(
     The number of ``probes`` a query is calibrated to ``recall`` on at most ``PROBE_SAMPLE`` queries,
     which are searched exactly, unless it is given.
     """
+    docs = materialize(docs.select("doc_id", "dvec"), "docs")
     plan = make_plan(docs, seed)
     if plan is None:
         return None
@@ -128,7 +136,10 @@ def hashed_search(
         pairs = vectors.join(F.broadcast(sample.select("qid", as_double(F.col("qvec")).alias("qvec"))), "qid")
         probes = needed_probes(plan, pairs.select("qvec", "dvec").toArrow(), recall)
     plan = replace(plan, probes=min(probes, 1 << plan.bits))
-    return HashedSearch(materialize(hashed_docs(docs, plan), "buckets"), materialize(probed_queries(queries, plan), "probes"), plan)
+    asking = materialize(probing_queries(queries, plan), "probing")
+    rows = docs.where(F.col("dvec").isNotNull()).count()
+    parts = blocks.cell_sides(docs.sparkSession, asking.count(), rows)[1]
+    return HashedSearch(materialize(hashed_docs(docs, plan, parts), "buckets"), asking, plan)
 
 
 def search_lsh(
@@ -136,8 +147,8 @@ def search_lsh(
 ) -> DataFrame:
     """Approximate search: score only docs in the buckets that a query probes, see ``hashed``.
 
-    Candidates are scored block against block inside each bucket, so a crowded bucket costs more
-    tasks, not a larger one. A query may get fewer than ``k`` hits if its buckets hold fewer docs.
+    Blocks of queries meet blocks of buckets, so a crowded bucket costs more tasks, not a larger one,
+    and a query moves once a block, however many buckets it probes. A query may get fewer than ``k`` hits if its buckets hold fewer docs.
     """
     dealt = hashed_search(queries, docs, k, recall, probes, seed)
     return search_topk(queries, docs, k) if dealt is None else dealt.hits(k)

@@ -63,3 +63,22 @@ def test_products_of_a_cell_are_bounded(many, monkeypatch):
     for r, i in zip(kept.found["row"].to_pylist(), kept.found["doc_id"].to_pylist()):
         found.setdefault(r, []).append(i)
     assert found == best(rows, asked, 4) and max(cells) <= 1000
+
+
+def test_a_query_moves_once_a_block_however_many_buckets_it_probes(many, monkeypatch):
+    """Formerly a copy of its vector for every probed bucket was written."""
+    rows, asked, q, d = many
+    monkeypatch.setattr(blocks, "CELL_ROWS", 70)
+    dealt = search.hashed_search(q, d, 4, probes=16)
+    assert dealt.plan.bits == 4 and dealt.queries.count() == len(asked)
+    assert collect(dealt.hits(4)) == best(rows, asked, 4) and dealt.candidate_share() == 1.0
+    few = search.hashed_search(q, d, 4, probes=3)
+    codes, sides = few.plan.codes(few.plan.sides(rows)), few.plan.sides(asked)
+    own = few.plan.codes(sides)
+    from sembra.operators.hashed import probe_order
+
+    among = [set((c ^ probe_order(s, 3)[0]).tolist()) for c, s in zip(own, sides)]
+    allowed = {i: [j for j in range(len(rows)) if int(codes[j]) in among[i]] for i in range(len(asked))}
+    wanted = {i: sorted(js, key=lambda j: (-round(float(rows[j] @ asked[i]), 12), j))[:4] for i, js in allowed.items() if js}
+    assert collect(few.hits(4)) == wanted
+    assert few.candidate_share() == pytest.approx(sum(map(len, allowed.values())) / len(rows) ** 2)
