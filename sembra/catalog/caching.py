@@ -97,7 +97,7 @@ EMPTY = (
 
 
 def _entries(spark, sf_dir):
-    """A snapshot made of every document that has a vector, stored in id order."""
+    """A snapshot made of every document that has a vector, stored in id order; written once."""
     rows = (
         vectors(spark, sf_dir)
         .join(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("query")), "doc_id")
@@ -110,7 +110,7 @@ def _entries(spark, sf_dir):
             F.col("doc_id").alias("seq"),
         )
     )
-    return ch.cache_store(spark.createDataFrame([], EMPTY), rows)
+    return materialize(ch.cache_store(spark.createDataFrame([], EMPTY), rows), "entries")
 
 
 DOCUMENT_LOG = f"""
