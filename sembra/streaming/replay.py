@@ -1,35 +1,33 @@
 """Sequential cache semantics per tenant, in batch: every query sees all earlier ones.
 
 Which entry answers a query depends on every earlier query of the tenant, so one tenant's log
-is sequential by nature; tenants are independent. The log is cut into blocks of bounded size,
-and round ``r`` runs block ``r`` of all tenants at once, handing each tenant's entries (at most
-``max_size``) on through the shared scratch folder. No task ever holds more than one block and
-one set of entries. A cache shared by everybody is :mod:`sembra.streaming.shared`.
+is sequential by nature; tenants are independent. Spark sorts the log by tenant and sequence, and a
+task reads its tenants' rows as a stream, a block at a time, with the entries of one tenant (at most
+``max_size``) in hand. No task ever holds more than one block and one set of entries. A cache shared by everybody is :mod:`sembra.streaming.shared`.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from sembra.functions.text import cache_key
 from sembra.functions.vectors import as_double
-from sembra.operators.cache import MAX_SIZE, SEARCH_DEPTH, SEQUENCE_BLOCK_ROWS, THRESHOLD, sequence_blocks
-from sembra.session import scratch_path
-from sembra.streaming.entries import Entry, TenantEntries
+from sembra.operators.cache import MAX_SIZE, SEARCH_DEPTH, SEQUENCE_BLOCK_ROWS, THRESHOLD
+from sembra.streaming.entries import TenantEntries
 
 LOG_FIELDS = (
     "seq long, op string, hit boolean, matched_key string, matched_query string, score double,"
     " answer_seq long, removed long"
 )
-ENTRY_FIELDS = (
-    "key string, query_text string, embedding array<double>, dominant_cluster int, created_seq long,"
-    " entry_seq long, entry_answer long"
-)
 LOG_NAMES = [f.split()[0] for f in LOG_FIELDS.split(", ")]
-ENTRY_NAMES = [f.split()[0] for f in ENTRY_FIELDS.split(", ")]
 
 
 def prepare_log(log: DataFrame) -> DataFrame:
@@ -85,55 +83,27 @@ def semantic_cache_replay(
     ``answer_seq`` names the query whose stored result answers this one; a ``clear`` row
     reports the number of entries ``removed``.
     """
-    spark = log.sparkSession
-    blocks, index = sequence_blocks(prepare_log(log), block_rows)
-    rounds = (index.agg(F.max("block")).first()[0] or 0) + 1
-    path = scratch_path(spark, "replay")
-    # One folder per block, so that a round reads its own rows only.
-    blocks.repartition("block", "tenant").write.partitionBy("block").parquet(f"{path}-blocks")
-    blocks = spark.read.schema(blocks.schema).parquet(f"{path}-blocks")
-    tenant = blocks.schema["tenant"].dataType.simpleString()
-    schema = f"kind string, tenant {tenant}, {LOG_FIELDS}, {ENTRY_FIELDS}"
-
-    def replay(rows: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty:
-            return pd.DataFrame(columns=["kind", "tenant", *LOG_NAMES, *ENTRY_NAMES])
-        cache = TenantEntries(threshold, max_size, depth)
-        cache.load(
-            [
-                (e.key, Entry(e.query_text, np.asarray(e.embedding), e.dominant_cluster, e.created_seq,
-                              e.entry_seq, e.entry_answer))
-                for e in entries.itertuples(index=False)
-            ]
-        )
-        played = run_rows(cache, rows).assign(kind="log")
-        for name in ENTRY_NAMES:
-            played[name] = pd.Series([None] * len(played), dtype=object)
-        kept = pd.DataFrame(
-            [
-                ("entry", key, e.query_text, e.embedding, e.dominant_cluster, e.created_seq, e.seq, e.answer_seq)
-                for key, e in cache.entries.items()
-            ],
-            columns=["kind", *ENTRY_NAMES],
-            dtype=object,
-        )
-        for name in LOG_NAMES:
-            kept[name] = pd.Series([None] * len(kept), dtype=object)
-        both = pd.concat([played.astype(object), kept], ignore_index=True)
-        both = both.where(both.notna(), None)
-        return both.assign(tenant=rows["tenant"].iloc[0])[["kind", "tenant", *LOG_NAMES, *ENTRY_NAMES]]
-
-    empty = spark.createDataFrame([], f"tenant {tenant}, {ENTRY_FIELDS}")
-    entries = empty
-    for r in range(rounds):
-        step = (
-            blocks.where(F.col("block") == r)
-            .groupBy("tenant")
-            .cogroup(entries.groupBy("tenant"))
-            .applyInPandas(replay, schema)
-        )
-        step.write.partitionBy("kind").parquet(f"{path}/round={r}")
-        entries = spark.read.schema(schema).parquet(f"{path}/round={r}").where("kind = 'entry'")
-        entries = entries.select("tenant", *ENTRY_NAMES)
-    played = spark.read.schema(f"round int, {schema}").parquet(path).where("kind = 'log'")
-    return played.select("tenant", *LOG_NAMES)
+    prepared = prepare_log(log)
+    tenant = prepared.schema["tenant"].dataType.simpleString()
+    schema = T.StructType.fromDDL(f"tenant {tenant}, {LOG_FIELDS}")
+
+    def replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = to_arrow_schema(schema)
+        cache, of = None, object()
+        for batch in batches:
+            for start in range(0, batch.num_rows, block_rows):
+                rows = batch.slice(start, block_rows).to_pandas(date_as_object=True, maps_as_pydicts="lossy")
+                # Runs of one tenant, in the order of the sort.
+                runs = rows["tenant"].ne(rows["tenant"].shift()).cumsum()
+                for _, run in rows.groupby(runs.to_numpy(), sort=False):
+                    name = batch.column("tenant")[start + int(run.index[0])].as_py()
+                    if cache is None or name != of:
+                        cache, of = TenantEntries(threshold, max_size, depth), name
+                    played = run_rows(cache, run).astype(object)
+                    played = played.where(played.notna(), None).assign(tenant=pd.Series([name] * len(played), dtype=object))
+                    columns = [pa.array(list(played[f.name]), f.type) for f in types]
+                    yield pa.RecordBatch.from_arrays(columns, schema=types)
+
+    # A row without a tenant belongs to no cache.
+    ordered = prepared.where(F.col("tenant").isNotNull()).repartition("tenant").sortWithinPartitions("tenant", "seq")
+    return ordered.mapInArrow(replay, schema)

@@ -146,3 +146,24 @@ def test_stream_equals_batch_over_micro_batches(spark, random_rows):
     key = lambda r: (r["tenant"], r["seq"])
     streamed = sorted(spark.read.parquet(out).select(columns).collect(), key=key)
     assert streamed == sorted(batch.select(columns).collect(), key=key)
+
+
+def test_a_long_log_is_one_pass(spark, monkeypatch):
+    """Formerly every block of a log was a round of jobs over all tenants."""
+    import sembra.streaming.replay as module
+
+    vector, jobs = [1.0, 0.0], []
+    log = spark.createDataFrame(
+        [("ab"[i % 3 == 0], i, f"q{i % 7}", vector, 0, None) for i in range(400)],
+        "tenant string, seq long, query string, embedding array<double>, dominant_cluster int, cluster_distribution map<int,double>",
+    )
+    spark.sparkContext.setJobGroup("one-pass", "one-pass")
+    played = module.semantic_cache_replay(log, threshold=2.0, max_size=3, block_rows=5)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("one-pass")
+    assert not jobs
+    recent, wanted = {"a": [], "b": []}, {}
+    for i in range(400):
+        keys, key = recent["ab"[i % 3 == 0]], f"q{i % 7}"
+        wanted[i] = key in keys
+        recent["ab"[i % 3 == 0]] = [*[k for k in keys if k != key], key][-3:]
+    assert {r["seq"]: r["hit"] for r in played.collect()} == wanted
