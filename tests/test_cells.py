@@ -82,3 +82,24 @@ def test_a_query_moves_once_a_block_however_many_buckets_it_probes(many, monkeyp
     wanted = {i: sorted(js, key=lambda j: (-round(float(rows[j] @ asked[i]), 12), j))[:4] for i, js in allowed.items() if js}
     assert collect(few.hits(4)) == wanted
     assert few.candidate_share() == pytest.approx(sum(map(len, allowed.values())) / len(rows) ** 2)
+
+
+def test_silhouette_moves_rows_once_a_large_block(spark, monkeypatch):
+    """Formerly rows were repeated for every 2,048 others; now a task measures so many at a time."""
+    from sembra.operators import quality
+
+    draw = np.random.RandomState(2)
+    rows = draw.randn(500, 5) + 3.0 * (np.arange(500) % 3)[:, None]
+    d = spark.createDataFrame([(i, i % 3, v.tolist()) for i, v in enumerate(rows)], "doc_id long, cluster int, reduced array<double>")
+    blocks_of, original = [], quality._block_scores
+    monkeypatch.setattr(quality, "_block_scores", lambda p, blocks, rows: blocks_of.append((blocks, rows)) or original(p, blocks, rows))
+    found = quality.silhouette(d, per_cluster=1 << 20, block_rows=64).first()
+    distances = np.sqrt(((rows[:, None] - rows[None]) ** 2).sum(2))
+    sums = np.stack([distances[:, np.arange(500) % 3 == c].sum(1) for c in range(3)], 1)
+    sizes, own = np.bincount(np.arange(500) % 3), np.arange(500) % 3
+    inside = sums[np.arange(500), own] / (sizes[own] - 1)
+    means = sums / sizes
+    means[np.arange(500), own] = np.inf
+    outside = means.min(1)
+    assert found["silhouette"] == pytest.approx(((outside - inside) / np.maximum(inside, outside)).mean())
+    assert blocks_of == [(1, 64)]
