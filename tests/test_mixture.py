@@ -104,6 +104,36 @@ def test_fits_of_a_sweep_equal_plain_em(spark, monkeypatch, rows):
     assert all((a.means == em.first_parameters(sample, a.k, a.seed).means).all() for a in again)
 
 
+def test_all_components_are_one_product():
+    """Formerly every component whitened the rows alone: densities and moments of all at once are the same."""
+    draw = np.random.RandomState(4)
+    x, centre = draw.randn(700, 5), np.full(5, 0.3)
+    fits = [em.first_parameters(x, k, 1) for k in (2, 5)]
+    together = em.Expanded([(f.weights, em.natural(f.means - centre, f.covariances)) for f in fits], centre)
+    together.add(x, True)
+    first = 0
+    for fit, total in zip(fits, together.totals):
+        rows, likelihood = em.block_moments(em.Densities(fit.weights, fit.means, fit.covariances), x)
+        assert total == pytest.approx(likelihood, rel=1e-12)
+        for mean, row, found in zip(fit.means, rows, together.sums[first : first + fit.k]):
+            apart = mean - centre
+            moved = np.outer(apart, row[1:6])
+            second = em.unpacked(row[6:], 5) + moved + moved.T + row[0] * np.outer(apart, apart)
+            assert np.allclose(found, np.r_[row[0], row[1:6] + row[0] * apart, em.packed(second)], rtol=1e-9, atol=1e-9)
+        first += fit.k
+
+
+def test_rows_far_apart_are_whitened(spark, monkeypatch):
+    """Values whose products would lose the digits of a variance."""
+    x = np.random.RandomState(6).randn(80, 2) * 0.01 + np.array([[0.0, 0.0], [1e7, 1e7]])[np.arange(80) % 2]
+    df = spark.createDataFrame([([float(v) for v in r],) for r in x], "reduced array<double>")
+    fit = em.fit_mixtures(df, [(2, 1)], 5)[0]
+    assert fit.natural is None and np.allclose(np.sort(fit.weights), 0.5)
+    for mean, covariance in zip(fit.means, fit.covariances):
+        own = x[np.abs(x - mean).max(1) < 1e3]
+        assert np.allclose(covariance, np.cov(own.T, bias=True) + em.VARIANCE_FLOOR * np.eye(2), atol=1e-7)
+
+
 def test_converged_fits_leave_the_sweep(spark, blobs, monkeypatch):
     _, _, df = blobs
     asked, original = [], em.one_iteration
