@@ -229,3 +229,33 @@ def test_hit_rate_on_a_stream_equals_the_table(spark):
     table = {r["window_start"]: tuple(r) for r in hit_rate_windows(rows, "1 hour").collect()}
     # The newest windows are still open behind the watermark.
     assert len(streamed) >= len(table) - 2 and all(table[w] == row for w, row in streamed.items())
+
+
+def test_a_log_arrives_in_order_in_bounded_files(spark, tmp_path):
+    """Formerly the whole log was one micro-batch, which a task of the stream held."""
+    from sembra.catalog.flows import arrivals
+
+    log = spark.range(1_000).select((F.col("id") * 7 % 500).alias("seq"), F.col("id").cast("string").alias("query"))
+    n = arrivals(log.repartition(3), str(tmp_path / "log"), 100)
+    files = sorted((tmp_path / "log").glob("*.parquet"), key=lambda f: f.stat().st_mtime_ns)
+    parts = [[r["seq"] for r in spark.read.parquet(str(f)).collect()] for f in files]
+    assert n == len(parts) == 10 and max(map(len, parts)) < 250
+    assert sorted(s for p in parts for s in p) == sorted([*range(500), *range(500)])
+    held = [p for p in parts if p]
+    assert all(max(a) < min(b) for a, b in zip(held, held[1:]))
+
+
+def test_only_a_slice_of_texts_is_strings(spark):
+    """Formerly a whole Arrow batch was turned into Python strings before its first text was encoded."""
+    import gc
+
+    def encoder():
+        def encode(texts):
+            alive = sum(1 for o in gc.get_objects() if isinstance(o, list) and len(o) > 60 and isinstance(o[0], str) and o[0].startswith("text "))
+            return np.full((len(texts), 1), 1.0) * [[alive, len(texts)]]
+
+        return encode
+
+    df = spark.range(500).coalesce(1).select(F.when(F.col("id") != 499, F.concat(F.lit("text "), F.col("id").cast("string"))).alias("text"))
+    found = [r["embedding"] for r in embed_documents(df, encoder=encoder, batch_size=50).collect()]
+    assert len(found) == 500 and all(v[0] == 0 and v[1] == 1 for v in found)
