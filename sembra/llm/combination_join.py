@@ -405,21 +405,22 @@ def needed_texts(docs: DataFrame, pairs: DataFrame, text: str, key: str) -> Data
     """(doc, text) of the documents in ``pairs``.
 
     A bit table of fixed size, made from the pairs' ids, keeps other texts from being moved; what it
-    lets through by chance finds no partner in the join.
+    lets through by chance finds no partner in the join. Its blocks are made in tasks and come in one job.
     """
-    bits = 22
+    bits, block_bits = 22, 15
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc"))
     cell = F.shiftrightunsigned(F.xxhash64("doc"), 64 - bits).cast("int")
-    table = np.zeros(1 << bits, np.bool_)
-    for row in ids.groupBy(F.shiftright(cell, 10).alias("block")).agg(F.collect_set(cell).alias("cells")).toLocalIterator():
-        table[np.array(row.cells)] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(table))
+    at = F.shiftright(cell, block_bits).alias("block"), cell.bitwiseAND((1 << block_bits) - 1).cast("long").alias("place")
+    table = np.zeros((1 << (bits - block_bits), 1 << (block_bits - 3)), np.uint8)
+    for row in ids.select(*at).groupBy("block").agg(F.bitmap_construct_agg("place").alias("bits")).collect():
+        table[row.block] = np.frombuffer(bytes(row.bits), np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(table.reshape(-1))
 
     def run(batches):
         packed = shared.value
         for batch in batches:
             at = np.asarray(batch.column(2))
-            hit = (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+            hit = (packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
             yield batch.filter(pa.array(hit)).select([0, 1])
 
     named = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))

@@ -716,3 +716,26 @@ def test_pipeline_stages(spark, docs, odd, texts):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, odd, sf).columns == odd.columns and stage(spark, odd.limit(0), sf).count() == 0
     assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+def test_needed_texts_come_in_one_job(spark):
+    """Formerly one job a shuffle partition, which took most of the time on small tables in many partitions."""
+    docs = spark.range(2_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    pairs = spark.range(300).select((F.col("id") * 5).alias("a"), (F.col("id") * 5 + 1).alias("b"))
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    spark.sparkContext.setJobGroup("needed", "needed texts")
+    try:
+        texts = cj.needed_texts(docs, pairs, "text", "doc_id")
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("needed"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert 0 < jobs < 8
+    found = {r.doc: r.text for r in texts.collect()}
+    wanted = {doc for i in range(300) for doc in (5 * i, 5 * i + 1)}
+    assert wanted <= set(found) and len(found) < len(wanted) + 20
+    assert all(text == f"text {doc}" for doc, text in found.items())
