@@ -12,7 +12,7 @@ the same products. So the densities of all components of all models are one matr
 moments another (``features``, ``natural``). Where values lie so far apart that this could cost digits
 (``REACH``), components are whitened one by one and moments taken around their means.
 
-Fits start from k-means++ seeds and a few rounds of k-means on a bounded sample, with the pooled
+Fits start from greedy k-means++ seeds and a few rounds of k-means on a bounded sample, with the pooled
 covariance of that sample's clusters: a cluster with few rows does not start out flat.
 """
 
@@ -143,12 +143,14 @@ def first_parameters(sample: np.ndarray, k: int, seed: int) -> Fit:
     def distances(to: np.ndarray) -> np.ndarray:
         return np.maximum(squares[:, None] - 2 * sample @ to.T + (to**2).sum(1), 0.0)
 
-    least = distances(centres)[:, 0]
+    least, trials = distances(centres)[:, 0], 2 + int(np.log(k))
     for _ in range(1, k):
         total = least.sum()
-        at = draw.choice(len(sample), p=least / total) if total > 0 else draw.integers(len(sample))
-        centres = np.vstack([centres, sample[at]])
-        least = np.minimum(least, distances(centres[-1:])[:, 0])
+        tried = draw.choice(len(sample), trials, p=least / total) if total > 0 else draw.integers(len(sample), size=1)
+        # Of some drawn rows the one that brings the others nearest: groups far apart are not missed by chance.
+        fallen = np.minimum(least[:, None], distances(sample[tried]))
+        best = fallen.sum(0).argmin()
+        centres, least = np.vstack([centres, sample[tried[best]]]), fallen[:, best]
     for _ in range(START_ROUNDS):
         nearest = distances(centres).argmin(1)
         for c in range(k):

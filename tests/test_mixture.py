@@ -325,3 +325,14 @@ def test_labels_with_gaps_are_reported(spark):
     assert mx.Mixture.from_json(mixture.to_json()).labels.tolist() == [2, 5, 7]
     found = mx.assign_clusters(labelled, mixture).where("dominant_cluster = label and map_contains_key(cluster_distribution, label)")
     assert found.count() == 60
+
+
+def test_starts_miss_no_group_far_apart():
+    """Formerly about one start in six left out a group, and a fit could end there."""
+    draw = np.random.default_rng(0)
+    group = np.repeat(np.arange(10), 50)
+    noise = draw.normal(size=(500, 50))
+    sample = noise / np.linalg.norm(noise, axis=1, keepdims=True) + 10 * np.eye(50)[group]
+    for seed in range(40):
+        start = em.first_parameters(sample[draw.permutation(500)], 10, seed)
+        assert sorted(start.means[:, :10].argmax(1)) == list(range(10)) and np.allclose(start.weights, 0.1)
