@@ -3,7 +3,8 @@
 ``scanned_topk``: query tiles of bounded bytes go to all tasks, one after the other, and the documents
 are read in place, once a tile; nothing but the best ``k`` of a task leaves it. Products are made in
 small tiles, and a tile of documents whose centre and radius leave no chance to beat the ``k``
-best found so far is not multiplied.
+best found so far is not multiplied. Once ``k`` are known of every query, products in single precision
+with a bound on their error tell which cells may be among the best; only those are computed in double.
 
 ``celled_topk``, for queries as many as documents: a fragment-and-replicate join. Both sides are cut into blocks
 of bounded size; each pair of blocks meets in one task, and no vector passes through the driver.
@@ -37,6 +38,8 @@ TILE_BYTES = 8 << 20
 PRODUCT_QUERIES, PRODUCT_CELLS = 512, 1 << 20
 #: Documents of the first product, before anything is known of the best.
 FIRST_DOCS = 256
+#: Cells of a product in single precision, which stay in a core's cache, and the longest vectors it is used for.
+SINGLE_CELLS, SINGLE_LENGTH = 1 << 18, 1e15
 
 # Similarities are compared at this many digits so that copies of one vector tie exactly and
 # the tie-break column decides; the reported value is not rounded.
@@ -62,6 +65,7 @@ class Best:
     def __init__(self, asked: np.ndarray, k: int):
         self.asked, self.k = asked, k
         self.lengths = np.linalg.norm(asked, axis=1)
+        self.single = asked.astype(np.float32) if len(asked) and self.lengths.max() < SINGLE_LENGTH else None
         self.kth = np.full(len(asked), -np.inf)
         #: ``row`` of ``asked``, ``doc_id``, ``tie``, ``similarity``; ordered by row and rank.
         self.found: pa.Table | None = None
@@ -94,22 +98,51 @@ class Best:
         radius = float(np.sqrt(((x - centre) ** 2).sum(axis=1).max()))
         most = self.asked @ centre + self.lengths * radius
         open_ = np.flatnonzero(most * (1 + np.sign(most) * 1e-9) + 1e-9 >= self.kth)
+        longest = float(np.sqrt((x**2).sum(axis=1).max()))
+        single = x.astype(np.float32) if self.single is not None and longest < SINGLE_LENGTH else None
         for some, among, counts in self.products(x, docs, open_):
-            sims = self.asked[some] @ x[among].T
-            if counts is not None:
-                sims[~counts] = -np.inf
             floor = self.kth[some] - 2 * 10.0**-RANK_DIGITS
-            rows, cols = above(sims, ties[among], self.k, floor)
+            found = None
+            if single is not None and counts is None and np.isfinite(floor).all():
+                found = self._near(some, x[among], single[among], floor, longest)
+            if found is None:
+                sims = self.asked[some] @ x[among].T
+                if counts is not None:
+                    sims[~counts] = -np.inf
+                rows, cols = above(sims, ties[among], self.k, floor)
+                found = rows, cols, sims[rows, cols]
+            rows, cols, similarity = found
             taken = pa.array(cols + among.start)
             yield pa.table(
                 {
                     "row": pa.array(some[rows]),
                     "doc_id": docs["doc_id"].take(taken),
                     "tie": docs["tie"].take(taken),
-                    "similarity": pa.array(sims[rows, cols]),
+                    "similarity": pa.array(similarity),
                 }
             )
 
+    def _near(self, some: np.ndarray, x: np.ndarray, single: np.ndarray, floor: np.ndarray, longest: float) -> tuple | None:
+        """Rows, columns and similarities of the cells that are not below ``floor``; ``None`` if they are too many.
+
+        A product in single precision is off by less than ``error``, so no such cell is passed over.
+        """
+        error = (x.shape[1] + 8) * 2.0**-23 * self.lengths[some] * longest
+        least = np.nextafter((floor - error).astype(np.float32), np.float32(-np.inf))[:, None]
+        asked, most = self.single[some], 4 * self.k * len(some)
+        step, total, parts = max(1, SINGLE_CELLS // max(1, len(some))), 0, []
+        for start in range(0, len(x), step):
+            cells = asked @ single[start : start + step].T >= least
+            rows, cols = np.divmod(np.flatnonzero(cells), cells.shape[1])
+            total += len(rows)
+            if total > most:
+                return None
+            parts.append((rows, cols + start))
+        rows, cols = (np.concatenate(c) for c in zip(*parts))
+        similarity = np.einsum("ij,ij->i", self.asked[some[rows]], x[cols])
+        good = similarity >= floor[rows]
+        return rows[good], cols[good], similarity[good]
+
     def _merge(self, parts: list[pa.Table]) -> None:
         if not parts:
             return

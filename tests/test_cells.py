@@ -1,6 +1,7 @@
 """Searches with as many queries as documents: bounded products, nothing through the driver."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sembra.operators import blocks, search
@@ -103,3 +104,33 @@ def test_silhouette_moves_rows_once_a_large_block(spark, monkeypatch):
     outside = means.min(1)
     assert found["silhouette"] == pytest.approx(((outside - inside) / np.maximum(inside, outside)).mean())
     assert blocks_of == [(1, 64)]
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-3, 1e6, 1e20])
+def test_single_precision_loses_no_hit(monkeypatch, scale):
+    """Cells that cannot be among the best are told in single precision; formerly all were computed in double."""
+    draw = np.random.default_rng(3)
+    base = draw.normal(size=(40, 16))
+    # Near ties beyond single precision, exact copies, and a query without direction.
+    docs = np.repeat(base, 150, axis=0) * scale
+    docs[::2] *= 1 + draw.integers(0, 50, len(docs[::2]))[:, None] * 1e-10
+    docs = np.concatenate([docs, draw.normal(size=(4_000, 16)) * scale])[draw.permutation(len(docs) + 4_000)]
+    asked = np.concatenate([draw.normal(size=(700, 16)), np.zeros((1, 16))])
+    doubles = []
+    plain = blocks.above
+    monkeypatch.setattr(blocks, "above", lambda sims, *rest: doubles.append(sims.size) or plain(sims, *rest))
+    ids = np.arange(len(docs))
+    best = blocks.Best(asked, 5)
+    for start in range(0, len(docs), 2_500):
+        part = pa.array(ids[start : start + 2_500])
+        best.add(docs[start : start + 2_500], pa.table({"doc_id": part, "tie": part}))
+    found = best.found
+    sims = asked @ docs.T
+    for row in range(len(asked)):
+        order = np.lexsort((ids, -np.round(sims[row], blocks.RANK_DIGITS)))[:5]
+        mine = found.filter(pa.array(found["row"].to_numpy() == row))
+        assert np.allclose(mine["similarity"].to_numpy(), sims[row, order], rtol=1e-12, atol=1e-12)
+        if scale <= 1:
+            assert mine["doc_id"].to_pylist() == order.tolist()
+    if scale == 1:
+        assert sum(doubles) < 0.7 * sims.size
