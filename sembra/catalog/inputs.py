@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sembra.operators.encode import TOKEN_BREAK, HashingEncoder, embed_documents
 from sembra.operators.mixture import Mixture, diagonal_mixture
-from sembra.session import spread
+from sembra.session import lookup_join, spread
 
 DIM = 64
 
@@ -197,10 +197,10 @@ def embedding_sql(source: str, name: str) -> str:
 
 
 def languages(df: DataFrame) -> DataFrame:
-    """``cluster`` = position of the language in alphabetical order."""
+    """``cluster`` = position of the language in alphabetical order; rows stay where they are."""
     place = F.dense_rank().over(Window.orderBy("lang")) - 1
     names = df.select("lang").where("lang is not null").distinct().withColumn("cluster", place.cast("int"))
-    return df.join(names, "lang", "left").select(*df.columns, "cluster")
+    return lookup_join(df, names, ["lang"], spread_by="doc_id", how="left").select(*df.columns, "cluster")
 
 
 def text_store(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,3 +23,21 @@ def test_a_large_lookup_side_is_moved_once(spark):
         F.explode = original
     hot = small.withColumn("_salts", F.when(F.col("k") == 7, F.lit(64).cast("long")))
     assert hot.select(original(spread[0])).count() == 64 + small.count() - 1
+
+
+def test_languages_leave_rows_where_they_are(spark):
+    """Formerly a join dealt all documents by language: as many tasks encoded them as there were languages."""
+    from sembra.catalog.inputs import languages
+
+    lang = F.when(F.col("id") % 10 == 0, F.lit(None)).when(F.col("id") % 2 == 0, "b").otherwise("a")
+    rows = spark.range(0, 4_000, 1, 16).select(F.col("id").alias("doc_id"), lang.alias("lang"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = languages(rows)
+        found = out.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert out.columns == ["doc_id", "lang", "cluster"] and len(found) == 4_000
+    assert {(r.lang, r.cluster) for r in found} == {("a", 0), ("b", 1), (None, None)}
+    assert len({r.task for r in found}) == 16
