@@ -55,6 +55,8 @@ EDGE_BLOCK_ROWS = 256
 CACHE_WORDS = 150_000
 #: Rows of texts that are in Python's hands at once.
 SLICE_ROWS = 512
+#: Hashes that are counted at once, or those of one text.
+COUNTED = 1 << 17
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -158,8 +160,13 @@ def scan_sets(docs: DataFrame, rule: Jaccard, text: str, key: str) -> DataFrame:
     def run(batches):
         shingler, firsts = Shingler(rule.words), {}
         counts = np.zeros(1 << SKETCH_BITS, np.uint16)
+
+        def count(sets):
+            if sets:
+                np.add.at(counts, (np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), np.uint16(1))
+
         for batch in slices(batches):
-            sizes, same, digests = [], [], []
+            sizes, same, digests, waiting, held = [], [], [], [], 0
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = shingler(value)
                 sizes.append(len(found))
@@ -170,7 +177,12 @@ def scan_sets(docs: DataFrame, rule: Jaccard, text: str, key: str) -> DataFrame:
                     digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
                     digests.append(None if digest in firsts else digest)
                     same.append(firsts.setdefault(digest, doc))
-                np.add.at(counts, (found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+                waiting.append(found)
+                held += len(found)
+                if held > COUNTED:
+                    count(waiting)
+                    waiting, held = [], 0
+            count(waiting)
             # Saturating before the 16 bits of a counter can overflow in the next batches.
             np.minimum(counts, 1 << 14, out=counts)
             none = pa.nulls(len(sizes))
