@@ -266,6 +266,28 @@ def test_silhouette(spark):
     assert ql.silhouettes(both.limit(0), 10, 3) == [None] * 3
 
 
+def test_an_iteration_shuffles_nothing(spark, monkeypatch):
+    """Formerly every iteration left the sums of all its tasks in shuffle files."""
+    x = np.random.RandomState(8).randn(400, 4)
+    df = spark.createDataFrame([([float(v) for v in r],) for r in x], "reduced array<double>").repartition(8)
+    blocks = em.vector_blocks(df, "reduced", 20)
+    plans = []
+    for name in ("toArrow", "collect"):
+        original = getattr(type(df), name)
+        note = lambda self, get=original: plans.append(self._jdf.queryExecution().executedPlan().toString()) or get(self)
+        monkeypatch.setattr(type(df), name, note)
+    for sizes in ((2, 3), (2,) * 40):
+        em.one_iteration(blocks, 20, [em.first_parameters(x, k, seed) for seed, k in enumerate(sizes)])
+    assert len(plans) == 2 and not any("Exchange" in plan for plan in plans)
+
+
+def test_models_are_dealt_evenly():
+    shares = em._shares([k for k in range(5, 36) for _ in range(3)], 16)
+    loads = [sum(5 + m // 3 for m in share) for share in shares]
+    assert sorted(m for share in shares for m in share) == list(range(93)) and max(loads) - min(loads) <= 10
+    assert em._shares([4, 2], 16) == [[0], [1]]
+
+
 def test_stratified_silhouette_is_near_the_whole_one(spark):
     rng = np.random.RandomState(1)
     labels = np.where(np.arange(3000) < 2400, 0, np.arange(3000) % 3)
