@@ -266,6 +266,25 @@ def test_silhouette(spark):
     assert ql.silhouettes(both.limit(0), 10, 3) == [None] * 3
 
 
+def test_a_sweep_measures_all_rows(spark, monkeypatch):
+    """Formerly the silhouettes of a sweep came from 5,000 rows, of any number."""
+    monkeypatch.setattr(ql, "PAIR_ROWS", 100)
+    monkeypatch.setattr(ql, "BLOCKS_IN_HAND", 2)
+    n = 5_400
+    labels = np.arange(n) % 3
+    points = np.random.RandomState(5).randn(n, 2) * (1 + labels[:, None]) + np.array([[0.0, 0], [40, 0], [0, 60]])[labels]
+    df = spark.createDataFrame([(i, int(c), [float(x) for x in p]) for i, (p, c) in enumerate(zip(points, labels))], "doc_id long, label int, embedding array<double>")
+    sweep = ql.evaluate_k(df, range(3, 4), components=2, n_init=1, max_iter=20, label_col="label").first()
+    assert sweep["nmi"] == pytest.approx(1.0)
+    distances = np.sqrt(np.maximum(((points[:, None, :] - points[None, :, :]) ** 2).sum(2), 0.0))
+    sums = np.stack([distances[:, labels == c].sum(1) for c in range(3)], 1)
+    rows, size = np.arange(n), n // 3
+    inside = sums[rows, labels] / (size - 1)
+    sums[rows, labels] = np.inf
+    outside = sums.min(1) / size
+    assert sweep["silhouette_score"] == pytest.approx(((outside - inside) / np.maximum(inside, outside)).mean(), rel=1e-9)
+
+
 def test_an_iteration_shuffles_nothing(spark, monkeypatch):
     """Formerly every iteration left the sums of all its tasks in shuffle files."""
     x = np.random.RandomState(8).randn(400, 4)
