@@ -7,7 +7,7 @@ import pytest
 
 from sembra.session import scratch_path
 from sembra.streaming.replay import semantic_cache_replay
-from sembra.streaming.stateful import semantic_cache_stream
+from sembra.streaming.stateful import semantic_cache_stream, state_partitions
 
 SCHEMA = (
     "tenant string, seq long, op string, query string, embedding array<double>, dominant_cluster int,"
@@ -148,6 +148,27 @@ def test_stream_equals_batch_over_micro_batches(spark, random_rows):
     assert streamed == sorted(batch.select(columns).collect(), key=key)
 
 
+def test_state_partitions_do_not_follow_the_shuffles(spark, random_rows):
+    """Formerly every micro-batch opened as many states as the session has shuffle partitions."""
+    rows = log(spark, random_rows[:20])
+    arriving, out = scratch_path(spark, "arriving"), scratch_path(spark, "out")
+    rows.write.parquet(arriving)
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    with state_partitions(spark):
+        assert spark.conf.get(name) == str(spark.sparkContext.defaultParallelism)
+    stream = semantic_cache_stream(spark.readStream.schema(rows.schema).parquet(arriving), 0.93, 12)
+    with state_partitions(spark, 3):
+        query = (
+            stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "progress"))
+            .trigger(availableNow=True).start()
+        )
+    assert spark.conf.get(name) == before
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
+    assert spark.read.parquet(out).count() == 20
+
+
 def test_a_long_log_is_one_pass(spark, monkeypatch):
     """Formerly every block of a log was a round of jobs over all tenants."""
     import sembra.streaming.replay as module

@@ -245,6 +245,26 @@ def test_a_log_arrives_in_order_in_bounded_files(spark, tmp_path):
     assert all(max(a) < min(b) for a, b in zip(held, held[1:]))
 
 
+def test_files_of_a_log_are_written_at_once(spark, tmp_path, monkeypatch):
+    """Formerly every file of the log was a job of its own, one after the other."""
+    from sembra.catalog import flows
+
+    log = spark.range(1_000).select(F.col("id").alias("seq"), F.col("id").cast("string").alias("query"))
+    jobs = []
+    for rows in (500, 50):
+        spark.sparkContext.setJobGroup(f"arrive-{rows}", "arrive")
+        flows.arrivals(log, str(tmp_path / f"log-{rows}"), rows)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"arrive-{rows}")))
+    spark.sparkContext.setJobGroup("none", "none")
+    assert jobs[0] == jobs[1]
+    # Where files cannot be dated they still arrive in order.
+    monkeypatch.setattr(flows, "_dated", lambda fs, files: False)
+    n = flows.arrivals(log, str(tmp_path / "slow"), 300)
+    files = sorted((tmp_path / "slow").glob("*.parquet"), key=lambda f: f.stat().st_mtime_ns)
+    seqs = [sorted(r["seq"] for r in spark.read.parquet(str(f)).collect()) for f in files]
+    assert n == len(files) and sum(seqs, []) == list(range(1_000))
+
+
 def test_only_a_slice_of_texts_is_strings(spark):
     """Formerly a whole Arrow batch was turned into Python strings before its first text was encoded."""
     import gc
